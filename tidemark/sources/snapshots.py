@@ -1,0 +1,165 @@
+"""Keyed current-state table on plain Parquet, for catalogs without row-level changes.
+
+The table is cut into parts by an expression over its keys (hash buckets, or a day for
+time-keyed tables). A batch of changes reads and rewrites only the parts it touches, into a new
+folder, and becomes visible with one small metadata file that maps each part to its folder.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.operators.upsert import latest_changes, live_rows, upsert
+from tidemark.sources.files import MetadataFolder, child_folders
+
+_PART = "__part"
+DEFAULT_WRITER = "default"
+
+
+def hash_parts(keys: Sequence[str], parts: int) -> Column:
+    """Even parts by key hash; keys are unique in the table, so no part can run hot."""
+    return F.lpad(F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("string"), len(str(parts - 1)), "0")
+
+
+def day_parts(time_key: str) -> Column:
+    """One part per day of a time key: a refresh of recent rows touches recent parts only."""
+    return F.date_format(time_key, "yyyy-MM-dd")
+
+
+class DuplicateKeysError(ValueError):
+    """The change set has several rows for one key and no order to choose by."""
+
+
+@dataclass(frozen=True)
+class StagedVersion:
+    """A written but not yet visible table version."""
+
+    snapshot: "KeyedSnapshot"
+    document: dict
+
+    def read(self, include_deleted: bool = False) -> DataFrame:
+        return self.snapshot.read_version(self.document, include_deleted)
+
+    def commit(self) -> None:
+        self.snapshot._metadata.write(self.document["version"], self.document)
+
+
+class KeyedSnapshot:
+    """Table with one row per key, changed by idempotent batches.
+
+    ``part`` must depend on ``keys`` only. Without ``order_cols`` a change always replaces the
+    stored row, and a batch must hold one row per key.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        keys: Sequence[str],
+        part: Column,
+        order_cols: Sequence[str] = (),
+        delete_col: str | None = None,
+    ):
+        self._spark = spark
+        self._path = path.rstrip("/")
+        self._keys = list(keys)
+        self._part = part
+        self._order = list(order_cols)
+        self._delete_col = delete_col
+        self._metadata = MetadataFolder(spark, f"{self._path}/versions")
+
+    def version(self) -> int | None:
+        return self._metadata.latest_number()
+
+    def last_batch(self, writer: str = DEFAULT_WRITER) -> int | None:
+        document = self._metadata.latest()
+        return None if document is None else document["batches"].get(writer)
+
+    def read(self, include_deleted: bool = False) -> DataFrame:
+        """Current rows. Marked deletes are hidden unless asked for."""
+        document = self._metadata.latest()
+        if document is None:
+            raise FileNotFoundError(f"no version of {self._path} was committed")
+        return self.read_version(document, include_deleted)
+
+    def read_version(self, document: dict, include_deleted: bool = False) -> DataFrame:
+        """Rows of the version that ``document`` describes."""
+        rows = self._rows(document, document["parts"].values())
+        return live_rows(rows, self._delete_col) if self._delete_col and not include_deleted else rows
+
+    def _rows(self, document: dict, folders) -> DataFrame:
+        schema = T.StructType.fromJson(document["schema"])
+        paths = [f"{self._path}/{folder}" for folder in folders]
+        if not paths:
+            return self._spark.createDataFrame([], schema)
+        # The declared schema lets files from before a column change read as nulls.
+        return self._spark.read.schema(schema).parquet(*paths)
+
+    def apply(self, changes: DataFrame, batch: int, writer: str = DEFAULT_WRITER) -> bool:
+        """Upsert ``changes`` and make them visible; False if ``writer`` applied ``batch`` before.
+
+        ``writer`` tells independent batch counters apart, such as two runs of a stream with
+        different checkpoints.
+        """
+        current = self._metadata.latest()
+        if current is not None and batch <= current["batches"].get(writer, -1):
+            return False
+        self.stage(changes, batch, writer, current).commit()
+        return True
+
+    def stage(
+        self, changes: DataFrame, batch: int, writer: str = DEFAULT_WRITER, base: dict | None = None
+    ) -> StagedVersion:
+        """Write the version that ``changes`` on top of ``base`` lead to, not yet visible."""
+        if self._order:
+            reduced = latest_changes(changes, self._keys, self._order)
+        else:
+            reduced = changes
+            self._require_unique(reduced)
+        reduced = reduced.persist()
+        try:
+            return self._write(reduced, base, batch, writer)
+        finally:
+            reduced.unpersist()
+
+    def _write(self, changes: DataFrame, current: dict | None, batch: int, writer: str) -> StagedVersion:
+        touched = {r[0] for r in changes.select(self._part.alias(_PART)).distinct().collect()}
+        parts = dict(current["parts"]) if current else {}
+        version = current["version"] + 1 if current else 0
+        # A retry of the batch finds the same folder and writes it again from the start.
+        folder = f"data/v{version:012d}-b{batch}"
+        previous = [path for part, path in parts.items() if part in touched]
+        if previous:
+            self._check_types(current, changes)
+            state = upsert(self._rows(current, previous), changes, self._keys, self._order)
+        else:
+            state = changes
+        (
+            state.withColumn(_PART, self._part)
+            .hint("rebalance", F.col(_PART))
+            .write.mode("overwrite")
+            .partitionBy(_PART)
+            .parquet(f"{self._path}/{folder}")
+        )
+        written = child_folders(self._spark, f"{self._path}/{folder}")
+        fresh = {name.split("=", 1)[1]: f"{folder}/{name}" for name in written if "=" in name}
+        parts = {part: path for part, path in parts.items() if part not in touched} | fresh
+        batches = (dict(current["batches"]) if current else {}) | {writer: batch}
+        document = {"version": version, "batches": batches, "schema": changes.schema.jsonValue(), "parts": parts}
+        return StagedVersion(self, document)
+
+    def _check_types(self, current: dict, changes: DataFrame) -> None:
+        stored = {f.name: f.dataType for f in T.StructType.fromJson(current["schema"])}
+        for field in changes.schema:
+            if stored.get(field.name, field.dataType) != field.dataType:
+                raise ValueError(f"column {field.name} changes type from {stored[field.name]} to {field.dataType}")
+
+    def _require_unique(self, changes: DataFrame) -> None:
+        repeated = changes.groupBy(*self._keys).count().where("count > 1").take(1)
+        if repeated:
+            raise DuplicateKeysError(f"several rows for key {repeated[0].asDict()} in {self._path}")
