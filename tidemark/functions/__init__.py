@@ -1,24 +1,24 @@
-"""Column-level helpers: rounding, exact sums, null-strict bounds and time windows."""
+"""Column-level helpers: rounding, exact sums, null-preserving bounds and time windows."""
 
 from tidemark.functions.numeric import (
+    at_least,
+    at_most,
     exact_avg,
     exact_sum,
     percent_of,
     round_half_up,
-    strict_greatest,
-    strict_least,
 )
 from tidemark.functions.temporal import as_timestamp, clock, floor_instant, tumbling_window
 
 __all__ = [
     "as_timestamp",
+    "at_least",
+    "at_most",
     "clock",
     "exact_avg",
     "exact_sum",
     "floor_instant",
     "percent_of",
     "round_half_up",
-    "strict_greatest",
-    "strict_least",
     "tumbling_window",
 ]

@@ -1,71 +1,79 @@
 """Numeric expressions whose result does not depend on row order or on the engine.
 
-Everything here is a composition of built-in expressions, so it stays inside whole-stage
-code generation and works the same in batch and streaming plans.
+They take column names, not expressions: an intermediate result that is used several times gets
+a name first, so Catalyst computes it once and the generated code stays small enough to be
+compiled. Each call is one parsed expression, which also keeps plan building quick.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Inputs of the KPI sums carry at most three decimals; six keep them exact (one byte per MB).
 FIXED_POINT_DIGITS = 6
 # A fixed-point total beyond this is close to the long range, so the double sum is used.
-_LONG_GUARD = 4.0e18
+_LONG_GUARD = "4.0E18D"
 # From here on a double has no fractional digits left to round.
-_DOUBLE_INTEGRAL = float(2**52)
+_DOUBLE_INTEGRAL = 2.0**52
+
+
+def _double(value: float) -> str:
+    return f"{value!r}D"
 
 
-def round_half_up(value: Column, digits: int) -> Column:
+def round_half_up(column: str, digits: int) -> Column:
     """Round to ``digits`` places, halves away from zero, in plain double arithmetic.
 
     ``F.round`` goes through BigDecimal for every row and disagrees with other engines on
     values such as 1.005; this form is cheaper and reproducible.
     """
     scale = float(10**digits)
-    magnitude = F.abs(value)
-    rounded = F.signum(value) * F.floor(magnitude * scale + 0.5) / F.lit(scale) + F.lit(0.0)
-    return F.when(magnitude < _DOUBLE_INTEGRAL / scale, rounded).otherwise(value)
+    return F.expr(
+        f"case when abs(`{column}`) >= {_double(_DOUBLE_INTEGRAL / scale)} then `{column}` "
+        f"else signum(`{column}`) * floor(abs(`{column}`) * {_double(scale)} + 0.5D) / {_double(scale)} + 0.0D end"
+    )
+
+
+def _finite(column: str) -> str:
+    return f"nanvl(cast(`{column}` as double), cast(null as double))"
 
 
-def _finite(value: Column) -> Column:
-    return F.nanvl(value.cast("double"), F.lit(None).cast("double"))
+def _exact_sum(column: str, digits: int) -> str:
+    scale = _double(float(10**digits))
+    units = f"try_sum(floor({_finite(column)} * {scale} + 0.5D))"
+    return f"case when abs({units}) < {_LONG_GUARD} then {units} / {scale} else sum({_finite(column)}) end"
 
 
-def exact_sum(value: Column, digits: int = FIXED_POINT_DIGITS) -> Column:
+def exact_sum(column: str, digits: int = FIXED_POINT_DIGITS) -> Column:
     """Sum of a double column that does not depend on the order of the rows.
 
     Each value is taken as a whole number of ``10**-digits`` units and summed as a long: exact,
     associative, and still a map-side combined hash aggregate (a decimal sum would leave the
     primitive path). A group whose total leaves the long range falls back to the double sum.
     """
-    finite = _finite(value)
-    units = F.try_sum(F.floor(finite * float(10**digits) + 0.5))
-    return F.when(F.abs(units) < _LONG_GUARD, units / F.lit(float(10**digits))).otherwise(F.sum(finite))
+    return F.expr(_exact_sum(column, digits))
 
 
-def exact_avg(value: Column, digits: int = FIXED_POINT_DIGITS) -> Column:
+def exact_avg(column: str, digits: int = FIXED_POINT_DIGITS) -> Column:
     """Mean over the non-null values, built on :func:`exact_sum`; null for an empty group."""
-    return exact_sum(value, digits) / F.nullif(F.count(_finite(value)), F.lit(0))
+    return F.expr(f"({_exact_sum(column, digits)}) / nullif(count({_finite(column)}), 0)")
 
 
-def percent_of(part: Column, whole: Column) -> Column:
+def percent_of(part: str, whole: str) -> Column:
     """``100 * part / whole`` in double arithmetic, null when ``whole`` is zero."""
-    return F.lit(100.0) * part / F.nullif(whole, F.lit(0))
+    return F.expr(f"100.0D * `{part}` / nullif(`{whole}`, 0)")
 
 
-def _all_present(columns: tuple[Column, ...]) -> Column:
-    return reduce(lambda left, right: left & right, [c.isNotNull() for c in columns])
+def _strict(function: str, first: str, bound: float) -> Column:
+    return F.expr(f"case when `{first}` is not null then {function}(`{first}`, {_double(bound)}) end")
 
 
-def strict_least(*columns: Column) -> Column:
-    """Smallest argument, or null if any argument is null (``F.least`` skips nulls)."""
-    return F.when(_all_present(columns), F.least(*columns))
+def at_most(column: str, ceiling: float) -> Column:
+    """The value or the ceiling, whichever is less; null stays null (``least`` would skip it)."""
+    return _strict("least", column, ceiling)
 
 
-def strict_greatest(*columns: Column) -> Column:
-    """Largest argument, or null if any argument is null (``F.greatest`` skips nulls)."""
-    return F.when(_all_present(columns), F.greatest(*columns))
+def at_least(column: str, floor: float) -> Column:
+    """The value or the floor, whichever is greater; null stays null (``greatest`` would skip it)."""
+    return _strict("greatest", column, floor)

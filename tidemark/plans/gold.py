@@ -9,14 +9,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
+    at_least,
+    at_most,
     clock,
     exact_avg,
     exact_sum,
     floor_instant,
     percent_of,
     round_half_up,
-    strict_greatest,
-    strict_least,
     tumbling_window,
 )
 from tidemark.functions.temporal import as_timestamp
@@ -30,6 +30,8 @@ KPI_LOOKBACK = timedelta(minutes=30)
 KPI_KEYS = ("window_start", "cell_id", "network_type")
 CELL_COLUMNS = ("cell_id", "province", "district", "region", "latitude", "longitude", "vendor", "band", "network_type")
 MB_PER_GB = 1024.0
+# Averaged measurements and the decimals they are shown with.
+_METRIC_DIGITS = {"latency_ms": 2, "jitter_ms": 2, "packet_loss_pct": 3, "rsrp": 2, "sinr": 2}
 NORMAL, WARNING, CRITICAL = "NORMAL", "WARNING", "CRITICAL"
 HIGH_RISK, MEDIUM_RISK, LOW_RISK = "HIGH_RISK", "MEDIUM_RISK", "LOW_RISK"
 HEALTHY = "HEALTHY"
@@ -114,20 +116,24 @@ def windowed_kpis(
         F.count_if(F.col("event_type") == DATA).alias("total_data_sessions"),
         F.count_if("is_call_failure").alias("dropped_calls"),
         F.count_if("has_qoe_issue").alias("qoe_issue_events"),
-        F.coalesce(exact_sum(F.col("total_mb")), F.lit(0.0)).alias("__mb"),
-        round_half_up(exact_avg(F.col("latency_ms")), 2).alias("avg_latency_ms"),
-        round_half_up(exact_avg(F.col("jitter_ms")), 2).alias("avg_jitter_ms"),
-        round_half_up(exact_avg(F.col("packet_loss_pct")), 3).alias("avg_packet_loss_pct"),
-        round_half_up(exact_avg(F.col("rsrp")), 2).alias("avg_rsrp"),
-        round_half_up(exact_avg(F.col("sinr")), 2).alias("avg_sinr"),
+        F.coalesce(exact_sum("total_mb"), F.lit(0.0)).alias("traffic_mb"),
+        *[exact_avg(metric).alias(f"avg_{metric}") for metric in _METRIC_DIGITS],
+    )
+    derived = grouped.select(
+        "*",
+        (F.col("traffic_mb") / MB_PER_GB).alias("data_traffic_gb"),
+        percent_of("dropped_calls", "total_calls").alias("drop_call_rate_pct"),
+        percent_of("qoe_issue_events", "total_events").alias("qoe_issue_rate_pct"),
+        (F.col("site_capacity_gbps") * MB_PER_GB).alias("capacity_mb"),
     )
-    capacity_mb = strict_greatest(F.col("site_capacity_gbps") * MB_PER_GB, F.lit(1.0))
     load = (
-        F.col("__mb") / capacity_mb * 100.0
+        F.col("traffic_mb") / at_least("capacity_mb", 1.0) * 100.0
         + F.col("dropped_calls") * weights.call_failure
         + F.col("qoe_issue_events") * weights.qoe_issue
     )
-    return grouped.select(
+    # An unknown capacity gives an unknown score, not a full one.
+    scored = derived.withColumn("load", load).withColumn("cell_load_score", at_most("load", weights.ceiling))
+    return scored.select(
         F.col("__window.start").alias("window_start"),
         F.col("__window.end").alias("window_end"),
         *CELL_COLUMNS,
@@ -136,16 +142,9 @@ def windowed_kpis(
         "total_data_sessions",
         "dropped_calls",
         "qoe_issue_events",
-        round_half_up(F.col("__mb") / MB_PER_GB, 4).alias("data_traffic_gb"),
-        "avg_latency_ms",
-        "avg_jitter_ms",
-        "avg_packet_loss_pct",
-        "avg_rsrp",
-        "avg_sinr",
-        round_half_up(percent_of(F.col("dropped_calls"), F.col("total_calls")), 3).alias("drop_call_rate_pct"),
-        round_half_up(percent_of(F.col("qoe_issue_events"), F.col("total_events")), 3).alias("qoe_issue_rate_pct"),
-        # An unknown capacity gives an unknown score, not a full one.
-        round_half_up(strict_least(F.lit(weights.ceiling), load), 3).alias("cell_load_score"),
+        round_half_up("data_traffic_gb", 4).alias("data_traffic_gb"),
+        *[round_half_up(f"avg_{metric}", digits).alias(f"avg_{metric}") for metric, digits in _METRIC_DIGITS.items()],
+        *[round_half_up(c, 3).alias(c) for c in ("drop_call_rate_pct", "qoe_issue_rate_pct", "cell_load_score")],
         clock(as_of).alias("updated_at"),
     )
 
@@ -190,7 +189,7 @@ def _impact_score(rules: CustomerRules) -> Column:
     )
     fee = F.coalesce("monthly_fee", F.lit(0.0)) / rules.fee_unit
     load = F.coalesce("home_cell_load_score", F.lit(0.0)) / 100.0
-    return round_half_up(fee * load * weight * 100.0, 2)
+    return fee * load * weight * 100.0
 
 
 def _churn_tier(rules: CustomerRules) -> Column:
@@ -229,26 +228,31 @@ def customer_360(
     joined = lookup_join(
         lookup_join(active, offers, "plan_id", "inner", policy), cells, "home_cell_id", "left", policy, cell_bound
     )
-    scored = joined.withColumns(
-        {
-            "customer_impact_score": _impact_score(rules),
-            "churn_risk_tier": _churn_tier(rules),
-            "updated_at": clock(as_of),
-        }
-    )
+    scored = joined.withColumns({"customer_impact_score": _impact_score(rules), "churn_risk_tier": _churn_tier(rules)})
     return scored.select(
         *[c for c in active.columns if c not in ("plan_id", "home_cell_id")],
         *offers.columns,
         "home_cell_id",
         *_HOME_CELL.values(),
-        "customer_impact_score",
+        round_half_up("customer_impact_score", 2).alias("customer_impact_score"),
         "churn_risk_tier",
-        "updated_at",
+        clock(as_of).alias("updated_at"),
     )
 
 
-def _revenue(subscribers: str) -> Column:
-    return round_half_up(F.col(subscribers).cast("double") * F.col("monthly_fee"), 2)
+# Averages over the customers of a plan and the decimals they are shown with.
+_PLAN_AVERAGES = {
+    "avg_subscriber_latency_ms": ("home_cell_avg_latency", 2),
+    "avg_subscriber_drop_rate": ("home_cell_drop_rate", 3),
+    "avg_impact_score": ("customer_impact_score", 2),
+}
+# Revenue columns and the subscriber counts they price.
+_PLAN_REVENUES = {
+    "total_monthly_revenue": ("subscriber_count",),
+    "critical_revenue_at_risk": ("critical_cell_subscribers",),
+    "total_revenue_at_risk": ("critical_cell_subscribers", "warning_cell_subscribers"),
+}
+_PLAN_COLUMNS = ("plan_id", "plan_name", "plan_type", "monthly_fee", "data_quota_gb", "voice_minutes")
 
 
 def plan_revenue_impact(
@@ -259,44 +263,42 @@ def plan_revenue_impact(
     Plans with a huge share of the subscribers are fine: the counts combine before the shuffle.
     """
     severity, tier = F.col("home_cell_severity"), F.col("churn_risk_tier")
-    grouped = customers.groupBy(
-        "plan_id", "plan_name", "plan_type", "monthly_fee", "data_quota_gb", "voice_minutes"
-    ).agg(
+    grouped = customers.groupBy(*_PLAN_COLUMNS).agg(
         F.count(F.lit(1)).alias("subscriber_count"),
         F.count_if(severity == CRITICAL).alias("critical_cell_subscribers"),
         F.count_if(severity == WARNING).alias("warning_cell_subscribers"),
         F.count_if(severity.isNull() | (severity == NORMAL)).alias("healthy_cell_subscribers"),
         F.count_if(tier == HIGH_RISK).alias("high_risk_subscribers"),
         F.count_if(tier == MEDIUM_RISK).alias("medium_risk_subscribers"),
-        round_half_up(exact_avg(F.col("home_cell_avg_latency")), 2).alias("avg_subscriber_latency_ms"),
-        round_half_up(exact_avg(F.col("home_cell_drop_rate")), 3).alias("avg_subscriber_drop_rate"),
-        round_half_up(exact_avg(F.col("customer_impact_score")), 2).alias("avg_impact_score"),
+        *[exact_avg(column).alias(name) for name, (column, _) in _PLAN_AVERAGES.items()],
     )
-    priced = grouped.withColumn(
-        "__at_risk", F.col("critical_cell_subscribers") + F.col("warning_cell_subscribers")
-    ).withColumns(
+    fee = F.col("monthly_fee")
+    priced = grouped.withColumns(
+        {name: sum((F.col(c) for c in counts), F.lit(0.0)) * fee for name, counts in _PLAN_REVENUES.items()}
+    ).withColumns({name: round_half_up(name, 2) for name in _PLAN_REVENUES})
+    base = F.nullif(F.col("total_monthly_revenue"), F.lit(0.0))
+    shares = priced.withColumns(
         {
-            "total_monthly_revenue": _revenue("subscriber_count"),
-            "critical_revenue_at_risk": _revenue("critical_cell_subscribers"),
-            "total_revenue_at_risk": _revenue("__at_risk"),
-            "updated_at": clock(as_of),
+            "critical_share": F.coalesce("critical_revenue_at_risk", F.lit(0.0)) / base,
+            "at_risk_share": F.coalesce("total_revenue_at_risk", F.lit(0.0)) / base,
         }
-    )
-    base = F.nullif(F.col("total_monthly_revenue"), F.lit(0.0))
-    at_risk = F.coalesce("total_revenue_at_risk", F.lit(0.0)) / base
-    critical = F.coalesce("critical_revenue_at_risk", F.lit(0.0)) / base
+    ).withColumn("revenue_at_risk_pct", F.col("at_risk_share") * 100.0)
     health = (
-        F.when(critical > rules.critical_share, CRITICAL)
-        .when(at_risk > rules.at_risk_share, WARNING)
+        F.when(F.col("critical_share") > rules.critical_share, CRITICAL)
+        .when(F.col("at_risk_share") > rules.at_risk_share, WARNING)
         .otherwise(HEALTHY)
     )
-    return priced.withColumns(
-        {"revenue_at_risk_pct": round_half_up(at_risk * 100.0, 2), "plan_health_status": health}
-    ).select(
-        *["plan_id", "plan_name", "plan_type", "monthly_fee", "data_quota_gb", "voice_minutes"],
-        *["subscriber_count", "critical_cell_subscribers", "warning_cell_subscribers", "healthy_cell_subscribers"],
-        *["total_monthly_revenue", "critical_revenue_at_risk", "total_revenue_at_risk"],
-        *["high_risk_subscribers", "medium_risk_subscribers"],
-        *["avg_subscriber_latency_ms", "avg_subscriber_drop_rate", "avg_impact_score", "updated_at"],
-        *["revenue_at_risk_pct", "plan_health_status"],
+    return shares.select(
+        *_PLAN_COLUMNS,
+        "subscriber_count",
+        "critical_cell_subscribers",
+        "warning_cell_subscribers",
+        "healthy_cell_subscribers",
+        *_PLAN_REVENUES,
+        "high_risk_subscribers",
+        "medium_risk_subscribers",
+        *[round_half_up(name, digits).alias(name) for name, (_, digits) in _PLAN_AVERAGES.items()],
+        clock(as_of).alias("updated_at"),
+        round_half_up("revenue_at_risk_pct", 2).alias("revenue_at_risk_pct"),
+        health.alias("plan_health_status"),
     )

@@ -43,18 +43,21 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def heatmap_points(heatmap: DataFrame, limit: int = 1000) -> DataFrame:
     """Average load per map point and severity, for the map chart."""
     place = ["latitude", "longitude", "severity", "cell_id", "province", "district"]
-    points = heatmap.groupBy(*place).agg(
-        round_half_up(exact_avg(F.col("cell_load_score")), _CHART_DIGITS).alias("avg_cell_load_score")
-    )
+    averages = heatmap.groupBy(*place).agg(exact_avg("cell_load_score").alias("avg_cell_load_score"))
+    points = averages.withColumn("avg_cell_load_score", round_half_up("avg_cell_load_score", _CHART_DIGITS))
     return points.orderBy(F.desc("avg_cell_load_score"), *place).limit(limit)
 
 
 def drop_rate_trend(kpis: DataFrame, grain: timedelta = KPI_WINDOW, limit: int = 10_000) -> DataFrame:
     """Average drop rate per cell over time; the newest points if there are more than ``limit``."""
     trend = kpis.groupBy(tumbling_window("window_start", grain).alias("__grain"), "cell_id").agg(
-        round_half_up(exact_avg(F.col("drop_call_rate_pct")), _CHART_DIGITS).alias("avg_drop_call_rate")
+        exact_avg("drop_call_rate_pct").alias("avg_drop_call_rate")
+    )
+    points = trend.select(
+        F.col("__grain.start").alias("time_grain"),
+        "cell_id",
+        round_half_up("avg_drop_call_rate", _CHART_DIGITS).alias("avg_drop_call_rate"),
     )
-    points = trend.select(F.col("__grain.start").alias("time_grain"), "cell_id", "avg_drop_call_rate")
     return points.orderBy(F.desc("time_grain"), "cell_id").limit(limit)
 
 
@@ -66,7 +69,7 @@ def churn_breakdown(customers: DataFrame, limit: int = 100) -> DataFrame:
 
 def revenue_by_plan(revenue: DataFrame, limit: int = 100) -> DataFrame:
     """Monthly revenue per plan name."""
-    plans = revenue.groupBy("plan_name").agg(exact_sum(F.col("total_monthly_revenue"), 2).alias("total_revenue"))
+    plans = revenue.groupBy("plan_name").agg(exact_sum("total_monthly_revenue", 2).alias("total_revenue"))
     return plans.orderBy(F.desc("total_revenue"), "plan_name").limit(limit)
 
 
@@ -81,8 +84,8 @@ def fee_vs_quality(customers: DataFrame, limit: int = 1000) -> DataFrame:
 def revenue_at_risk(revenue: DataFrame, limit: int = 100) -> DataFrame:
     """Revenue and revenue at risk per plan name."""
     plans = revenue.groupBy("plan_name").agg(
-        exact_sum(F.col("total_monthly_revenue"), 2).alias("total_revenue"),
-        exact_sum(F.col("total_revenue_at_risk"), 2).alias("revenue_at_risk"),
+        exact_sum("total_monthly_revenue", 2).alias("total_revenue"),
+        exact_sum("total_revenue_at_risk", 2).alias("revenue_at_risk"),
     )
     return plans.orderBy(F.desc("total_revenue"), "plan_name").limit(limit)
 

@@ -33,6 +33,8 @@ def local_session(cpus: int | str = "*", app_name: str = "tidemark") -> SparkSes
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Recording the Python call site of every expression slows plan building down.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     return prepare(builder.getOrCreate())
 
