@@ -18,19 +18,28 @@ from tidemark.operators.quality import blocking, empty_report, quality_report
 from tidemark.plans import gold, silver, staging
 from tidemark.plans.suites import SUITES
 from tidemark.sources.files import MetadataFolder
-from tidemark.sources.snapshots import KeyedSnapshot, day_parts
+from tidemark.sources.snapshots import KeyedSnapshot, StagedVersion, day_parts
 
 VIEW, TABLE, INCREMENTAL = "view", "table", "incremental"
+_DAY = timedelta(days=1)
+SILVER_TABLE = "silver_cell_events"
 KPI_TABLE = "gold_network_kpis"
 
 
 @dataclass(frozen=True)
 class RefreshOptions:
-    """``as_of`` stands for now; ``gate_layers`` are the layers whose failed checks block."""
+    """``as_of`` stands for now; ``gate_layers`` are the layers whose failed checks block.
+
+    An incremental run recomputes the KPI windows of the last ``lookback``. With
+    ``silver_lookback`` it also rebuilds only the silver days that this span touches, and keeps
+    the older ones; copies of an event must then carry the same event date. Without it silver is
+    rebuilt whole.
+    """
 
     as_of: datetime | None = None
     full: bool = False
     lookback: timedelta = gold.KPI_LOOKBACK
+    silver_lookback: timedelta | None = None
     width: timedelta = gold.KPI_WINDOW
     gate_layers: tuple[str, ...] = ("gold",)
     plan_order: tuple[str, ...] = ("updated_at", "ingested_at")
@@ -40,20 +49,32 @@ class RefreshOptions:
 
 @dataclass
 class Run:
-    """What a model builder can see: the tables built so far and the options."""
+    """What a model builder can see: the tables built so far, and what an incremental run keeps."""
 
     tables: dict[str, DataFrame]
     options: RefreshOptions
-    kpi_base: dict | None = None
+    bases: dict[str, dict] = field(default_factory=dict)
+
+    def bound(self, lookback: timedelta, width: timedelta) -> datetime:
+        as_of = self.options.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+        return gold.aligned_lower_bound(as_of, lookback, width)
+
+    def silver_since(self) -> datetime | None:
+        """First day of silver to rebuild, or None for all days."""
+        if SILVER_TABLE not in self.bases or self.options.silver_lookback is None:
+            return None
+        return self.bound(max(self.options.silver_lookback, self.options.lookback), _DAY)
+
+    def staged_events(self) -> DataFrame:
+        events, since = self.tables["stg_telecom_events"], self.silver_since()
+        return events if since is None else gold.events_since(events, since)
 
     def recent_silver(self) -> DataFrame:
         """All of silver, or on an incremental run only the windows to recompute."""
-        events = self.tables["silver_cell_events"]
-        if self.kpi_base is None:
+        events = self.tables[SILVER_TABLE]
+        if KPI_TABLE not in self.bases:
             return events
-        as_of = self.options.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-        bound = gold.aligned_lower_bound(as_of, self.options.lookback, self.options.width)
-        return gold.events_since(events, bound)
+        return gold.events_since(events, self.bound(self.options.lookback, self.options.width))
 
 
 @dataclass(frozen=True)
@@ -89,11 +110,11 @@ MODELS: tuple[Model, ...] = (
         lambda run: staging.stage_subscribers(run.tables["bronze_subscribers"], run.options.subscriber_order),
     ),
     Model(
-        "silver_cell_events",
+        SILVER_TABLE,
         "silver",
-        TABLE,
+        INCREMENTAL,
         lambda run: silver.silver_events(
-            run.tables["stg_telecom_events"], run.tables["bts_metadata"], run.options.as_of, run.options.policy
+            run.staged_events(), run.tables["bts_metadata"], run.options.as_of, run.options.policy
         ),
     ),
     Model(
@@ -147,7 +168,10 @@ class Lakehouse:
         self._spark = spark
         self._path = path.rstrip("/")
         self._publications = MetadataFolder(spark, f"{self._path}/publications")
-        self._kpis = KeyedSnapshot(spark, f"{self._path}/{KPI_TABLE}", gold.KPI_KEYS, day_parts("window_start"))
+        self._snapshots = {
+            SILVER_TABLE: KeyedSnapshot(spark, f"{self._path}/{SILVER_TABLE}", ["event_id"], day_parts("event_ts")),
+            KPI_TABLE: KeyedSnapshot(spark, f"{self._path}/{KPI_TABLE}", gold.KPI_KEYS, day_parts("window_start")),
+        }
 
     def tables(self, sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
         """Everything that was last published, with the views over it."""
@@ -161,7 +185,7 @@ class Lakehouse:
 
     def _published(self, model: Model, publication: dict) -> DataFrame:
         if model.kind == INCREMENTAL:
-            return self._kpis.read_version(publication["kpis"])
+            return self._snapshots[model.name].read_version(publication["snapshots"][model.name])
         return self._spark.read.parquet(f"{self._path}/{publication['tables'][model.name]}")
 
     def refresh(
@@ -178,10 +202,14 @@ class Lakehouse:
         current = self._publications.latest()
         number = 0 if current is None else current["run"] + 1
         selectors = frozenset(select)
-        # A full run starts the KPI table again; otherwise the published rows are the base.
-        base = None if options.full or current is None else current["kpis"]
-        run = Run(dict(sources), options, base)
-        published = {"run": number, "tables": dict(current["tables"]) if current else {}, "kpis": base}
+        # A full run starts the incremental tables again; otherwise the published rows are the base.
+        bases = {} if options.full or current is None else current["snapshots"]
+        run = Run(dict(sources), options, bases)
+        published = {
+            "run": number,
+            "tables": dict(current["tables"]) if current else {},
+            "snapshots": dict(current["snapshots"]) if current else {},
+        }
         built = []
         for model in MODELS:
             chosen = model.selected(selectors)
@@ -191,7 +219,6 @@ class Lakehouse:
                 raise ValueError(f"{model.name} was never published, so it must be selected")
             else:
                 run.tables[model.name] = self._published(model, current)
-                published["kpis"] = current["kpis"] if model.kind == INCREMENTAL else published["kpis"]
             if chosen:
                 built.append(model)
         report = self._audit(run, built, number)
@@ -208,14 +235,21 @@ class Lakehouse:
         if model.kind == VIEW:
             return rows
         if model.kind == INCREMENTAL:
-            staged = self._kpis.stage(rows, number, base=run.kpi_base)
-            published["kpis"] = staged.document
+            staged = self._stage(model.name, rows, run, number)
+            published["snapshots"][model.name] = staged.document
             return staged.read()
         folder = f"{model.name}/run-{number:012d}"
         rows.hint("rebalance").write.mode("overwrite").parquet(f"{self._path}/{folder}")
         published["tables"][model.name] = folder
         return self._spark.read.schema(rows.schema).parquet(f"{self._path}/{folder}")
 
+    def _stage(self, name: str, rows: DataFrame, run: Run, number: int) -> StagedVersion:
+        snapshot, base = self._snapshots[name], run.bases.get(name)
+        if name == SILVER_TABLE:
+            since = run.silver_since()
+            return snapshot.stage_replacement(rows, number, f"{since:%Y-%m-%d}" if since else None, base=base)
+        return snapshot.stage(rows, number, base=base)
+
     def _audit(self, run: Run, built: list[Model], number: int) -> DataFrame:
         """Report of the sources and the built models; written, so that it can be read for free."""
         names = [*[n for n in run.tables if n not in {m.name for m in MODELS}], *[m.name for m in built]]

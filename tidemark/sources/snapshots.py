@@ -116,29 +116,47 @@ class KeyedSnapshot:
         self, changes: DataFrame, batch: int, writer: str = DEFAULT_WRITER, base: dict | None = None
     ) -> StagedVersion:
         """Write the version that ``changes`` on top of ``base`` lead to, not yet visible."""
-        if self._order:
-            reduced = latest_changes(changes, self._keys, self._order)
-        else:
-            reduced = changes
-            self._require_unique(reduced)
-        reduced = reduced.persist()
+        reduced = (latest_changes(changes, self._keys, self._order) if self._order else changes).persist()
         try:
-            return self._write(reduced, base, batch, writer)
+            if not self._order:
+                self._require_unique(reduced)
+            touched = {r[0] for r in reduced.select(self._part.alias(_PART)).distinct().collect()}
+            parts = base["parts"] if base else {}
+            previous = [path for part, path in parts.items() if part in touched]
+            state = reduced
+            if previous:
+                self._check_types(base, reduced)
+                state = upsert(self._rows(base, previous), reduced, self._keys, self._order)
+            kept = {part: path for part, path in parts.items() if part not in touched}
+            return self._write(state, kept, batch, writer, base)
         finally:
             reduced.unpersist()
 
-    def _write(self, changes: DataFrame, current: dict | None, batch: int, writer: str) -> StagedVersion:
-        touched = {r[0] for r in changes.select(self._part.alias(_PART)).distinct().collect()}
-        parts = dict(current["parts"]) if current else {}
-        version = current["version"] + 1 if current else 0
+    def stage_replacement(
+        self,
+        rows: DataFrame,
+        batch: int,
+        since: str | None = None,
+        writer: str = DEFAULT_WRITER,
+        base: dict | None = None,
+    ) -> StagedVersion:
+        """Write a version whose parts from ``since`` on hold exactly ``rows``.
+
+        Earlier parts are taken over from ``base`` as they are; ``rows`` must not reach into
+        them. Nothing is joined, so this is the way to rebuild recent days of a large table.
+        """
+        parts = base["parts"] if base and since is not None else {}
+        kept = {part: path for part, path in parts.items() if part < since}
+        if kept:
+            self._check_types(base, rows)
+        return self._write(rows, kept, batch, writer, base)
+
+    def _write(
+        self, state: DataFrame, kept: dict[str, str], batch: int, writer: str, base: dict | None
+    ) -> StagedVersion:
+        version = base["version"] + 1 if base else 0
         # A retry of the batch finds the same folder and writes it again from the start.
         folder = f"data/v{version:012d}-b{batch}"
-        previous = [path for part, path in parts.items() if part in touched]
-        if previous:
-            self._check_types(current, changes)
-            state = upsert(self._rows(current, previous), changes, self._keys, self._order)
-        else:
-            state = changes
         (
             state.withColumn(_PART, self._part)
             .hint("rebalance", F.col(_PART))
@@ -148,9 +166,10 @@ class KeyedSnapshot:
         )
         written = child_folders(self._spark, f"{self._path}/{folder}")
         fresh = {name.split("=", 1)[1]: f"{folder}/{name}" for name in written if "=" in name}
-        parts = {part: path for part, path in parts.items() if part not in touched} | fresh
-        batches = (dict(current["batches"]) if current else {}) | {writer: batch}
-        document = {"version": version, "batches": batches, "schema": changes.schema.jsonValue(), "parts": parts}
+        if kept.keys() & fresh.keys():
+            raise ValueError(f"rows reach into kept parts of {self._path}: {sorted(kept.keys() & fresh.keys())}")
+        batches = (dict(base["batches"]) if base else {}) | {writer: batch}
+        document = {"version": version, "batches": batches, "schema": state.schema.jsonValue(), "parts": kept | fresh}
         return StagedVersion(self, document)
 
     def _check_types(self, current: dict, changes: DataFrame) -> None:

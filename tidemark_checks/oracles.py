@@ -260,7 +260,7 @@ def _build_report() -> str:
     _not_null("bronze_telecom_events", "ev_raw", "event_ts", "warn")
     _not_null("bronze_billing_plans", "plans_raw", "plan_name")
     _not_null("bronze_billing_plans", "plans_raw", "monthly_fee")
-    _values("bronze_subscribers", "subs_raw", "status", statuses)
+    _values("bronze_subscribers", "subs_state", "status", statuses)
     for column in ("event_id", "event_ts"):
         _not_null("stg_telecom_events", "ev_stg", column)
     _values("stg_telecom_events", "ev_stg", "event_type", "'VOICE', 'DATA'")
@@ -270,9 +270,9 @@ def _build_report() -> str:
     _not_null("stg_billing_plans", "plans_stg", "monthly_fee")
     _range("stg_billing_plans", "plans_stg", "monthly_fee", 0, 10000000)
     for column in ("subscriber_id", "plan_id"):
-        _not_null("stg_subscribers", "subs_stg", column)
-    _unique("stg_subscribers", "subs_stg", "subscriber_id")
-    _values("stg_subscribers", "subs_stg", "status", statuses)
+        _not_null("stg_subscribers", "subs_current", column)
+    _unique("stg_subscribers", "subs_current", "subscriber_id")
+    _values("stg_subscribers", "subs_current", "status", statuses)
     _box("silver_cell_events", "silver")
     for column in ("event_id", "cell_id", "latitude", "longitude"):
         _not_null("silver_cell_events", "silver", column)

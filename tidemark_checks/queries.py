@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import quality as dq
 from tidemark.operators.changes import flatten_envelopes, parse_changes, snapshot_with_changes
 from tidemark.operators.upsert import latest_changes, live_rows, upsert
-from tidemark.plans import bronze, gold, serving, silver, staging, suites
+from tidemark.plans import bronze, gold, serving, silver, staging
 from tidemark.plans.refresh import Lakehouse, RefreshOptions
 from tidemark.schemas import CELL_REFERENCE, SUBSCRIBER_PAYLOAD
 from tidemark.session import shared_folder
@@ -219,18 +219,25 @@ def upsert_schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
-def publish_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A full run, then an incremental one, and what is published at the end."""
+def _lakehouse(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, dict[str, DataFrame]]:
     sources = {
         "bts_metadata": inputs.cells(spark, sf_dir),
         "bronze_telecom_events": inputs.events(spark, sf_dir),
         "bronze_billing_plans": inputs.plans(spark, sf_dir),
         "bronze_subscribers": _subscriber_state(spark, sf_dir),
     }
-    house = Lakehouse(spark, shared_folder(spark, "lakehouse"))
-    order = {"plan_order": _CHANGE_ORDER, "subscriber_order": _CHANGE_ORDER}
-    house.refresh(sources, RefreshOptions(as_of=FIRST_CUT, full=True, **order))
-    house.refresh(sources, RefreshOptions(as_of=AS_OF, lookback=AS_OF - FIRST_CUT, **order))
+    return Lakehouse(spark, shared_folder(spark, "lakehouse")), sources
+
+
+_ORDER = {"plan_order": _CHANGE_ORDER, "subscriber_order": _CHANGE_ORDER}
+
+
+def publish_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full run, then an incremental one, and what is published at the end."""
+    house, sources = _lakehouse(spark, sf_dir)
+    since_first = AS_OF - FIRST_CUT
+    house.refresh(sources, RefreshOptions(as_of=FIRST_CUT, full=True, **_ORDER))
+    house.refresh(sources, RefreshOptions(as_of=AS_OF, lookback=since_first, silver_lookback=since_first, **_ORDER))
     return house.tables(sources)["gold_plan_revenue_impact"].drop("updated_at")
 
 
@@ -280,24 +287,9 @@ def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All suites, layer by layer."""
-    events, cells = inputs.events(spark, sf_dir), inputs.cells(spark, sf_dir)
-    customers = customer_360(spark, sf_dir)
-    tables = {
-        "bts_metadata": cells,
-        "bronze_telecom_events": events,
-        "bronze_billing_plans": inputs.plans(spark, sf_dir),
-        "bronze_subscribers": inputs.subscribers(spark, sf_dir),
-        "stg_telecom_events": staging.stage_events(events),
-        "stg_billing_plans": stg_billing_plans(spark, sf_dir),
-        "stg_subscribers": stg_subscribers(spark, sf_dir),
-        "silver_cell_events": silver_cell_events(spark, sf_dir),
-        "gold_network_kpis": network_kpis_15m(spark, sf_dir),
-        "gold_cell_heatmap": cell_heatmap(spark, sf_dir),
-        "gold_customer_360": customers,
-        "gold_plan_revenue_impact": gold.plan_revenue_impact(customers, AS_OF),
-    }
-    return dq.quality_report([(name, df, suites.SUITES[name](tables)) for name, df in tables.items()])
+    """The report of a full run: all suites over the sources and the tables that were built."""
+    house, sources = _lakehouse(spark, sf_dir)
+    return house.refresh(sources, RefreshOptions(as_of=AS_OF, full=True, **_ORDER)).report
 
 
 # --- serving ------------------------------------------------------------------------------------
