@@ -42,4 +42,4 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_entry(spark):
-    assert entry_points.entry(spark).count() == 20
+    assert entry_points.entry(spark).count() == 15

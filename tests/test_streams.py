@@ -68,7 +68,24 @@ def test_state_of_old_ids_is_dropped(spark, folder):
     job.run(*[event(f"{i}", f"10:{i:02d}:00") for i in range(30)])
     query = job.run(event("later", "13:00:00"))
     states = [op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"]]
-    assert states[-1] == 1
+    assert states[-2:] == [1, 1]
+
+
+def test_copies_of_one_event_are_spread_before_they_meet(spark, folder):
+    job = Telemetry(spark, folder)
+    query = job.run(*[event("hot", "10:00:00")] * 200, *[event(f"{i}", "10:01:00") for i in range(100)])
+    assert job.bronze().count() == 101
+    data = next(p for p in query.recentProgress if p["numInputRows"])
+    counts = [op["customMetrics"]["numDroppedDuplicateRows"] for op in data["stateOperators"]]
+    # At most one copy per slot is left for the task of the id.
+    assert sum(counts) == 199 and min(counts) < telemetry.COPY_SLOTS
+
+
+def test_a_micro_batch_writes_few_files_per_folder(spark, folder):
+    job = Telemetry(spark, folder)
+    job.run(*[event(f"{i}", "10:00:00") for i in range(500)])
+    files = job.bronze().select(F.input_file_name()).distinct().count()
+    assert files <= telemetry.FILES_PER_FOLDER
 
 
 def test_restart_without_data_adds_nothing(spark, folder):

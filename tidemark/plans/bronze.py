@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import BRONZE_EVENT_COLUMNS, EVENT_PAYLOAD
 
 
-def decode_events(records: DataFrame) -> DataFrame:
-    """Payload fields next to the broker key, broker time and the untouched payload text."""
+def decode_events(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Payload fields next to the broker key, broker time and the untouched payload text.
+
+    ``keep`` names further record columns to carry along.
+    """
     return records.select(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("value").cast("string").alias("raw_payload"),
         F.col("timestamp").alias("kafka_timestamp"),
         F.from_json(F.col("value").cast("string"), EVENT_PAYLOAD).alias("event"),
-    ).select("event.*", "kafka_key", "kafka_timestamp", "raw_payload")
+        *keep,
+    ).select("event.*", "kafka_key", "kafka_timestamp", "raw_payload", *keep)
 
 
 def type_events(decoded: DataFrame, ingested_at: Column | None = None) -> DataFrame:
@@ -27,7 +33,7 @@ def type_events(decoded: DataFrame, ingested_at: Column | None = None) -> DataFr
             "event_date": F.to_date("event_ts"),
             "event_hour": F.hour("event_ts"),
         }
-    ).select(*BRONZE_EVENT_COLUMNS)
+    ).select(*BRONZE_EVENT_COLUMNS, *[c for c in decoded.columns if c not in BRONZE_EVENT_COLUMNS])
 
 
 def reject_reason() -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
@@ -14,10 +15,15 @@ from tidemark.plans.bronze import accepted_events, decode_events, quarantined_ev
 from tidemark.plans.gold import KPI_WINDOW, windowed_kpis
 from tidemark.plans.silver import enrich_events, valid_events
 from tidemark.plans.staging import stage_events
+from tidemark.schemas import BRONZE_EVENT_COLUMNS
 
 # Fixed values of the ingestion job.
 ALLOWED_LATENESS = timedelta(minutes=10)
 TELEMETRY_TRIGGER = "20 seconds"
+FOLDER_COLUMNS = ("event_date", "network_type")
+
+COPY_SLOTS = 16
+FILES_PER_FOLDER = 8
 
 
 def _interval(duration: timedelta) -> str:
@@ -29,24 +35,47 @@ def trigger_options(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
 
-def typed_events(records: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def typed_events(records: DataFrame, ingested_at: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Broker records to typed events, before any row is dropped."""
-    return type_events(decode_events(records), ingested_at)
+    return type_events(decode_events(records, keep), ingested_at)
+
+
+def _arrival_slot(columns: Sequence[str], slots: int) -> Column:
+    """Spreads the copies of an event by when they arrived; the same on every retry."""
+    return F.pmod(F.xxhash64(*columns), F.lit(slots))
 
 
-def unique_within_watermark(events: DataFrame, lateness: timedelta = ALLOWED_LATENESS) -> DataFrame:
+def unique_within_watermark(
+    events: DataFrame,
+    lateness: timedelta = ALLOWED_LATENESS,
+    arrival: Sequence[str] = ("kafka_timestamp",),
+    slots: int = COPY_SLOTS,
+) -> DataFrame:
     """First copy of each event id, for as long as a copy can still arrive in time.
 
     The state of an id is dropped once the watermark has passed it, so the state store holds
     about ``lateness`` worth of ids. Deduplication by id alone would keep every id for ever.
     Rows older than the watermark are dropped; see :func:`missing_events`.
+
+    A stream has no map-side combine for this, and all copies of one id go to one task. So the
+    copies are first reduced per id and arrival slot, in ``slots`` tasks, and only what is left
+    meets under the id. Without much repeated events, ``slots=1`` saves that first shuffle.
     """
-    return events.withWatermark("event_ts", _interval(lateness)).dropDuplicatesWithinWatermark(["event_id"])
+    timed = events.withWatermark("event_ts", _interval(lateness))
+    if slots > 1:
+        spread = timed.withColumn("__slot", _arrival_slot(arrival, slots))
+        timed = spread.dropDuplicatesWithinWatermark(["event_id", "__slot"]).drop("__slot")
+    return timed.dropDuplicatesWithinWatermark(["event_id"])
 
 
-def bronze_stream(records: DataFrame, lateness: timedelta = ALLOWED_LATENESS) -> DataFrame:
+def bronze_stream(
+    records: DataFrame, lateness: timedelta = ALLOWED_LATENESS, slots: int = COPY_SLOTS
+) -> DataFrame:
     """Accepted, deduplicated bronze events of a record stream."""
-    return unique_within_watermark(accepted_events(typed_events(records)), lateness)
+    position = [c for c in ("partition", "offset") if c in records.columns]
+    accepted = accepted_events(typed_events(records, keep=position))
+    unique = unique_within_watermark(accepted, lateness, ("kafka_timestamp", *position), slots)
+    return unique.select(*BRONZE_EVENT_COLUMNS)
 
 
 def append_job(
@@ -83,10 +112,18 @@ def bronze_job(
     path: str,
     interval: str | None = TELEMETRY_TRIGGER,
     lateness: timedelta = ALLOWED_LATENESS,
+    slots: int = COPY_SLOTS,
+    files_per_folder: int = FILES_PER_FOLDER,
 ) -> DataStreamWriter:
-    """Telemetry into the bronze event table, in folders by day and network type."""
-    rows = bronze_stream(records, lateness)
-    return append_job(rows, checkpoint, path, interval, ("event_date", "network_type"))
+    """Telemetry into the bronze event table, in folders by day and network type.
+
+    After the deduplication every task holds rows of every folder. Rows are brought together per
+    folder first, in ``files_per_folder`` groups, so a micro-batch writes that many files to a
+    folder and not one per task. Choose it for files of about 128 MB at the expected rate.
+    """
+    group = F.pmod(F.xxhash64("event_id"), F.lit(files_per_folder))
+    rows = bronze_stream(records, lateness, slots).repartition(*[F.col(c) for c in FOLDER_COLUMNS], group)
+    return append_job(rows, checkpoint, path, interval, FOLDER_COLUMNS)
 
 
 def quarantine_job(
@@ -113,6 +150,7 @@ def kpi_stream(
     width: timedelta = KPI_WINDOW,
     lateness: timedelta = ALLOWED_LATENESS,
     policy: LookupPolicy = DEFAULT_POLICY,
+    slots: int = COPY_SLOTS,
 ) -> DataFrame:
     """KPIs of closed windows over a bronze event stream, by the batch model's own expressions.
 
@@ -120,7 +158,7 @@ def kpi_stream(
     of the stream when it fits the broadcast limits.
     """
     valid = valid_events(stage_events(events).drop("raw_payload", "kafka_key"))
-    unique = unique_within_watermark(valid, lateness)
+    unique = unique_within_watermark(valid, lateness, slots=slots)
     enriched = enrich_events(unique, cells, policy)
     return windowed_kpis(enriched, width).drop("updated_at")
 
