@@ -2,13 +2,14 @@ import itertools
 import json
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import flatten_envelopes, parse_changes, snapshot_with_changes
 from tidemark.operators.upsert import latest_changes, live_rows, merge_statement, sync_schema, upsert
+from tidemark.plans.bronze import accepted_events, decode_events, type_events
 from tidemark.schemas import PLAN_PAYLOAD, SUBSCRIBER_PAYLOAD
 
 SCHEMA = "k string, v string, t int, is_deleted boolean"
@@ -139,3 +140,13 @@ def test_merge_statement_is_valid_sql(spark):
         text = merge_statement("bronze.subs", ["k", "v", "t", "is_deleted"], ["k"], ORDER, delete_col)
         assert "MergeIntoTable" in parser.parsePlan(text.replace("{changes}", "changes")).toString()
     assert "then delete" in merge_statement("x", ["k", "t"], ["k"], ORDER)
+
+
+def test_a_filter_on_parsed_fields_does_not_parse_again(spark):
+
+    source = spark.createDataFrame([(b"k", b"{}", 0)], "key binary, value binary, offset long").withColumn(
+        "timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp")
+    )
+    assert plan(accepted_events(type_events(decode_events(source)))).count("from_json") == 1
+    changes = parse_changes(source, PLAN_PAYLOAD)
+    assert plan(live_rows(changes).where("monthly_fee > 0")).count("from_json") == 1

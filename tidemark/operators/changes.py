@@ -66,9 +66,8 @@ def parse_changes(records: DataFrame, schema: T.StructType, ingested_at: Column
     the row's ``updated_at``, or the broker time where the row has none; for a delete, whose row
     image may hold only the key, it is the later of the two.
     """
-    parsed = records.select(
-        F.from_json(_unwrapped("value"), schema).alias("row"), *_log_columns(records)
-    ).select("row.*", "kafka_timestamp", "change_seq")
+    # The generator keeps filters on the fields from being pushed down with a second parser.
+    parsed = records.select(F.inline(F.array(F.from_json(_unwrapped("value"), schema))), *_log_columns(records))
     stamps = {c: F.timestamp_millis(c) for c in EPOCH_MILLIS_COLUMNS if c in parsed.columns}
     typed = parsed.withColumns(stamps).withColumns(
         {

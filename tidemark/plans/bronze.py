@@ -15,13 +15,16 @@ def decode_events(records: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     ``keep`` names further record columns to carry along.
     """
+    payload = F.col("value").cast("string")
     return records.select(
+        # Unlike a struct column that is flattened later, a generator is a barrier for filters:
+        # they cannot be pushed below it with a second copy of the parser inside.
+        F.inline(F.array(F.from_json(payload, EVENT_PAYLOAD))),
         F.col("key").cast("string").alias("kafka_key"),
-        F.col("value").cast("string").alias("raw_payload"),
         F.col("timestamp").alias("kafka_timestamp"),
-        F.from_json(F.col("value").cast("string"), EVENT_PAYLOAD).alias("event"),
+        payload.alias("raw_payload"),
         *keep,
-    ).select("event.*", "kafka_key", "kafka_timestamp", "raw_payload", *keep)
+    )
 
 
 def type_events(decoded: DataFrame, ingested_at: Column | None = None) -> DataFrame:

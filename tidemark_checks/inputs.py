@@ -123,7 +123,13 @@ def input_sql(template: str, dialect: str) -> str:
 
 
 def given_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. The growing ones are spread over the cores when they are stored in fewer
+    files than there are cores; a table of many files is read as it is, without a shuffle."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in ("events", "orders") and len(table.inputFiles()) < cores:
+        return table.repartition(cores)
+    return table
 
 
 def _input(spark: SparkSession, sf_dir: str, template: str) -> DataFrame:

@@ -220,13 +220,18 @@ def upsert_schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lakehouse(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, dict[str, DataFrame]]:
-    sources = {
+    """A lakehouse and its stored source tables."""
+    root = shared_folder(spark, "lakehouse")
+    append_partitioned(inputs.events(spark, sf_dir), f"{root}/bronze_telecom_events")
+    others = {
         "bts_metadata": inputs.cells(spark, sf_dir),
-        "bronze_telecom_events": inputs.events(spark, sf_dir),
         "bronze_billing_plans": inputs.plans(spark, sf_dir),
         "bronze_subscribers": _subscriber_state(spark, sf_dir),
     }
-    return Lakehouse(spark, shared_folder(spark, "lakehouse")), sources
+    for name, frame in others.items():
+        frame.write.parquet(f"{root}/{name}")
+    names = [*others, "bronze_telecom_events"]
+    return Lakehouse(spark, f"{root}/published"), {name: spark.read.parquet(f"{root}/{name}") for name in names}
 
 
 _ORDER = {"plan_order": _CHANGE_ORDER, "subscriber_order": _CHANGE_ORDER}
