@@ -88,6 +88,16 @@ def test_a_micro_batch_writes_few_files_per_folder(spark, folder):
     assert files <= telemetry.FILES_PER_FOLDER
 
 
+def test_state_partitions_are_chosen_per_job(spark, folder):
+    deliver(spark, f"{folder}/landing", event("1", "10:00:00"))
+    job = telemetry.bronze_job(file_records(spark, f"{folder}/landing"), f"{folder}/checkpoint", f"{folder}/bronze", None)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    query = telemetry.start_job(job, spark, 3)
+    query.awaitTermination()
+    assert {op["numShufflePartitions"] for p in query.recentProgress for op in p["stateOperators"]} == {3}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before != "3"
+
+
 def test_restart_without_data_adds_nothing(spark, folder):
     job = Telemetry(spark, folder)
     job.run(event("1", "10:00:00"))

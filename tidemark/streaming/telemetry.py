@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.lookup import DEFAULT_POLICY, LookupPolicy
@@ -35,6 +35,24 @@ def trigger_options(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
 
+def start_job(job: DataStreamWriter, spark: SparkSession, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a job with a chosen number of state partitions.
+
+    The number is fixed with the first start on a checkpoint, so it should come from the expected
+    state size and core count, not from the setting that batch queries happen to use.
+    """
+    if state_partitions is None:
+        return job.start()
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    # A query takes a copy of the session's settings when it starts.
+    spark.conf.set(setting, str(state_partitions))
+    try:
+        return job.start()
+    finally:
+        spark.conf.set(setting, before)
+
+
 def typed_events(records: DataFrame, ingested_at: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Broker records to typed events, before any row is dropped."""
     return type_events(decode_events(records, keep), ingested_at)

@@ -31,8 +31,8 @@ def _slices(records: DataFrame, cuts: tuple[str, ...]) -> list[DataFrame]:
     return [records.where(c) for c in conditions]
 
 
-def _run(job: DataStreamWriter) -> None:
-    job.start().awaitTermination()
+def _run(spark: SparkSession, job: DataStreamWriter) -> None:
+    telemetry.start_job(job, spark, spark.sparkContext.defaultParallelism).awaitTermination()
 
 
 def _deliver(slices: list[DataFrame], folder: str, work: Callable[[], None]) -> None:
@@ -48,7 +48,7 @@ def _bronze_run(spark: SparkSession, slices: list[DataFrame], extra_runs: int =
     landing, bronze = f"{root}/landing", f"{root}/bronze"
 
     def work() -> None:
-        _run(telemetry.bronze_job(file_records(spark, landing), f"{root}/checkpoint", bronze, None))
+        _run(spark, telemetry.bronze_job(file_records(spark, landing), f"{root}/checkpoint", bronze, None))
 
     _deliver(slices, landing, work)
     for _ in range(extra_runs):
@@ -94,7 +94,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def work() -> None:
         records = file_records(spark, f"{root}/landing")
-        _run(telemetry.quarantine_job(records, f"{root}/checkpoint", f"{root}/rejected", None))
+        _run(spark, telemetry.quarantine_job(records, f"{root}/checkpoint", f"{root}/rejected", None))
 
     _deliver(_slices(inputs.event_records(spark, sf_dir), _EVENT_CUTS[:1]), f"{root}/landing", work)
     rejected = spark.read.parquet(f"{root}/rejected")
@@ -108,7 +108,7 @@ def stream_network_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def work() -> None:
         events = accepted_events(telemetry.typed_events(file_records(spark, f"{root}/landing")))
-        _run(telemetry.kpi_job(telemetry.kpi_stream(events, cells), f"{root}/checkpoint", f"{root}/kpis", None))
+        _run(spark, telemetry.kpi_job(telemetry.kpi_stream(events, cells), f"{root}/checkpoint", f"{root}/kpis", None))
 
     _deliver(_slices(inputs.event_records(spark, sf_dir), _EVENT_CUTS[:1]), f"{root}/landing", work)
     return _zoneless(spark.read.parquet(f"{root}/kpis"))
