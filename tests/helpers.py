@@ -13,6 +13,14 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in selected.collect()), key=lambda r: tuple((v is not None, v) for v in r))
 
 
-def plan(df) -> str:
+def plan(df, mode: str = "simple") -> str:
     """Physical plan text."""
-    return df._jdf.queryExecution().explainString(df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    explain = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
+    return df._jdf.queryExecution().explainString(explain)
+
+
+def scan_details(df) -> dict[str, str]:
+    """Filters and columns of the first file scan, in full."""
+    text = plan(df, "formatted")
+    scan = text[text.index(") Scan parquet") :].split("\n\n")[0]
+    return dict(row.split(": ", 1) for row in scan.splitlines() if ": " in row)

@@ -116,18 +116,23 @@ class KeyedSnapshot:
         self, changes: DataFrame, batch: int, writer: str = DEFAULT_WRITER, base: dict | None = None
     ) -> StagedVersion:
         """Write the version that ``changes`` on top of ``base`` lead to, not yet visible."""
-        reduced = (latest_changes(changes, self._keys, self._order) if self._order else changes).persist()
+        reduced = latest_changes(changes, self._keys, self._order) if self._order else changes
+        if not base or not base["parts"]:
+            # An initial load can be large: it is written once and checked where it lies.
+            staged = self._write(reduced, {}, batch, writer, base)
+            if not self._order:
+                self._require_unique(staged.read(include_deleted=True))
+            return staged
+        # A batch is read three times, for the check, the list of parts and the join.
+        reduced = reduced.persist()
         try:
             if not self._order:
                 self._require_unique(reduced)
+            self._check_types(base, reduced)
             touched = {r[0] for r in reduced.select(self._part.alias(_PART)).distinct().collect()}
-            parts = base["parts"] if base else {}
-            previous = [path for part, path in parts.items() if part in touched]
-            state = reduced
-            if previous:
-                self._check_types(base, reduced)
-                state = upsert(self._rows(base, previous), reduced, self._keys, self._order)
-            kept = {part: path for part, path in parts.items() if part not in touched}
+            previous = [path for part, path in base["parts"].items() if part in touched]
+            state = upsert(self._rows(base, previous), reduced, self._keys, self._order)
+            kept = {part: path for part, path in base["parts"].items() if part not in touched}
             return self._write(state, kept, batch, writer, base)
         finally:
             reduced.unpersist()
