@@ -41,3 +41,30 @@ def append_partitioned(
         .partitionBy(*partition_cols)
         .parquet(path)
     )
+
+
+def create_fact_table(
+    spark: SparkSession,
+    table: str,
+    schema: T.StructType,
+    partition_cols: Sequence[str] = ("event_date", "network_type"),
+    provider: str = "parquet",
+    properties: dict[str, str] | None = None,
+) -> None:
+    """Declare a partitioned catalog table if it is missing.
+
+    ``partition_cols`` may be transforms such as ``days(event_ts)`` where the provider has them;
+    ``properties`` pass on provider settings such as a target file size.
+    """
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    settings = ", ".join(f"'{name}' = '{value}'" for name, value in (properties or {}).items())
+    spark.sql(
+        f"create table if not exists {table} ({columns}) using {provider} "
+        f"partitioned by ({', '.join(partition_cols)})" + (f" tblproperties ({settings})" if settings else "")
+    )
+
+
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """Make tables and views available to SQL in this session, under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
