@@ -60,6 +60,12 @@ def test_columns_may_come_and_go_but_not_change_type(spark, folder):
         table.apply(spark.createDataFrame([("a", "text")], "k string, n string"), 2)
 
 
+def test_the_rule_that_cuts_a_table_cannot_change(spark, folder):
+    KeyedSnapshot(spark, folder, ["k"], hash_parts(["k"], 4), ["t"]).apply(frame(spark, ("a", "1", 1, False)), 0)
+    with pytest.raises(ValueError, match="was cut by"):
+        KeyedSnapshot(spark, folder, ["k"], hash_parts(["k"], 8), ["t"]).apply(frame(spark, ("a", "2", 2, False)), 1)
+
+
 def test_unordered_changes_must_have_unique_keys(spark, folder):
     table = KeyedSnapshot(spark, folder, ["k"], hash_parts(["k"], 2))
     with pytest.raises(DuplicateKeysError):

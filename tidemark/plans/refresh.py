@@ -173,12 +173,14 @@ class Lakehouse:
             KPI_TABLE: KeyedSnapshot(spark, f"{self._path}/{KPI_TABLE}", gold.KPI_KEYS, day_parts("window_start")),
         }
 
-    def tables(self, sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    def tables(
+        self, sources: dict[str, DataFrame], options: RefreshOptions = RefreshOptions()
+    ) -> dict[str, DataFrame]:
         """Everything that was last published, with the views over it."""
         current = self._publications.latest()
         if current is None:
             raise FileNotFoundError(f"nothing was published in {self._path}")
-        run = Run(dict(sources), RefreshOptions())
+        run = Run(dict(sources), options)
         for model in MODELS:
             run.tables[model.name] = self._published(model, current) if model.kind != VIEW else model.build(run)
         return run.tables

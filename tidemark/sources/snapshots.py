@@ -128,7 +128,7 @@ class KeyedSnapshot:
         try:
             if not self._order:
                 self._require_unique(reduced)
-            self._check_types(base, reduced)
+            self._check_base(base, reduced)
             touched = {r[0] for r in reduced.select(self._part.alias(_PART)).distinct().collect()}
             previous = [path for part, path in base["parts"].items() if part in touched]
             state = upsert(self._rows(base, previous), reduced, self._keys, self._order)
@@ -153,7 +153,7 @@ class KeyedSnapshot:
         parts = base["parts"] if base and since is not None else {}
         kept = {part: path for part, path in parts.items() if part < since}
         if kept:
-            self._check_types(base, rows)
+            self._check_base(base, rows)
         return self._write(rows, kept, batch, writer, base)
 
     def _write(
@@ -174,10 +174,19 @@ class KeyedSnapshot:
         if kept.keys() & fresh.keys():
             raise ValueError(f"rows reach into kept parts of {self._path}: {sorted(kept.keys() & fresh.keys())}")
         batches = (dict(base["batches"]) if base else {}) | {writer: batch}
-        document = {"version": version, "batches": batches, "schema": state.schema.jsonValue(), "parts": kept | fresh}
+        document = {
+            "version": version,
+            "batches": batches,
+            "part_rule": repr(self._part),
+            "schema": state.schema.jsonValue(),
+            "parts": kept | fresh,
+        }
         return StagedVersion(self, document)
 
-    def _check_types(self, current: dict, changes: DataFrame) -> None:
+    def _check_base(self, current: dict, changes: DataFrame) -> None:
+        """Rows may only be added under the rule that placed the stored ones, with their types."""
+        if current["part_rule"] != repr(self._part):
+            raise ValueError(f"{self._path} was cut by {current['part_rule']}, not by {self._part!r}")
         stored = {f.name: f.dataType for f in T.StructType.fromJson(current["schema"])}
         for field in changes.schema:
             if stored.get(field.name, field.dataType) != field.dataType:
