@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, main_text, quality, secrets, token_counts
+from tidemark.llm import contamination, jaccard_join, main_text, mixing, quality, secrets, token_counts, top_k
 from tidemark.llm.frames import table
 from tidemark.session import prepare
 
@@ -19,6 +19,13 @@ def remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def op1_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).select(
+        "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,6 +46,16 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def op8_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
@@ -76,8 +93,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_top_k_search": op1_top_k_search,
     "op3_token_counts": op3_token_counts,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_jaccard_join": op6_jaccard_join,
+    "op7_source_mixing": op7_source_mixing,
     "op8_secret_scans": op8_secret_scans,
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
