@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, jaccard_join, main_text, mixing, quality, secrets, token_counts, top_k
+from tidemark.llm import contamination, context_tree, jaccard_join, main_text, mixing, quality, secrets, token_counts, top_k
 from tidemark.llm.frames import table
 from tidemark.session import prepare
 
@@ -33,6 +33,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+def op4_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    scored = context_tree.score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) != 2)
+    return scored.select("doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     found = contamination.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -95,6 +101,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_top_k_search": op1_top_k_search,
     "op3_token_counts": op3_token_counts,
+    "op4_context_tree_scores": op4_context_tree_scores,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_source_mixing": op7_source_mixing,
