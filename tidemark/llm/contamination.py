@@ -175,7 +175,8 @@ def find_contamination(
         ),
         lambda acc: acc["total"],
     )
-    found = by_text.select("text_key", "spans", "items", covered.alias("n_hit"))
+    # Stored, so that a text with many copies can be split in the join below.
+    found = stored(by_text.select("text_key", "spans", "items", covered.alias("n_hit")), "text-hits")
     return scanned.select(id_col, "n_words", "text_key").join(found, "text_key", "left").select(
         id_col,
         "n_words",
