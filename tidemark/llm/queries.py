@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, context_tree, jaccard_join, main_text, mixing, quality, secrets, token_counts, top_k
+from tidemark.llm import contamination, context_tree, jaccard_join, main_text, mixing, quality, secrets, suffix_dedup, token_counts, top_k
 from tidemark.llm.frames import table
 from tidemark.session import prepare
 
@@ -26,6 +26,13 @@ def op1_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return suffix_dedup.repeated_spans(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -100,6 +107,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_top_k_search": op1_top_k_search,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_context_tree_scores": op4_context_tree_scores,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
