@@ -12,12 +12,11 @@ comparison itself is an equi-join of window hashes.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import arrays
@@ -90,6 +89,11 @@ def _in_bitmap(bitmap: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
     return (bitmap[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1 == 1
 
 
+def text_key(text_col: str) -> Column:
+    """Names a text; equal texts share their hits."""
+    return F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_key")
+
+
 def _scan(docs: DataFrame, lengths: list[int], prints: bytes, windows: bytes, bits: int, id_col: str, text_col: str) -> DataFrame:
     """Per document its word count, the hash of its text, and the windows that may be an item's."""
     kind = docs.schema[id_col].dataType.simpleString()
@@ -102,7 +106,6 @@ def _scan(docs: DataFrame, lengths: list[int], prints: bytes, windows: bytes, bi
             data, offsets = arrays.utf8(batch.column(1))
             count = np.empty(batch.num_rows, np.int64)
             maybe: list = [[] for _ in range(batch.num_rows)]
-            keys = [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(offsets, offsets[1:], strict=False)]
             for a, b in arrays.pieces(offsets):
                 part = offsets[a : b + 1]
                 low = arrays.LOWER[data[part[0] : part[-1]]]
@@ -128,32 +131,18 @@ def _scan(docs: DataFrame, lengths: list[int], prints: bytes, windows: bytes, bi
                     for t, s, x in zip(text.tolist(), (begin - own[text]).tolist(), full.view(np.int64).tolist(), strict=True):
                         maybe[a + t].append({"start": s, "n": n, "h": x})
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count), pa.array(keys, pa.binary()), pa.array(maybe, span)],
+                [batch.column(0), pa.array(count), batch.column(2), pa.array(maybe, span)],
                 names=[id_col, "n_words", "text_key", "maybe"],
             )
 
-    schema = f"`{id_col}` {kind}, n_words long, text_key binary, maybe array<struct<start:long,n:int,h:long>>"
-    return docs.select(id_col, text_col).mapInArrow(run, schema)
+    schema = f"`{id_col}` {kind}, n_words long, text_key string, maybe array<struct<start:long,n:int,h:long>>"
+    return docs.select(id_col, text_col, text_key(text_col)).mapInArrow(run, schema)
 
 
-def find_contamination(
-    docs: DataFrame,
-    items: DataFrame,
-    window: int = WINDOW,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_id_col: str = "item_id",
-    item_text_col: str = "text",
-    bits: int = BITMAP_BITS,
-) -> DataFrame:
-    """One row per document: id, ``n_words``, ``n_hit`` (words inside an occurring window), ``items``
-    (ids of the items with occurring windows, sorted as text) and ``spans`` (start and number of words
-    of each occurrence).
-
-    Null and empty texts have no words and no hits; an item without id or without words takes no
-    part; items that share an id count once. Document ids may be null or repeat. Other columns are
-    not read.
-    """
+def _hits(
+    docs: DataFrame, items: DataFrame, window: int, id_col: str, text_col: str, item_id_col: str, item_text_col: str, bits: int
+) -> tuple[DataFrame, DataFrame]:
+    """The scanned documents (id, ``n_words``, ``text_key``), and per text with hits these."""
     test = stored(item_windows(items, window, item_id_col, item_text_col), "test-windows")
     lengths = sorted(r["n"] for r in test.select("n").distinct().collect())  # at most ``window``
     prints = _bitmap(test.where("item is null"), bits)
@@ -176,7 +165,28 @@ def find_contamination(
         lambda acc: acc["total"],
     )
     # Stored, so that a text with many copies can be split in the join below.
-    found = stored(by_text.select("text_key", "spans", "items", covered.alias("n_hit")), "text-hits")
+    return scanned, stored(by_text.select("text_key", "spans", "items", covered.alias("n_hit")), "text-hits")
+
+
+def find_contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    window: int = WINDOW,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id_col: str = "item_id",
+    item_text_col: str = "text",
+    bits: int = BITMAP_BITS,
+) -> DataFrame:
+    """One row per document: id, ``n_words``, ``n_hit`` (words inside an occurring window), ``items``
+    (ids of the items with occurring windows, sorted as text) and ``spans`` (start and number of words
+    of each occurrence).
+
+    Null and empty texts have no words and no hits; an item without id or without words takes no
+    part; items that share an id count once. Document ids may be null or repeat. Other columns are
+    not read.
+    """
+    scanned, found = _hits(docs, items, window, id_col, text_col, item_id_col, item_text_col, bits)
     return scanned.select(id_col, "n_words", "text_key").join(found, "text_key", "left").select(
         id_col,
         "n_words",
@@ -189,3 +199,12 @@ def find_contamination(
 def is_contaminated(n_hit="n_hit", n_words="n_words"):
     """At least one word in twenty stands in a window of a test item."""
     return (F.col(n_hit) > 0) & (20 * F.col(n_hit) >= F.col(n_words))
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the contaminated texts; all columns are kept."""
+    scanned, found = _hits(docs, items, window, id_col, text_col, "item_id", "text", BITMAP_BITS)
+    bad = scanned.join(found, "text_key").where(is_contaminated()).select("text_key").distinct()
+    keyed = docs.withColumn("__text", text_key(text_col))
+    bad = stored(bad.withColumnRenamed("text_key", "__text"), "contaminated-texts")
+    return keyed.join(bad, "__text", "left_anti").select(*docs.columns)

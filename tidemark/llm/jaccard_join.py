@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from tidemark.llm import arrays
 from tidemark.llm.frames import stored
@@ -254,6 +255,16 @@ def links(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_
     return scanned, found
 
 
+def _classes(scanned: DataFrame, found: DataFrame | None, id_col: str) -> DataFrame:
+    """For each set (``c``) the least id of its component, ``label``."""
+    labels = scanned.where("c is not null").groupBy("c").agg(F.min(id_col).alias("label"))
+    if found is None:
+        return labels
+    labels = stored(labels, "join-classes")
+    moved = components(found, labels).withColumnRenamed("label", "lower")
+    return labels.join(moved, "c", "left").select("c", F.coalesce("lower", "label").alias("label"))
+
+
 def join(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``n_shingles`` and ``component_id``, the least id reachable by links.
 
@@ -261,11 +272,32 @@ def join(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_c
     their own id. Ids may be null (a null id is never the least) or repeat. Other columns are not read.
     """
     scanned, found = links(docs, shingle, id_col, text_col)
-    labels = scanned.where("c is not null").groupBy("c").agg(F.min(id_col).alias("label"))
-    if found is not None:
-        labels = stored(labels, "join-classes")
-        moved = components(found, labels).withColumnRenamed("label", "lower")
-        labels = labels.join(moved, "c", "left").select("c", F.coalesce("lower", "label").alias("label"))
+    labels = stored(_classes(scanned, found, id_col), "join-labels")
     return scanned.join(labels, "c", "left").select(
         id_col, F.col("n").alias("n_shingles"), F.coalesce("label", id_col).alias("component_id")
     )
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The document with the least id of each component, with all its columns; of rows that repeat it,
+    one. Documents without words stay. Ids should differ between different texts; if components
+    share a least id, or have none, one document of each distinct set stays."""
+    scanned, found = links(docs, shingle, id_col, text_col)
+    labels = _classes(scanned, found, id_col)
+    rows = scanned.where("c is not null").join(labels, "c").where(F.col(id_col).eqNullSafe(F.col("label")))
+    kept = stored(rows.groupBy("c").agg(F.count(F.lit(1)).alias("copies")), "join-kept")
+    text_at, names = docs.columns.index(text_col), docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = arrays.utf8(batch.column(text_at))
+            keys = [set_key(m) if len(m) else None for m in shingle_sets(data, offsets, shingle)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*names, "__set"])
+
+    keyed = docs.mapInArrow(run, StructType([*docs.schema.fields]).add("__set", LongType()))
+    least = stored(labels.select(F.col("c").alias("__set"), F.col("label").alias("__label")).join(kept.withColumnRenamed("c", "__set"), "__set"), "join-least")
+    joined = keyed.where("__set is not null").join(least, "__set").where(F.col(id_col).eqNullSafe(F.col("__label")))
+    single = joined.where("copies = 1").select(*names)
+    # The same id and set more than once: few rows, of which one stays.
+    several = joined.where("copies > 1").dropDuplicates(["__set"]).select(*names)
+    return keyed.where("__set is null").select(*names).unionByName(single).unionByName(several)

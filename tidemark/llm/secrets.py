@@ -194,7 +194,7 @@ def thresholds(scanned: DataFrame, false_discovery: float) -> dict[str, float]:
 
 
 def find_secrets(
-    docs: DataFrame, false_discovery: float = 0.05, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()
+    docs: DataFrame, false_discovery: float = 0.05, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """One row per input row: ``id_col``, ``base`` and ``spans``, arrays of (start, kind, end) by start
     and kind; ``kind`` counts in :data:`KINDS`. ``spans`` holds ``base`` and the random strings that
@@ -224,3 +224,41 @@ def spans_text(spans) -> F.Column:
         ),
         ",",
     )
+
+
+MASK = "[secret]"
+
+
+def masked(text: str, cuts: dict[str, float]) -> str:
+    """The text with each secret replaced by :data:`MASK`; overlapping spans become one."""
+    base = base_spans(text)
+    spans = [(s, e) for s, _, e in base]
+    spans += [(s, e) for s, e, x, p in candidates(text) if p >= cuts.get(x, 2.0) and not any(a < e and s < b for a, _, b in base)]
+    out, at = [], 0
+    for s, e in sorted(spans):
+        if s >= at:
+            out += [text[at:s], MASK]
+        at = max(at, e)
+    return "".join([*out, text[at:]])
+
+
+def mask_secrets(docs: DataFrame, false_discovery: float = 0.05, text_col: str = "text", n_chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with the secrets in the text masked, and ``n_chars_col``, where there is one, as long as
+    the text is then. All rows and columns are kept; null texts stay null."""
+    first = docs.columns[0]
+    scanned = stored(scan(docs, first, text_col).select("found"), "secret-scan")
+    cuts = thresholds(scanned, false_discovery)
+    names, text_at = docs.columns, docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [masked(t, cuts) if t else t for t in batch.column(text_at).to_pylist()]
+            columns = list(batch.columns)
+            columns[text_at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    out = docs.mapInArrow(run, docs.schema)
+    if n_chars_col in names:
+        kind = docs.schema[n_chars_col].dataType
+        out = out.withColumn(n_chars_col, F.coalesce(F.char_length(text_col).cast(kind), F.col(n_chars_col)))
+    return out
