@@ -3,9 +3,9 @@ from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import latest_per_key
-from tidemark.operators.lookup import LookupPolicy, fits_broadcast, hot_keys, lookup_join
+from tidemark.operators.lookup import LookupPolicy, fits_broadcast, lookup_join
 
-TINY = LookupPolicy(broadcast_rows=2, hot_share=0.2)
+TINY = LookupPolicy(broadcast_rows=2)
 
 
 def test_latest_uses_every_order_column_and_puts_nulls_last(spark):
@@ -45,15 +45,14 @@ def test_every_way_of_joining_gives_the_same_rows(spark, tables, how):
     assert "BroadcastHashJoin" in plan(broadcast)
 
 
-def test_only_the_hot_keys_are_broadcast_beyond_the_limit(spark, tables):
+def test_beyond_the_limit_both_sides_are_shuffled(spark, tables):
     fact, reference = tables
-    assert hot_keys(fact, "k", TINY) == ["hot"]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text = plan(lookup_join(fact, reference, "k", "inner", TINY))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert text.count("SortMergeJoin") == 1 and text.count("BroadcastHashJoin") == 1 and "Union" in text
+    assert text.count("SortMergeJoin") == 1 and "Broadcast" not in text and "SinglePartition" not in text
 
 
 def test_broadcast_limits_are_measured(spark):
@@ -62,9 +61,3 @@ def test_broadcast_limits_are_measured(spark):
     assert not fits_broadcast(frame, LookupPolicy(broadcast_rows=2))
     assert not fits_broadcast(frame, LookupPolicy(broadcast_bytes=2900))
     assert fits_broadcast(frame.where("false"))
-
-
-def test_a_cheaper_frame_can_bound_the_size(spark, tables):
-    fact, reference = tables
-    joined = lookup_join(fact, reference, "k", "inner", TINY, size_bound=reference.limit(1))
-    assert "Union" not in plan(joined)

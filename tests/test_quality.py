@@ -58,7 +58,7 @@ def test_coordinate_box_fails_null(spark):
 def test_references_give_every_orphan_row(spark):
     parents = spark.createDataFrame([("a",), ("a",), (None,)], "id string")
     children = spark.createDataFrame([("a",), ("x",), ("x",), ("y",), (None,)], "k string")
-    for policy in (LookupPolicy(), LookupPolicy(broadcast_rows=0, hot_share=0.3)):
+    for policy in (LookupPolicy(), LookupPolicy(broadcast_rows=0)):
         assert rows(References("k", parents, "id", policy).violations(children)) == [("x",), ("x",), ("y",)]
 
 

@@ -10,10 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Inputs of the KPI sums carry at most three decimals; six keep them exact (one byte per MB).
-FIXED_POINT_DIGITS = 6
-# A fixed-point total beyond this is close to the long range, so the double sum is used.
-_LONG_GUARD = "4.0E18D"
+# Sums are exact to twelve decimals; a total beyond 26 digits before the point is an error.
+_SUM_TYPE = "decimal(38, 12)"
 # From here on a double has no fractional digits left to round.
 _DOUBLE_INTEGRAL = 2.0**52
 
@@ -26,7 +24,8 @@ def round_half_up(column: str, digits: int) -> Column:
     """Round to ``digits`` places, halves away from zero, in plain double arithmetic.
 
     ``F.round`` goes through BigDecimal for every row and disagrees with other engines on
-    values such as 1.005; this form is cheaper and reproducible.
+    values such as 1.005; this form is cheaper and reproducible. A value too large to have
+    fractional digits at that place is already round and stays as it is.
     """
     scale = float(10**digits)
     return F.expr(
@@ -35,29 +34,31 @@ def round_half_up(column: str, digits: int) -> Column:
     )
 
 
-def _finite(column: str) -> str:
-    return f"nanvl(cast(`{column}` as double), cast(null as double))"
+def _special(column: str) -> str:
+    return f"(isnan(cast(`{column}` as double)) or abs(cast(`{column}` as double)) = double('infinity'))"
 
 
-def _exact_sum(column: str, digits: int) -> str:
-    scale = _double(float(10**digits))
-    units = f"try_sum(floor({_finite(column)} * {scale} + 0.5D))"
-    return f"case when abs({units}) < {_LONG_GUARD} then {units} / {scale} else sum({_finite(column)}) end"
+def _exact_sum(column: str) -> str:
+    special = _special(column)
+    return (
+        f"case when count_if({special}) > 0 then sum(case when {special} then cast(`{column}` as double) end) "
+        f"else cast(sum(case when not {special} then cast(`{column}` as {_SUM_TYPE}) end) as double) end"
+    )
 
 
-def exact_sum(column: str, digits: int = FIXED_POINT_DIGITS) -> Column:
-    """Sum of a double column that does not depend on the order of the rows.
+def exact_sum(column: str) -> Column:
+    """Sum of a numeric column, as a double, that does not depend on the order of the rows.
 
-    Each value is taken as a whole number of ``10**-digits`` units and summed as a long: exact,
-    associative, and still a map-side combined hash aggregate (a decimal sum would leave the
-    primitive path). A group whose total leaves the long range falls back to the double sum.
+    Decimal addition is associative, and the fixed-width buffer still combines on the map side.
+    NaN and infinity stay what they are in floating-point arithmetic; a total that does not fit is an
+    error, never a rounded result.
     """
-    return F.expr(_exact_sum(column, digits))
+    return F.expr(_exact_sum(column))
 
 
-def exact_avg(column: str, digits: int = FIXED_POINT_DIGITS) -> Column:
+def exact_avg(column: str) -> Column:
     """Mean over the non-null values, built on :func:`exact_sum`; null for an empty group."""
-    return F.expr(f"({_exact_sum(column, digits)}) / nullif(count({_finite(column)}), 0)")
+    return F.expr(f"({_exact_sum(column)}) / nullif(count(`{column}`), 0)")
 
 
 def percent_of(part: str, whole: str) -> Column:

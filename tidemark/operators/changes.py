@@ -27,11 +27,20 @@ def _log_columns(records: DataFrame) -> list[Column]:
     return [F.col("timestamp").alias("kafka_timestamp"), position.cast("long").alias("change_seq")]
 
 
-def flatten_envelopes(records: DataFrame, row_schema: T.StructType) -> DataFrame:
+def _key_value(key_column: str) -> Column:
+    """The row key from the record key: a field of it where that is a JSON object, else its text."""
+    key = _text("key")
+    return F.coalesce(
+        F.get_json_object(_unwrapped("key"), f"$.{key_column}"), F.when(~F.coalesce(key.startswith("{"), F.lit(False)), key)
+    )
+
+
+def flatten_envelopes(records: DataFrame, row_schema: T.StructType, key_column: str | None = None) -> DataFrame:
     """Turn ``before / after / op`` envelopes into flat JSON rows.
 
     Keeps the new row state only, drops tombstones (null values), and rewrites a delete to the
-    old row with the deleted mark set. The result has the columns of the input, with ``value``
+    old row with the deleted mark set. With ``key_column``, a delete that brings no old row keeps the
+    key of its record, which is all that an upsert needs; without, it is dropped. The result has the columns of the input, with ``value``
     replaced, so :func:`parse_changes` reads it like records that were flattened at the source.
     """
     image = T.StructType([f for f in row_schema if f.name != DELETED_MARK])
@@ -46,7 +55,13 @@ def flatten_envelopes(records: DataFrame, row_schema: T.StructType) -> DataFrame
         "__envelope", F.from_json(_unwrapped("value"), envelope)
     )
     is_delete = F.col("__envelope.op") == "d"
-    row = F.when(is_delete, F.col("__envelope.before")).otherwise(F.col("__envelope.after"))
+    before = F.col("__envelope.before")
+    if key_column is not None:
+        only_key = [
+            (_key_value(key_column) if f.name == key_column else F.lit(None)).cast(f.dataType).alias(f.name) for f in image
+        ]
+        before = F.coalesce(before, F.when(_key_value(key_column).isNotNull(), F.struct(*only_key)))
+    row = F.when(is_delete, before).otherwise(F.col("__envelope.after"))
     mark = F.when(is_delete, F.lit("true")).otherwise(F.lit("false"))
     return (
         decoded.withColumn("__row", row)
@@ -84,7 +99,7 @@ def parse_changes(records: DataFrame, schema: T.StructType, ingested_at: Column
 def snapshot_with_changes(snapshot: DataFrame, changes: DataFrame) -> DataFrame:
     """An initial table copy followed by its change log, as one change set.
 
-    Snapshot rows are never deletes and sort before every logged change of the same instant.
+    Snapshot rows are never deletes, and their log position of -1 sorts before every logged change.
     """
     base = snapshot.withColumns({"is_deleted": F.lit(False), "change_seq": F.lit(-1).cast("long")})
     return base.select(*[c for c in changes.columns if c in base.columns]).unionByName(

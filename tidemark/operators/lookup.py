@@ -11,16 +11,10 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class LookupPolicy:
-    """Limits of :func:`lookup_join`.
-
-    ``broadcast_bytes`` and ``broadcast_rows`` bound what is sent to every executor.
-    ``hot_share`` is the share of the fact rows from which a key counts as hot; at most
-    ``1 / hot_share`` keys can be hot, which bounds the list of them.
-    """
+    """Bounds of what :func:`lookup_join` sends to every executor."""
 
     broadcast_bytes: int = 128 * 1024 * 1024
     broadcast_rows: int = 1_000_000
-    hot_share: float = 1.0e-3
 
 
 DEFAULT_POLICY = LookupPolicy()
@@ -38,50 +32,25 @@ def _row_bytes(schema: T.StructType) -> Column:
 def fits_broadcast(df: DataFrame, policy: LookupPolicy = DEFAULT_POLICY) -> bool:
     """Measure ``df`` and tell whether it is within the broadcast limits.
 
-    The probe stops after ``broadcast_rows + 1`` rows, so it stays cheap on a table of any size.
+    Each task counts its rows and bytes and hands on these two numbers, however large ``df`` is.
     """
-    probe = df.limit(policy.broadcast_rows + 1).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("bytes")
-    )
-    row = probe.first()
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df.schema)).alias("bytes")).first()
     return row["n"] <= policy.broadcast_rows and (row["bytes"] or 0) <= policy.broadcast_bytes
 
 
-def hot_keys(fact: DataFrame, key: str, policy: LookupPolicy = DEFAULT_POLICY) -> list:
-    """Keys that hold more than ``hot_share`` of the rows: at most ``1 / hot_share`` values."""
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return [r[0] for r in counts.where(F.col("n") > total * policy.hot_share).select(key).collect()]
-
-
 def lookup_join(
-    fact: DataFrame,
-    reference: DataFrame,
-    key: str,
-    how: str = "inner",
-    policy: LookupPolicy = DEFAULT_POLICY,
-    size_bound: DataFrame | None = None,
+    fact: DataFrame, reference: DataFrame, key: str, how: str = "inner", policy: LookupPolicy | None = DEFAULT_POLICY
 ) -> DataFrame:
     """Join ``fact`` with ``reference`` on the column ``key``, present on both sides.
 
-    ``reference`` must hold one row per key; ``how`` is ``inner``, ``left`` or ``left_anti``.
-    A reference table that measures within the policy is broadcast and the fact table is not
-    shuffled. A larger one is joined by shuffle, except for the hot keys: their reference rows
-    (bounded in number) are broadcast to their fact rows, so no shuffle partition gets them.
-    Splitting here, and not only through adaptive skew handling, also keeps a later group-by on
-    the same key from reusing the skewed partitioning.
+    ``reference`` must hold one row per key; ``how`` is ``inner``, ``left`` or ``left_anti``. A
+    reference table that measures within the policy is broadcast and the fact table is not
+    shuffled. A larger one is joined by shuffle; adaptive execution splits the partitions of hot
+    keys, and sees the size of what was shuffled, so it may still broadcast.
 
-    ``size_bound`` names a cheaper frame that holds at least as many rows of about the same
-    width, for a ``reference`` that is costly to compute. A streaming ``fact`` cannot be counted
-    up front and joins a large reference by shuffle alone.
+    Measuring reads the reference once, so it is meant for stored tables. ``policy`` None leaves the
+    choice to adaptive execution alone, for a reference that is costly to compute.
     """
-    if fits_broadcast(size_bound if size_bound is not None else reference, policy):
-        return fact.join(F.broadcast(reference), key, how)
-    if fact.isStreaming:
-        return fact.join(reference, key, how)
-    hot = hot_keys(fact, key, policy)
-    if not hot:
-        return fact.join(reference, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    skewed = fact.where(is_hot).join(F.broadcast(reference.where(F.col(key).isin(hot))), key, how)
-    return fact.where(~is_hot).join(reference, key, how).unionByName(skewed)
+    if policy is not None and fits_broadcast(reference, policy):
+        reference = F.broadcast(reference)
+    return fact.join(reference, key, how)

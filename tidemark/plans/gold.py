@@ -209,14 +209,13 @@ def customer_360(
     heatmap: DataFrame,
     as_of: datetime | None = None,
     rules: CustomerRules = CustomerRules(),
-    policy: LookupPolicy = DEFAULT_POLICY,
-    cell_bound: DataFrame | None = None,
+    policy: LookupPolicy | None = DEFAULT_POLICY,
 ) -> DataFrame:
     """Active subscribers with their plan and the state of their home cell.
 
-    A subscriber without a plan drops out, one whose cell has no KPI stays. ``cell_bound`` names
-    a cheap frame with at least one row per heatmap row (the cell reference), for callers whose
-    heatmap is not stored.
+    A subscriber without a plan drops out, one whose cell has no KPI stays. Plans are reduced to
+    their latest state here, and the heatmap may be a view, so neither is computed just to be
+    measured: with ``policy`` the heatmap is, for callers that have stored it.
     """
     active = subscribers.where(F.col("status") == "active").select(
         "subscriber_id", "full_name", "status", "activated_at", "plan_id", "home_cell_id"
@@ -226,7 +225,7 @@ def customer_360(
         F.col("cell_id").alias("home_cell_id"), *[F.col(c).alias(name) for c, name in _HOME_CELL.items()]
     )
     joined = lookup_join(
-        lookup_join(active, offers, "plan_id", "inner", policy), cells, "home_cell_id", "left", policy, cell_bound
+        lookup_join(active, offers, "plan_id", "inner", None), cells, "home_cell_id", "left", policy
     )
     scored = joined.withColumns({"customer_impact_score": _impact_score(rules), "churn_risk_tier": _churn_tier(rules)})
     return scored.select(

@@ -124,7 +124,8 @@ MODELS: tuple[Model, ...] = (
         lambda run: gold.windowed_kpis(run.recent_silver(), run.options.width, run.options.as_of),
         frozenset({"gold"}),
     ),
-    Model("gold_cell_heatmap", "gold", VIEW, lambda run: gold.cell_heatmap(run.tables[KPI_TABLE]), _DASHBOARD),
+    # A table, as its readers would each rank the whole KPI history.
+    Model("gold_cell_heatmap", "gold", TABLE, lambda run: gold.cell_heatmap(run.tables[KPI_TABLE]), _DASHBOARD),
     Model(
         "gold_customer_360",
         "gold",
@@ -135,7 +136,6 @@ MODELS: tuple[Model, ...] = (
             run.tables["gold_cell_heatmap"],
             run.options.as_of,
             policy=run.options.policy,
-            cell_bound=run.tables["bts_metadata"],
         ),
         _BILLING,
     ),

@@ -69,7 +69,7 @@ def churn_breakdown(customers: DataFrame, limit: int = 100) -> DataFrame:
 
 def revenue_by_plan(revenue: DataFrame, limit: int = 100) -> DataFrame:
     """Monthly revenue per plan name."""
-    plans = revenue.groupBy("plan_name").agg(exact_sum("total_monthly_revenue", 2).alias("total_revenue"))
+    plans = revenue.groupBy("plan_name").agg(exact_sum("total_monthly_revenue").alias("total_revenue"))
     return plans.orderBy(F.desc("total_revenue"), "plan_name").limit(limit)
 
 
@@ -84,8 +84,8 @@ def fee_vs_quality(customers: DataFrame, limit: int = 1000) -> DataFrame:
 def revenue_at_risk(revenue: DataFrame, limit: int = 100) -> DataFrame:
     """Revenue and revenue at risk per plan name."""
     plans = revenue.groupBy("plan_name").agg(
-        exact_sum("total_monthly_revenue", 2).alias("total_revenue"),
-        exact_sum("total_revenue_at_risk", 2).alias("revenue_at_risk"),
+        exact_sum("total_monthly_revenue").alias("total_revenue"),
+        exact_sum("total_revenue_at_risk").alias("revenue_at_risk"),
     )
     return plans.orderBy(F.desc("total_revenue"), "plan_name").limit(limit)
 

@@ -16,7 +16,9 @@ from tidemark.streaming.telemetry import trigger_options
 
 # Fixed values of the change-capture job.
 CHANGE_TRIGGER = "30 seconds"
-CHANGE_ORDER = ("change_ts", "change_seq")
+# A key stays in one partition of the log, so its position orders the key's changes; the clocks of
+# the row and of the broker do not. The time decides only where records come without a position.
+CHANGE_ORDER = ("change_seq", "change_ts")
 
 Sink = Callable[[DataFrame, int], None]
 

@@ -19,9 +19,8 @@ def _round(value: str, digits: int) -> str:
     return f"(sign({value}) * floor(abs({value}) * {scale} + 0.5e0) / {scale} + 0e0)"
 
 
-def _sum(value: str, digits: int = 6) -> str:
-    scale = f"{10**digits}e0"
-    return f"(cast(sum(cast(floor({value} * {scale} + 0.5e0) as bigint)) as double) / {scale})"
+def _sum(value: str) -> str:
+    return f"cast(sum(cast({value} as decimal(38, 12))) as double)"
 
 
 def _avg(value: str) -> str:
@@ -178,7 +177,7 @@ from (select * replace (upper(cell_id) as cell_id, upper(event_type) as event_ty
         "updated_at, chg_offset",
         _SUBSCRIBER_STAGED,
     ),
-    "subs_state": _latest("subs_raw", "subscriber_id", "updated_at, chg_offset"),
+    "subs_state": _latest("subs_raw", "subscriber_id", "chg_offset"),
     "subs_current": f"select {_SUBSCRIBER_STAGED} from subs_state where {_SUBSCRIBER_VALID}",
     "cust_15m": _customers("heat_15m"),
     "cust_1d": _customers("heat_1d"),
@@ -212,8 +211,19 @@ def _query(sql: str) -> str:
 
 _PARSED_CHANGES = (
     "select subscriber_id, full_name, plan_id, home_cell_id, status, activated_at, updated_at, "
-    "chg_offset as change_seq, is_deleted, updated_at as change_ts from subs_raw"
+    "chg_offset as change_seq, is_deleted, "
+    "case when is_deleted then updated_at + interval '5' minute else updated_at end as change_ts from {rows}"
+)
+# Every third delete comes without its old row: the key is all that is known.
+_ENVELOPED = """(select * replace (
+    case when bare then null else full_name end as full_name, case when bare then null else plan_id end as plan_id,
+    case when bare then null else home_cell_id end as home_cell_id, case when bare then null else status end as status,
+    case when bare then null else activated_at end as activated_at, updated_at as updated_at)
+    from (select *, is_deleted and chg_offset % 3 = 0 as bare from subs_raw))"""
+_ENVELOPED_CHANGES = _PARSED_CHANGES.format(rows=_ENVELOPED).replace(
+    "activated_at, updated_at, ", "activated_at, case when bare then null else updated_at end as updated_at, ", 1
 )
+_PARSED_CHANGES = _PARSED_CHANGES.format(rows="subs_raw")
 
 # One line per check of the report: table, relation, check, severity, violations.
 _REPORT: list[tuple[str, str, str, str, str]] = []
@@ -338,7 +348,14 @@ _BODIES: dict[str, str] = {
         "count(*) as n_rows from ev_raw where event_type is null or event_ts is null group by 1"
     ),
     "cdc_parse": _PARSED_CHANGES,
-    "cdc_flatten_envelope": _PARSED_CHANGES,
+    "cdc_flatten_envelope": _ENVELOPED_CHANGES,
+    "cdc_recreated_key": (
+        f"select * from ({_PARSED_CHANGES}) where subscriber_id in (select subscriber_id from subs_raw where is_deleted) "
+        "qualify row_number() over (partition by subscriber_id order by change_seq desc) = 1 and not is_deleted"
+    ),
+    "lookup_large_reference": (
+        "select o_orderkey, o_custkey, o_totalprice, c_name, c_nationkey from orders join customer on o_custkey = c_custkey"
+    ),
     "cdc_latest_state": "select * from subs_state",
     "cdc_upsert": "select * from subs_state where not is_deleted",
     "cdc_upsert_stored": "select * from subs_state where not is_deleted",
@@ -352,7 +369,7 @@ from (select * from subs_raw
              timestamp '1990-01-01' as updated_at, timestamp '1990-01-01' as ingested_at, false as is_deleted,
              cast(-1 as bigint) as chg_offset
       from customer)
-qualify row_number() over (partition by subscriber_id order by updated_at desc, chg_offset desc) = 1
+qualify row_number() over (partition by subscriber_id order by chg_offset desc) = 1
     and not is_deleted""",
     "seed_reference": "select * from cells",
     "bronze_partitioned_write": "select * from ev_raw",
@@ -404,7 +421,7 @@ from (select max(ingested_at) as max_loaded_at from ev_raw)""",
         "order by 2 desc, 1 limit 100"
     ),
     "serve_revenue_by_plan": (
-        f"select plan_name, {_sum('total_monthly_revenue', 2)} as total_revenue from rev_15m group by 1 "
+        f"select plan_name, {_sum('total_monthly_revenue')} as total_revenue from rev_15m group by 1 "
         "order by 2 desc, 1 limit 100"
     ),
     "serve_fee_vs_quality": (
@@ -412,8 +429,8 @@ from (select max(ingested_at) as max_loaded_at from ev_raw)""",
         "order by 3 desc, 1, 2 limit 1000"
     ),
     "serve_revenue_at_risk": (
-        f"select plan_name, {_sum('total_monthly_revenue', 2)} as total_revenue, "
-        f"{_sum('total_revenue_at_risk', 2)} as revenue_at_risk from rev_1d group by 1 order by 2 desc, 1 limit 100"
+        f"select plan_name, {_sum('total_monthly_revenue')} as total_revenue, "
+        f"{_sum('total_revenue_at_risk')} as revenue_at_risk from rev_1d group by 1 order by 2 desc, 1 limit 100"
     ),
     "serve_top_loaded_cells": (
         "select cell_id, province, district, severity, drop_call_rate_pct, qoe_issue_rate_pct, cell_load_score, "

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import quality as dq
 from tidemark.operators.changes import flatten_envelopes, parse_changes, snapshot_with_changes
+from tidemark.operators.lookup import LookupPolicy, lookup_join
 from tidemark.operators.upsert import latest_changes, live_rows, upsert
 from tidemark.plans import bronze, gold, serving, silver, staging
 from tidemark.plans.refresh import Lakehouse, RefreshOptions
@@ -17,6 +18,7 @@ from tidemark.schemas import CELL_REFERENCE, SUBSCRIBER_PAYLOAD
 from tidemark.session import shared_folder
 from tidemark.sources.snapshots import KeyedSnapshot, day_parts, hash_parts
 from tidemark.sources.tables import append_partitioned, load_seed
+from tidemark.streaming.billing import CHANGE_ORDER
 from tidemark_checks import inputs
 from tidemark_checks.inputs import AS_OF, FIRST_CUT
 
@@ -24,6 +26,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 DAY = timedelta(days=1)
 _CHANGE_ORDER = ("updated_at", "chg_offset")
+# Changes apply in the order of the log, whatever their times say.
+_LOG_ORDER = ("chg_offset",)
 
 
 def _zoneless(df: DataFrame) -> DataFrame:
@@ -73,7 +77,7 @@ def stg_subscribers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _subscriber_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current subscribers as the change stream would leave them."""
-    return latest_changes(inputs.subscribers(spark, sf_dir), ["subscriber_id"], _CHANGE_ORDER)
+    return latest_changes(inputs.subscribers(spark, sf_dir), ["subscriber_id"], _LOG_ORDER)
 
 
 def _customers(spark: SparkSession, sf_dir: str, heatmap: DataFrame) -> DataFrame:
@@ -82,7 +86,7 @@ def _customers(spark: SparkSession, sf_dir: str, heatmap: DataFrame) -> DataFram
         stg_billing_plans(spark, sf_dir),
         heatmap,
         AS_OF,
-        cell_bound=inputs.cells(spark, sf_dir),
+        policy=None,
     )
 
 
@@ -102,6 +106,13 @@ def plan_revenue_impact_1d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.plan_revenue_impact(customer_360_1d(spark, sf_dir), AS_OF)
 
 
+def lookup_large_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their customer, under a policy that forbids the broadcast."""
+    orders = inputs.given_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    customers = inputs.given_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey")
+    return lookup_join(orders, customers, "o_custkey", "inner", LookupPolicy(broadcast_rows=0))
+
+
 # --- ingestion and change capture ---------------------------------------------------------------
 
 
@@ -127,7 +138,7 @@ def cdc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_flatten_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flat = flatten_envelopes(inputs.subscriber_envelopes(spark, sf_dir), SUBSCRIBER_PAYLOAD)
+    flat = flatten_envelopes(inputs.subscriber_envelopes(spark, sf_dir), SUBSCRIBER_PAYLOAD, "subscriber_id")
     return _zoneless(parse_changes(flat, SUBSCRIBER_PAYLOAD)).drop("kafka_timestamp", "ingested_at")
 
 
@@ -139,9 +150,9 @@ def cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three overlapping change sets in an order that is not the order of the changes."""
     changes = inputs.subscribers(spark, sf_dir)
     status = F.col("status")
-    first = upsert(changes.where(F.lit(False)), changes.where(status == "suspended"), ["subscriber_id"], _CHANGE_ORDER)
-    second = upsert(first, changes.where(status != "suspended"), ["subscriber_id"], _CHANGE_ORDER)
-    replayed = upsert(second, changes.where(status == "terminated"), ["subscriber_id"], _CHANGE_ORDER)
+    first = upsert(changes.where(F.lit(False)), changes.where(status == "suspended"), ["subscriber_id"], _LOG_ORDER)
+    second = upsert(first, changes.where(status != "suspended"), ["subscriber_id"], _LOG_ORDER)
+    replayed = upsert(second, changes.where(status == "terminated"), ["subscriber_id"], _LOG_ORDER)
     return live_rows(replayed)
 
 
@@ -153,7 +164,7 @@ def cdc_upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
         shared_folder(spark, "subscribers"),
         ["subscriber_id"],
         hash_parts(["subscriber_id"], 4),
-        _CHANGE_ORDER,
+        _LOG_ORDER,
         "is_deleted",
     )
     table.apply(changes.where(F.col("status") == "suspended"), 0)
@@ -175,7 +186,16 @@ def cdc_snapshot_plus_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("1990-01-01 00:00:00").cast("timestamp_ntz").alias("ingested_at"),
     )
     both = snapshot_with_changes(customers, changes)
-    return live_rows(latest_changes(both, ["subscriber_id"], ("updated_at", "change_seq")))
+    return live_rows(latest_changes(both, ["subscriber_id"], ("change_seq",)))
+
+
+def cdc_recreated_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subscribers that were deleted and came back: the log decides, not the times of the rows."""
+    flat = flatten_envelopes(inputs.subscriber_envelopes(spark, sf_dir), SUBSCRIBER_PAYLOAD, "subscriber_id")
+    changes = parse_changes(flat, SUBSCRIBER_PAYLOAD)
+    state = live_rows(latest_changes(changes, ["subscriber_id"], CHANGE_ORDER))
+    deleted = changes.where("is_deleted").select("subscriber_id")
+    return _zoneless(state.join(deleted, "subscriber_id", "left_semi")).drop("kafka_timestamp", "ingested_at")
 
 
 # --- tables -------------------------------------------------------------------------------------
@@ -363,6 +383,7 @@ BATCH_QUERIES: dict[str, Query] = {
         cell_heatmap, cell_heatmap_1d, stg_billing_plans, stg_subscribers, customer_360, customer_360_1d,
         plan_revenue_impact, plan_revenue_impact_1d, parse_json_events, quarantine_events, cdc_parse,
         cdc_flatten_envelope, cdc_latest_state, cdc_upsert, cdc_upsert_stored, cdc_snapshot_plus_changes,
+        cdc_recreated_key, lookup_large_reference,
         seed_reference, bronze_partitioned_write, kpi_incremental_upsert, upsert_schema_sync, publish_audited,
         dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_accepted_range, dq_not_empty,
         dq_coordinate_box, dq_freshness, dq_report, serve_table_counts, serve_heatmap_points,
