@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -19,9 +20,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     cuts the lineage, and is computed once."""
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
+    _drop_shuffles(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps, which it does once nothing on the driver
+    refers to them; otherwise they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """``function`` on every Arrow batch of ``df``."""
 
@@ -31,3 +40,10 @@ def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBat
                 yield out
 
     return df.mapInArrow(run, schema)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a :func:`stored` table that nothing reads any more."""
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

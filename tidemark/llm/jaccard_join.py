@@ -6,15 +6,20 @@ Jaccard distance is a metric, and two sets are linked if it is at most ``reach``
    of its own shingles and at 1 from all others, so its nearest pivots are its own shingles. Of two
    linked documents with at most n shingles, at most n - ceil(3n/4) of the larger one's are not
    shared, so in any fixed order of all shingles each of both has a shared shingle among its first
-   n - ceil(3n/4) + 1. These are the regions a document is copied to. The order puts frequent
-   shingles last (by a count sketch of fixed size), so a passage that many documents share makes a
-   region only of documents that consist of it. Equal sets are one point.
-2. *Recursion.* Each region elects a document as pivot, and the exact distance of every member to it
-   is computed. Members within reach are linked to it, and so connected with one another. What
-   remains are pairs with a member beyond reach; by the triangle inequality its partner is at most
-   ``reach`` nearer to the pivot. So the members beyond reach, with the copies of those linked
-   members that lie in this window, form the region of the next round; the pivot leaves.
-   Regions end when no member is beyond reach.
+   n - ceil(3n/4) + 1. These are the regions a document is copied to. Equal sets are one point.
+   This is done twice: the first time, hashes order the shingles, ``f(n)`` = 1 + n/16 more of them
+   are looked at, and documents that do not share as many of these with others as a link needs are
+   done. Among the rest shingles are counted, and the order puts frequent
+   ones last, so a passage that many documents share makes a region only of documents that
+   consist of it. The counts are kept in a table of fixed size; places that shingles share make
+   the order worse, never the result.
+2. *Recursion.* Each region elects a document in its middle as pivot, and the exact distance of every
+   member to it is computed. Members within reach of it are linked, and so connected with one
+   another. What remains are pairs of different components; each round the documents outside the
+   pivot's component elect further pivots, eight times as many as before, and each is compared with
+   the members of other components in its window: by the triangle inequality, partners differ by at
+   most ``reach`` in their distances to the first pivot. A pivot that was compared leaves; a region
+   ends when it holds one component.
 3. *Components* of the links, by repeated hooking to the smallest neighbour.
 
 No pair is missed and no region is capped.
@@ -26,16 +31,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from tidemark.llm import arrays
-from tidemark.llm.frames import stored
+from tidemark.llm.frames import discard, stored
 
 SHINGLE = 5
 SKETCH_BITS = 18
 NEEDED_BITS = 22
+LEVEL_BITS = 24
 # Linked if SHARE[1] * intersection >= SHARE[0] * union.
 SHARE = (75, 100)
 
@@ -117,47 +123,133 @@ def _levels(sketch: np.ndarray) -> np.ndarray:
     return np.clip(np.floor(np.log2(np.maximum(sketch, 1) / usual)) + 1, 0, 15).astype(np.uint8)
 
 
+def _regions_of(n: int) -> int:
+    """Of so many first shingles, a linked set shares one at least."""
+    return n + (-n * SHARE[0]) // SHARE[1] + 1
+
+
+def _more(n):
+    """Of the first n - ceil(3n/4) + f(n) shingles of both, linked sets share the lesser f."""
+    return n // 16 + 1
+
+
 def _regions(docs: DataFrame, levels: np.ndarray, shingle: int, text_col: str) -> DataFrame:
-    """Rows (``o``, ``c``, ``n``): the regions of each set, once per task. The four high bits of ``o``
-    hold the level, so regions sort rare first."""
+    """Rows (``o``, ``c``): the regions of each set, and ``_more`` others, once per task. The four high
+    bits of ``o`` hold the level, so regions sort rare first."""
     shared = docs.sparkSession.sparkContext.broadcast(levels.tobytes())  # 2**SKETCH_BITS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level, seen = np.frombuffer(shared.value, np.uint8), set()
         for batch in batches:
             data, offsets = arrays.utf8(batch.column(0))
-            out, keys, sizes = [], [], []
+            out, keys = [], []
             for members in shingle_sets(data, offsets, shingle):
                 n = len(members)
                 if not n or (key := set_key(members)) in seen:
                     continue
                 seen.add(key)
                 order = (level[(members >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(60)) | (members >> np.uint64(4))
-                out.append(np.sort(order)[: n + (-n * SHARE[0]) // SHARE[1] + 1])
+                out.append(np.sort(order)[: _regions_of(n) - 1 + _more(n)])
                 keys.append(key)
-                sizes.append(n)
             if out:
                 count = [len(x) for x in out]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(keys, count)), pa.array(np.repeat(sizes, count).astype(np.int32))],
-                    names=["o", "c", "n"],
+                    [pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(keys, count))], names=["o", "c"]
                 )
 
-    return docs.select(text_col).mapInArrow(run, "o long, c long, n int")
+    return docs.select(text_col).mapInArrow(run, "o long, c long")
+
+
+def _with_pivots(rows: DataFrame) -> DataFrame:
+    """Members of regions with two sets or more, with the region's pivot ``p``: the set whose shingles
+    are the most common, which lies in the middle of copies that were changed in different places."""
+    pivots = rows.groupBy("o").agg(F.max(F.struct("w", "c", "n")).alias("pivot"), F.min("c").alias("first"), F.max("c").alias("last"))
+    pivots = pivots.where("first < last").select("o", F.col("pivot.c").alias("p"), F.col("pivot.n").alias("pn"))
+    return rows.join(pivots, "o").where("c != p")
+
+
+def _in_company(regions: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of ``classes`` (``c``, ``n``, ...) those that share as many regions with others as a linked set does.
 
+    Rows of shingles that are frequent by the sketch meet a small table, which Spark may broadcast;
+    the others are dealt by shingle once, for finding the shared ones and for their members.
+    """
+
+    def shared(rows: DataFrame) -> DataFrame:
+        common = rows.groupBy("o").agg(F.min("c").alias("first"), F.max("c").alias("last")).where("first < last")
+        return rows.join(common.select("o"), "o").select("o", "c")
+
+    frequent = F.expr("shiftrightunsigned(o, 60) > 0")
+    partitions = int(regions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    company = shared(regions.where(~frequent).repartition(partitions, "o")).unionByName(shared(regions.where(frequent)))
+    # A set that several tasks have met counts more than once, which keeps too many, never too few.
+    met = company.groupBy("c").agg(F.count(F.lit(1)).alias("met"))
+    # The least size of a linked set decides how many are needed.
+    needed = F.floor(F.ceil(F.col("n") * SHARE[0] / SHARE[1]) / 16) + 1
+    return met.join(classes, "c").where(F.col("met") >= needed).select(*classes.columns)
+
+
+def _count_levels(sets: DataFrame) -> np.ndarray:
+    """For each place of the count table the highest level of its shingles: 0 where each is in one
+    set, then the power of two of the sets that have it. At most 2**LEVEL_BITS rows reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 512):
+                values = [np.frombuffer(x.as_buffer(), np.int64) for x in batch.column(0).slice(k, 512)]
+                h, count = np.unique(np.concatenate(values), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(count)], names=["h", "n"])
 
-def _with_pivots(regions: DataFrame, key: list[str], partitions: int | None = None) -> DataFrame:
-    """Members of regions with two sets or more, with the region's pivot ``p``: its smallest set."""
-    rows = regions.repartition(partitions, *key) if partitions else regions
-    pivots = rows.groupBy(*key).agg(F.min(F.struct("n", "c")).alias("pivot"), F.min("c").alias("first"), F.max("c").alias("last"))
-    pivots = pivots.where("first < last").select(*key, F.col("pivot.c").alias("p"), F.col("pivot.n").alias("pn"))
-    return rows.join(pivots, key).where("c != p")
+    counted = sets.select("members").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1")
+    place = F.shiftrightunsigned("h", 64 - LEVEL_BITS).cast("int")
+    level = F.least(F.floor(F.log2("n")), F.lit(15)).cast("int")
+    found = counted.select(place.alias("place"), level.alias("level")).groupBy("place").agg(F.max("level").alias("level")).toArrow()
+    out = np.zeros(1 << LEVEL_BITS, np.uint8)
+    out[found["place"].to_numpy()] = found["level"].to_numpy()
+    return out
 
 
-def _needed(rows: DataFrame, docs: DataFrame, shingle: int, text_col: str) -> DataFrame:
-    """The sets (``c``, ``members``) of the keys in ``rows`` (``c``), and by chance of a few more."""
-    mask = (1 << NEEDED_BITS) - 1
-    found = rows.select(F.col("c").bitwiseAND(mask).cast("int").alias("bit")).distinct().toArrow()  # at most 2**NEEDED_BITS
+def _second_regions(sets: DataFrame, levels: np.ndarray) -> DataFrame:
+    """Rows (``o``, ``c``, ``n``, ``w``): the regions of each set, rare shingles first, but those of no other
+    set. ``w`` is the mean level of the set's shingles: the highest where copies were made from it."""
+    shared = sets.sparkSession.sparkContext.broadcast(levels.tobytes())  # 2**LEVEL_BITS bytes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            out, count, sizes, common = [], [], [], []
+            for value in batch.column(1):
+                members = np.frombuffer(value.as_buffer(), np.uint64)
+                n = len(members)
+                own = level[(members >> np.uint64(64 - LEVEL_BITS)).astype(np.int64)].astype(np.uint64)
+                order = np.sort((own << np.uint64(60)) | (members >> np.uint64(4)))[: _regions_of(n)]
+                order = order[order >= np.uint64(1 << 60)]
+                out.append(order)
+                count.append(len(order))
+                sizes.append(n)
+                common.append(own.mean())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), count)),
+                    pa.array(np.repeat(sizes, count).astype(np.int32)), pa.array(np.repeat(common, count).astype(np.float32)),
+                ],
+                names=["o", "c", "n", "w"],
+            )
+
+    return sets.select("c", "members").mapInArrow(run, "o long, c long, n int, w float")
+
+
+def _bit(key, id_hash):
+    return (key ^ id_hash) & ((1 << NEEDED_BITS) - 1)
+
+
+def _needed(near: DataFrame, docs: DataFrame, shingle: int, id_col: str, text_col: str) -> DataFrame:
+    """The sets (``c``, ``members``) of ``near`` (``c``, ``id``), read from the document with that id; by chance
+    of a few more, and of repeated documents repeatedly."""
+    found = near.select(
+        F.col("c").bitwiseXOR(F.xxhash64("id")).bitwiseAND((1 << NEEDED_BITS) - 1).cast("int").alias("bit")
+    )
+    found = found.distinct().toArrow()  # at most 2**NEEDED_BITS rows
     bits = np.zeros(1 << NEEDED_BITS, bool)
     bits[found.column(0).to_numpy()] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits).tobytes())
@@ -165,16 +257,16 @@ def _needed(rows: DataFrame, docs: DataFrame, shingle: int, text_col: str) -> Da
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = np.unpackbits(np.frombuffer(shared.value, np.uint8)), set()
         for batch in batches:
-            data, offsets = arrays.utf8(batch.column(0))
+            data, offsets = arrays.utf8(batch.column(1))
             keys, sets = [], []
-            for members in shingle_sets(data, offsets, shingle):
-                if len(members) and (key := set_key(members)) not in seen and wanted[key & mask]:
+            for id_hash, members in zip(batch.column(0).to_pylist(), shingle_sets(data, offsets, shingle), strict=True):
+                if len(members) and (key := set_key(members)) not in seen and wanted[_bit(key, id_hash)]:
                     seen.add(key)
                     keys.append(key)
                     sets.append(members.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], names=["c", "members"])
 
-    return docs.select(text_col).mapInArrow(run, "c long, members binary").dropDuplicates(["c"])
+    return docs.select(F.xxhash64(id_col).alias("h"), text_col).mapInArrow(run, "c long, members binary")
 
 
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -198,7 +290,8 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 [batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(all_, pa.int64())], names=["p", "c", "both", "all"]
             )
 
-    return joined.select("p", "c", "a", "b").mapInArrow(run, "p long, c long, both long, `all` long")
+    near = joined.select("p", "c", "a", "b").mapInArrow(run, "p long, c long, both long, `all` long")
+    return near.dropDuplicates(["p", "c"])
 
 
 def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -207,7 +300,7 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
     least node among them, until nothing changes."""
     both = stored(edges.select("p", "c").unionByName(edges.select(F.col("c").alias("p"), F.col("p").alias("c"))).distinct(), "join-edges")
     if both.isEmpty():
-        return labels.limit(0)
+        return labels.where("false")
     nodes = both.select(F.col("p").alias("c")).distinct()
     state = stored(labels.join(nodes, "c"), "join-labels")
     while True:
@@ -215,7 +308,10 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
         stepped = state.join(near.withColumnRenamed("p", "c"), "c").select("c", "label", F.least("label", "near").alias("least"))
         # A node also takes what the nodes of its old label found.
         jump = stepped.groupBy("label").agg(F.min("least").alias("best"))
-        moved = stored(stepped.join(jump, "label").select("c", F.least("least", "best").alias("label"), (F.least("least", "best") < F.col("label")).alias("moved")), "join-labels")
+        lower = F.least("least", "best")
+        jumped = stepped.join(jump.withColumnRenamed("label", "old"), F.col("label").eqNullSafe(F.col("old")))
+        changed = lower.isNotNull() & (F.col("label").isNull() | (lower < F.col("label")))
+        moved = stored(jumped.select("c", lower.alias("label"), changed.alias("moved")), "join-labels")
         state = moved.select("c", "label")
         if moved.where("moved").isEmpty():
             return state
@@ -228,31 +324,50 @@ def links(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_
     scanned = whole.where("sketch is null").select(id_col, "n", "c")
     levels = _levels(_sum_sketches(whole.where("sketch is not null").select("sketch")))
     regions = stored(_regions(docs, levels, shingle, text_col), "join-regions")
-    spark = docs.sparkSession
-    # Rows of frequent shingles meet a small table of pivots, which Spark may broadcast; the others
-    # are dealt by shingle once, for the pivots and for the members.
-    hot = _with_pivots(regions.where("shiftrightunsigned(o, 60) > 0"), ["o"])
-    cold = _with_pivots(regions.where("shiftrightunsigned(o, 60) = 0"), ["o"], int(spark.conf.get("spark.sql.shuffle.partitions")))
-    members = stored(cold.unionByName(hot), "join-members")
-    sets = stored(_needed(members.select("c").unionByName(members.select(F.col("p").alias("c"))), docs, shingle, text_col), "join-sets")
-    close = f"{SHARE[1]} * pn >= {SHARE[0]} * n"
-    found = None
-    while not members.isEmpty():
-        near = stored(_distances(members.where(close).select("p", "c").distinct(), sets), "join-distances")
-        linked = near.where(f"{SHARE[1]} * both >= {SHARE[0]} * `all`").select("p", "c")
-        found = linked if found is None else found.unionByName(linked)
-        # What sizes alone keep apart is at least this far.
-        placed = members.join(near, ["p", "c"], "left").select(
-            "o", "c", "n",
-            F.coalesce(F.col("all") - F.col("both"), F.col("n") - F.col("pn")).alias("apart"), F.coalesce("all", F.col("n").cast("long")).alias("of"),
-        )
-        placed = placed.withColumn("d", F.col("apart") / F.col("of")).withColumn("beyond", F.expr(f"{SHARE[1]} * (of - apart) < {SHARE[0]} * of"))
-        placed = stored(placed.select("o", "c", "n", "d", "beyond"), "join-placed")
-        edge = placed.where("beyond").groupBy("o").agg(F.min("d").alias("edge"))
-        reach = 1 - SHARE[0] / SHARE[1] + 1e-9
-        rest = placed.join(edge, "o").where(F.col("beyond") | (F.col("d") >= F.col("edge") - reach)).select("o", "c", "n")
-        members = stored(_with_pivots(rest, ["o"]), "join-members")
-    return scanned, found
+    classes = scanned.where("c is not null").groupBy("c").agg(F.first("n").alias("n"), F.min(id_col).alias("id"))
+    near = stored(_in_company(regions, classes), "join-near")
+    discard(regions)
+    sets = stored(_needed(near, docs, shingle, id_col, text_col), "join-sets")
+    members = stored(_second_regions(sets, _count_levels(sets)).dropDuplicates(["o", "c"]), "join-members")
+    return scanned, _linked_pairs(members, sets)
+
+
+def _linked_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (``p``, ``c``) that connect all linked sets of ``members`` (``o``, ``c``, ``n``, ``w``)."""
+    close = F.expr(f"{SHARE[1]} * least(n, pn) >= {SHARE[0]} * greatest(n, pn)")
+    is_link = f"{SHARE[1]} * both >= {SHARE[0]} * `all`"
+    reach = 1 - SHARE[0] / SHARE[1] + 1e-9
+    placed = _with_pivots(members)
+    near = stored(_distances(placed.where(close).select("p", "c").distinct(), sets), "join-distances")
+    found = near.where(is_link).select("p", "c")
+    distance = near.select("p", "c", (1 - F.col("both") / F.col("all")).alias("d"))
+    members = stored(placed.join(distance, ["p", "c"], "left").select("o", "c", "n", "w", "d", "p"), "join-members")
+    nodes = stored(members.select("c").unionByName(members.select(F.col("p").alias("c"))).distinct().withColumn("label", F.col("c")), "join-nodes")
+    pivots, whole = 8, components(found, nodes)
+    while True:
+        label = F.coalesce("label", "c")
+        # The label of a region is that of its first pivot.
+        labelled = members.join(whole, "c", "left").withColumn("own", label).drop("label")
+        labelled = labelled.join(whole.select(F.col("c").alias("p"), "label"), "p", "left").withColumn("main", F.coalesce("label", "p")).drop("label")
+        labelled = stored(labelled, "join-members")
+        outside = F.col("own") != F.col("main")
+        order = Window.partitionBy("o").orderBy(F.desc("w"), "c")
+        elected = labelled.where(outside).withColumn("k", F.row_number().over(order)).where(F.col("k") <= pivots)
+        elected = stored(elected.select("o", F.col("c").alias("q"), F.col("n").alias("pn"), F.col("d").alias("pd"), F.col("own").alias("po"), "k"), "join-pivots")
+        if elected.isEmpty():
+            return found
+        met = labelled.join(elected, "o").where(close & (F.col("own") != F.col("po")))
+        met = met.where(F.coalesce(F.abs(F.col("d") - F.col("pd")) <= reach, F.lit(True)))
+        pairs = met.select(F.greatest("c", "q").alias("p"), F.least("c", "q").alias("c")).distinct()
+        near = stored(_distances(pairs, sets), "join-distances")
+        new = near.where(is_link).select("p", "c")
+        if not new.isEmpty():
+            found = stored(found.unionByName(new), "join-links")
+            whole = components(found, nodes)
+        # Pivots were compared with all that is left of their region, and only regions that had one go on.
+        left = labelled.join(elected.select("o", F.col("q").alias("c"), "k"), ["o", "c"], "left_anti")
+        members = stored(left.join(elected.select("o").distinct(), "o", "left_semi").select("o", "c", "n", "w", "d", "p"), "join-members")
+        pivots *= 8
 
 
 def _classes(scanned: DataFrame, found: DataFrame | None, id_col: str) -> DataFrame:
