@@ -54,6 +54,7 @@ def test_from_records_to_published_tables(spark, tmp_path):
     refresh = ["refresh", *bronze, *tables, "--lakehouse", f"{folder}/house", "--subscriber-parts", "2", "--cells"]
     assert main([*refresh, str(good), "--full"], spark) == 0
     assert main([*refresh, str(bad), "--full"], spark) == 1
+    assert {r[0] for r in spark.read.parquet(f"{folder}/house/bts_metadata").select("latitude").collect()} == {21.5}
 
     sources = {
         "bts_metadata": spark.read.parquet(f"{folder}/house/bts_metadata"),

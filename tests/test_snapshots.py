@@ -84,11 +84,11 @@ def test_replacement_keeps_earlier_days(spark, folder):
         return spark.createDataFrame([(k, ts(t)) for k, t in data], "k string, t timestamp_ntz")
 
     first = table.stage_replacement(events(("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2024-01-03")), 0)
-    second = table.stage_replacement(events(("d", "2024-01-02")), 1, "2024-01-02", base=first.document)
+    second = table.stage_replacement(events(("d", "2024-01-02")), 1, ["2024-01-02", "2024-01-03"], base=first.document)
     assert rows(second.read(), "k") == [("a",), ("d",)]
     assert second.document["parts"]["2024-01-01"] == first.document["parts"]["2024-01-01"]
     with pytest.raises(ValueError, match="kept parts"):
-        table.stage_replacement(events(("e", "2024-01-01")), 2, "2024-01-02", base=first.document)
+        table.stage_replacement(events(("e", "2024-01-01")), 2, ["2024-01-02"], base=first.document)
 
 
 def test_partitioned_append_round_trip(spark, folder):

@@ -7,12 +7,15 @@ readers until the checks have passed and one small publication file is in place.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass, field
-from datetime import datetime, timedelta, timezone
+from dataclasses import dataclass, field, replace
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.functions.temporal import as_timestamp
 from tidemark.operators.lookup import DEFAULT_POLICY, LookupPolicy
 from tidemark.operators.quality import blocking, empty_report, quality_report
 from tidemark.plans import gold, silver, staging
@@ -30,16 +33,14 @@ KPI_TABLE = "gold_network_kpis"
 class RefreshOptions:
     """``as_of`` stands for now; ``gate_layers`` are the layers whose failed checks block.
 
-    An incremental run recomputes the KPI windows of the last ``lookback``. With
-    ``silver_lookback`` it also rebuilds only the silver days that this span touches, and keeps
-    the older ones; copies of an event must then carry the same event date. Without it silver is
-    rebuilt whole.
+    An incremental run looks at the events that were ingested since the published run, however late
+    they are, and rebuilds the days of silver and the KPI windows that they touch. ``in_flight``
+    is how much earlier than that an event may have been stamped that was not yet readable then.
     """
 
     as_of: datetime | None = None
     full: bool = False
-    lookback: timedelta = gold.KPI_LOOKBACK
-    silver_lookback: timedelta | None = None
+    in_flight: timedelta = timedelta(minutes=10)
     width: timedelta = gold.KPI_WINDOW
     gate_layers: tuple[str, ...] = ("gold",)
     plan_order: tuple[str, ...] = ("updated_at", "ingested_at")
@@ -49,32 +50,29 @@ class RefreshOptions:
 
 @dataclass
 class Run:
-    """What a model builder can see: the tables built so far, and what an incremental run keeps."""
+    """What a model builder can see: the tables built so far, and what an incremental run keeps.
+
+    ``days`` are the days to rebuild, None for all. ``kept`` holds the ids of the silver events of the
+    other days.
+    """
 
     tables: dict[str, DataFrame]
     options: RefreshOptions
     bases: dict[str, dict] = field(default_factory=dict)
+    days: list[str] | None = None
+    kept: DataFrame | None = None
 
-    def bound(self, lookback: timedelta, width: timedelta) -> datetime:
-        as_of = self.options.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
-        return gold.aligned_lower_bound(as_of, lookback, width)
-
-    def silver_since(self) -> datetime | None:
-        """First day of silver to rebuild, or None for all days."""
-        if SILVER_TABLE not in self.bases or self.options.silver_lookback is None:
-            return None
-        return self.bound(max(self.options.silver_lookback, self.options.lookback), _DAY)
+    def of_days(self, events: DataFrame) -> DataFrame:
+        if self.days is None:
+            return events
+        dates = [date.fromisoformat(d) for d in self.days]
+        since = F.to_date("event_ts").isin(dates)
+        return events.where(since & F.col("event_date").isin(dates) if "event_date" in events.columns else since)
 
     def staged_events(self) -> DataFrame:
-        events, since = self.tables["stg_telecom_events"], self.silver_since()
-        return events if since is None else gold.events_since(events, since)
-
-    def recent_silver(self) -> DataFrame:
-        """All of silver, or on an incremental run only the windows to recompute."""
-        events = self.tables[SILVER_TABLE]
-        if KPI_TABLE not in self.bases:
-            return events
-        return gold.events_since(events, self.bound(self.options.lookback, self.options.width))
+        """All events, or those of the days to rebuild, without older copies of events of other days."""
+        events = self.of_days(self.tables["stg_telecom_events"])
+        return events if self.kept is None else events.join(self.kept, "event_id", "left_anti")
 
 
 @dataclass(frozen=True)
@@ -121,7 +119,7 @@ MODELS: tuple[Model, ...] = (
         KPI_TABLE,
         "gold",
         INCREMENTAL,
-        lambda run: gold.windowed_kpis(run.recent_silver(), run.options.width, run.options.as_of),
+        lambda run: gold.windowed_kpis(run.of_days(run.tables[SILVER_TABLE]), run.options.width, run.options.as_of),
         frozenset({"gold"}),
     ),
     # A table, as its readers would each rank the whole KPI history.
@@ -204,14 +202,32 @@ class Lakehouse:
         current = self._publications.latest()
         number = 0 if current is None else current["run"] + 1
         selectors = frozenset(select)
+        # One clock for the whole run.
+        options = replace(options, as_of=options.as_of or datetime.now(timezone.utc).replace(tzinfo=None))
         # A full run starts the incremental tables again; otherwise the published rows are the base.
-        bases = {} if options.full or current is None else current["snapshots"]
+        incremental = [m for m in MODELS if m.kind == INCREMENTAL]
+        fresh = options.full or current is None or "seen" not in current or options.width > _DAY
+        bases = {} if fresh else current["snapshots"]
         run = Run(dict(sources), options, bases)
+        events = sources["bronze_telecom_events"]
+        seen = dict(current["seen"]) if current and "seen" in current else None
+        if all(m.selected(selectors) for m in incremental):
+            # Read before the build: what arrives meanwhile is left to the next run.
+            newest = events.agg(F.max(F.col("ingested_at").cast("timestamp_ntz"))).first()[0]
+            seen = {"ingested_at": newest and newest.isoformat(), "as_of": options.as_of.isoformat()}
+            if bases:
+                run.days = self._touched_days(events, current, options)
+                silver_now = self._snapshots[SILVER_TABLE]
+                run.kept = silver_now.read_parts(bases[SILVER_TABLE], run.days, others=True).select("event_id")
+        elif any(m.selected(selectors) for m in incremental):
+            raise ValueError("silver and KPIs are rebuilt together, since they share the days to rebuild")
         published = {
             "run": number,
             "tables": dict(current["tables"]) if current else {},
             "snapshots": dict(current["snapshots"]) if current else {},
         }
+        if seen:
+            published["seen"] = seen
         built = []
         for model in MODELS:
             chosen = model.selected(selectors)
@@ -240,17 +256,30 @@ class Lakehouse:
             staged = self._stage(model.name, rows, run, number)
             published["snapshots"][model.name] = staged.document
             return staged.read()
-        folder = f"{model.name}/run-{number:012d}"
+        folder = f"{model.name}/run-{number:012d}-{uuid.uuid4().hex[:12]}"
         rows.hint("rebalance").write.mode("overwrite").parquet(f"{self._path}/{folder}")
         published["tables"][model.name] = folder
         return self._spark.read.schema(rows.schema).parquet(f"{self._path}/{folder}")
 
     def _stage(self, name: str, rows: DataFrame, run: Run, number: int) -> StagedVersion:
-        snapshot, base = self._snapshots[name], run.bases.get(name)
-        if name == SILVER_TABLE:
-            since = run.silver_since()
-            return snapshot.stage_replacement(rows, number, f"{since:%Y-%m-%d}" if since else None, base=base)
-        return snapshot.stage(rows, number, base=base)
+        return self._snapshots[name].stage_replacement(rows, number, run.days, base=run.bases.get(name))
+
+    def _touched_days(self, events: DataFrame, current: dict, options: RefreshOptions) -> list[str]:
+        """Days (one value per day of history at most) that the events not seen by the published run
+        touch: their own, and those where silver has another copy of them."""
+        seen = current["seen"]
+        ingested, happened = F.col("ingested_at").cast("timestamp_ntz"), F.col("event_ts").cast("timestamp_ntz")
+        new = F.lit(True)
+        if seen["ingested_at"]:
+            last = datetime.fromisoformat(seen["ingested_at"]) - options.in_flight
+            new = ingested.isNull() | (ingested > as_timestamp(last))
+        # What lay in the future for that run was left out by it.
+        new = new | (happened > as_timestamp(datetime.fromisoformat(seen["as_of"]) + silver.FUTURE_SKEW))
+        late = events.where(new & F.col("event_ts").isNotNull())
+        own = late.select(F.date_format("event_ts", "yyyy-MM-dd").alias("day"))
+        known = self._snapshots[SILVER_TABLE].read_version(current["snapshots"][SILVER_TABLE])
+        copies = known.join(late.select("event_id"), "event_id", "left_semi").select(F.date_format("event_ts", "yyyy-MM-dd").alias("day"))
+        return sorted(r["day"] for r in own.unionByName(copies).distinct().collect())
 
     def _audit(self, run: Run, built: list[Model], number: int) -> DataFrame:
         """Report of the sources and the built models; written, so that it can be read for free."""

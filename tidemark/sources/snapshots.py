@@ -7,7 +7,8 @@ folder, and becomes visible with one small metadata file that maps each part to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,6 +93,11 @@ class KeyedSnapshot:
         rows = self._rows(document, document["parts"].values())
         return live_rows(rows, self._delete_col) if self._delete_col and not include_deleted else rows
 
+    def read_parts(self, document: dict, parts: Iterable[str], others: bool = False) -> DataFrame:
+        """Rows of some parts of a version, or of all but these."""
+        chosen = set(parts)
+        return self._rows(document, [path for part, path in document["parts"].items() if (part in chosen) != others])
+
     def _rows(self, document: dict, folders) -> DataFrame:
         schema = T.StructType.fromJson(document["schema"])
         paths = [f"{self._path}/{folder}" for folder in folders]
@@ -141,17 +147,17 @@ class KeyedSnapshot:
         self,
         rows: DataFrame,
         batch: int,
-        since: str | None = None,
+        parts: Iterable[str] | None = None,
         writer: str = DEFAULT_WRITER,
         base: dict | None = None,
     ) -> StagedVersion:
-        """Write a version whose parts from ``since`` on hold exactly ``rows``.
+        """Write a version whose ``parts`` (all by default) hold exactly ``rows``.
 
-        Earlier parts are taken over from ``base`` as they are; ``rows`` must not reach into
-        them. Nothing is joined, so this is the way to rebuild recent days of a large table.
+        The others are taken over from ``base`` as they are; ``rows`` must not reach into them.
+        Nothing is joined, so this is the way to rebuild some days of a large table.
         """
-        parts = base["parts"] if base and since is not None else {}
-        kept = {part: path for part, path in parts.items() if part < since}
+        replaced = None if parts is None else set(parts)
+        kept = {} if not base or replaced is None else {p: path for p, path in base["parts"].items() if p not in replaced}
         if kept:
             self._check_base(base, rows)
         return self._write(rows, kept, batch, writer, base)
@@ -160,8 +166,8 @@ class KeyedSnapshot:
         self, state: DataFrame, kept: dict[str, str], batch: int, writer: str, base: dict | None
     ) -> StagedVersion:
         version = base["version"] + 1 if base else 0
-        # A retry of the batch finds the same folder and writes it again from the start.
-        folder = f"data/v{version:012d}-b{batch}"
+        # Two writers of the same version never share a folder; the one that publishes first wins.
+        folder = f"data/v{version:012d}-b{batch}-{uuid.uuid4().hex[:12]}"
         (
             state.withColumn(_PART, self._part)
             .hint("rebalance", F.col(_PART))

@@ -353,6 +353,7 @@ _BODIES: dict[str, str] = {
         f"select * from ({_PARSED_CHANGES}) where subscriber_id in (select subscriber_id from subs_raw where is_deleted) "
         "qualify row_number() over (partition by subscriber_id order by change_seq desc) = 1 and not is_deleted"
     ),
+    "kpi_late_arrivals": _kpis("silver", QUARTER_HOUR, updated_at=False),
     "lookup_large_reference": (
         "select o_orderkey, o_custkey, o_totalprice, c_name, c_nationkey from orders join customer on o_custkey = c_custkey"
     ),
