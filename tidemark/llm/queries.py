@@ -117,4 +117,53 @@ QUERIES: dict[str, Query] = {
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
 }
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
+
+# DuckDB SQL for what SQL can say; the other queries are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op1_top_k_search": """
+with e as (
+    select distinct vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v from embeddings
+    where vec_id is not null and len(embedding) > 0
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(cast(x as double)))) = 0)
+select query_id, cast(rank as integer) as rank, vec_id, score
+from (select q.vec_id as query_id, c.vec_id as vec_id, cast(list_dot_product(q.v, c.v) as bigint) as score,
+             row_number() over (partition by q.vec_id order by list_dot_product(q.v, c.v) desc, c.vec_id) as rank
+      from e q join e c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0)
+where rank <= 5""",
+    "op5_benchmark_decontamination": f"""
+with d as (
+    select doc_id, regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+i as (
+    select item_id, regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark where item_id is not null),
+win as (
+    select distinct item_id, n, array_to_string(w[k:k + n - 1], ' ') as s
+    from (select *, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as k from i where len(w) > 0)),
+pos as (
+    select doc_id, n, k, array_to_string(w[k:k + n - 1], ' ') as s
+    from (select d.doc_id, d.w, l.n, unnest(range(1, len(d.w) - l.n + 2)) as k from d, (select distinct n from win) l)),
+hit as (select distinct doc_id, n, k, item_id from pos join win using (n, s)),
+words as (select doc_id, count(distinct p) as n_hit from (select doc_id, k + unnest(range(0, n)) as p from hit) group by 1),
+ids as (select doc_id, list_sort(list(distinct cast(item_id as varchar))) as ids from hit group by 1)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, cast(coalesce(len(ids), 0) as bigint) as n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join words using (doc_id) left join ids using (doc_id)""",
+    "op6_jaccard_join": f"""
+with recursive d as (select doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (
+    select distinct doc_id, array_to_string(w[k:k + 4], ' ') as s
+    from (select doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as k from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by 1),
+shared as (select s from s group by 1 having count(*) > 1),
+few as (select s.* from s join shared using (s)),
+met as (select a.doc_id as x, b.doc_id as y, count(*) as k from few a join few b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+link as (
+    select x, y from met join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * k >= 75 * (nx.n + ny.n - k)),
+edge as (select x, y from link union all select y, x from link),
+reach(doc_id, other) as (
+    select doc_id, doc_id from documents union select r.doc_id, e.y from reach r join edge e on r.other = e.x)
+select doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(other) as component_id
+from reach left join n using (doc_id) group by doc_id""",
+}
