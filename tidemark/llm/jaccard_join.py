@@ -13,10 +13,11 @@ Jaccard distance is a metric, and two sets are linked if it is at most ``reach``
    ones last, so a passage that many documents share makes a region only of documents that
    consist of it. The counts are kept in a table of fixed size; places that shingles share make
    the order worse, never the result.
-2. *Recursion.* Each region elects a document in its middle as pivot, and the exact distance of every
-   member to it is computed. Members within reach of it are linked, and so connected with one
+2. *Recursion.* Each region elects a document in its middle as pivot, and the regions of one pivot
+   become one, the pivot's cell: copies share most of their shingles, so they meet there once.
+   The exact distance of every member to the pivot is computed. Members within reach of it are linked, and so connected with one
    another. What remains are pairs of different components; each round the documents outside the
-   pivot's component elect further pivots, eight times as many as before, and each is compared with
+   pivot's component elect further pivots, 64 at first and then 64 times as many, and each is compared with
    the members of other components in its window: by the triangle inequality, partners differ by at
    most ``reach`` in their distances to the first pivot. A pivot that was compared leaves; a region
    ends when it holds one component.
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
@@ -163,8 +164,8 @@ def _regions(docs: DataFrame, levels: np.ndarray, shingle: int, text_col: str) -
 def _with_pivots(rows: DataFrame) -> DataFrame:
     """Members of regions with two sets or more, with the region's pivot ``p``: the set whose shingles
     are the most common, which lies in the middle of copies that were changed in different places."""
-    pivots = rows.groupBy("o").agg(F.max(F.struct("w", "c", "n")).alias("pivot"), F.min("c").alias("first"), F.max("c").alias("last"))
-    pivots = pivots.where("first < last").select("o", F.col("pivot.c").alias("p"), F.col("pivot.n").alias("pn"))
+    pivots = rows.groupBy("o").agg(F.max(F.struct("w", "c", "n", "s")).alias("pivot"), F.min("c").alias("first"), F.max("c").alias("last"))
+    pivots = pivots.where("first < last").select("o", F.col("pivot.c").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.s").alias("ps"))
     return rows.join(pivots, "o").where("c != p")
 
 
@@ -210,14 +211,15 @@ def _count_levels(sets: DataFrame) -> np.ndarray:
 
 
 def _second_regions(sets: DataFrame, levels: np.ndarray) -> DataFrame:
-    """Rows (``o``, ``c``, ``n``, ``w``): the regions of each set, rare shingles first, but those of no other
-    set. ``w`` is the mean level of the set's shingles: the highest where copies were made from it."""
+    """Rows (``o``, ``c``, ``n``, ``w``, ``s``): the regions of each set, rare shingles first, but those of no
+    other set. ``w`` is the mean level of the set's shingles, the highest where copies were made from
+    it; ``s`` counts the shingles that other sets may have, so no intersection is larger."""
     shared = sets.sparkSession.sparkContext.broadcast(levels.tobytes())  # 2**LEVEL_BITS bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            out, count, sizes, common = [], [], [], []
+            out, count, sizes, common, held = [], [], [], [], []
             for value in batch.column(1):
                 members = np.frombuffer(value.as_buffer(), np.uint64)
                 n = len(members)
@@ -228,15 +230,17 @@ def _second_regions(sets: DataFrame, levels: np.ndarray) -> DataFrame:
                 count.append(len(order))
                 sizes.append(n)
                 common.append(own.mean())
+                held.append(int((own > 0).sum()))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate(out).view(np.int64)), pa.array(np.repeat(batch.column(0).to_numpy(), count)),
                     pa.array(np.repeat(sizes, count).astype(np.int32)), pa.array(np.repeat(common, count).astype(np.float32)),
+                    pa.array(np.repeat(held, count).astype(np.int32)),
                 ],
-                names=["o", "c", "n", "w"],
+                names=["o", "c", "n", "w", "s"],
             )
 
-    return sets.select("c", "members").mapInArrow(run, "o long, c long, n int, w float")
+    return sets.select("c", "members").mapInArrow(run, "o long, c long, n int, w float, s int")
 
 
 def _bit(key, id_hash):
@@ -317,9 +321,9 @@ def components(edges: DataFrame, labels: DataFrame) -> DataFrame:
             return state
 
 
-def links(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """``scanned`` rows (id, ``n``, ``c``: the key of the set, null if empty) of all documents, and the
-    links (``p``, ``c``) between different sets, enough of them to connect what is linked."""
+def grouped(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``scanned`` rows (id, ``n``, ``c``: the key of the set, null if empty) of all documents, and for the
+    sets that are linked with others the least key of their component (``c``, ``label``)."""
     whole = stored(_scan(docs, shingle, id_col, text_col), "join-scan")
     scanned = whole.where("sketch is null").select(id_col, "n", "c")
     levels = _levels(_sum_sketches(whole.where("sketch is not null").select("sketch")))
@@ -329,34 +333,43 @@ def links(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_
     discard(regions)
     sets = stored(_needed(near, docs, shingle, id_col, text_col), "join-sets")
     members = stored(_second_regions(sets, _count_levels(sets)).dropDuplicates(["o", "c"]), "join-members")
-    return scanned, _linked_pairs(members, sets)
+    return scanned, _groups(members, sets)
 
 
-def _linked_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (``p``, ``c``) that connect all linked sets of ``members`` (``o``, ``c``, ``n``, ``w``)."""
-    close = F.expr(f"{SHARE[1]} * least(n, pn) >= {SHARE[0]} * greatest(n, pn)")
+def _groups(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Components (``c``, ``label``) of all linked sets of ``members`` (``o``, ``c``, ``n``, ``w``, ``s``)."""
+
+    def close(most: str) -> Column:
+        """Sizes bound the share of two sets, and so does what they can have in common at all."""
+        return F.expr(
+            f"{SHARE[1]} * least(n, pn) >= {SHARE[0]} * greatest(n, pn) and {SHARE[1]} * {most} >= {SHARE[0]} * (n + pn - {most})"
+        )
+
     is_link = f"{SHARE[1]} * both >= {SHARE[0]} * `all`"
     reach = 1 - SHARE[0] / SHARE[1] + 1e-9
     placed = _with_pivots(members)
-    near = stored(_distances(placed.where(close).select("p", "c").distinct(), sets), "join-distances")
+    near = stored(_distances(placed.where(close("least(s, ps)")).select("p", "c").distinct(), sets), "join-distances")
     found = near.where(is_link).select("p", "c")
-    distance = near.select("p", "c", (1 - F.col("both") / F.col("all")).alias("d"))
-    members = stored(placed.join(distance, ["p", "c"], "left").select("o", "c", "n", "w", "d", "p"), "join-members")
+    distance = near.select("p", "c", (1 - F.col("both") / F.col("all")).alias("d"), F.col("both").alias("b"))
+    # In common with another member: of the pivot's shingles, and of the others that sets share.
+    shared = "coalesce(least(b, pb) + least(s - b, ps - pb), least(s, ps))"
+    cells = placed.select("p", "c", "n", "w", "s").dropDuplicates(["p", "c"])
+    members = stored(cells.join(distance, ["p", "c"], "left"), "join-members")
     nodes = stored(members.select("c").unionByName(members.select(F.col("p").alias("c"))).distinct().withColumn("label", F.col("c")), "join-nodes")
-    pivots, whole = 8, components(found, nodes)
+    pivots, whole = 64, components(found, nodes)
     while True:
         label = F.coalesce("label", "c")
-        # The label of a region is that of its first pivot.
+        # The label of a cell is that of its pivot.
         labelled = members.join(whole, "c", "left").withColumn("own", label).drop("label")
         labelled = labelled.join(whole.select(F.col("c").alias("p"), "label"), "p", "left").withColumn("main", F.coalesce("label", "p")).drop("label")
         labelled = stored(labelled, "join-members")
         outside = F.col("own") != F.col("main")
-        order = Window.partitionBy("o").orderBy(F.desc("w"), "c")
+        order = Window.partitionBy("p").orderBy(F.desc("w"), "c")
         elected = labelled.where(outside).withColumn("k", F.row_number().over(order)).where(F.col("k") <= pivots)
-        elected = stored(elected.select("o", F.col("c").alias("q"), F.col("n").alias("pn"), F.col("d").alias("pd"), F.col("own").alias("po"), "k"), "join-pivots")
+        elected = stored(elected.select("p", F.col("c").alias("q"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.col("d").alias("pd"), F.col("b").alias("pb"), F.col("own").alias("po"), "k"), "join-pivots")
         if elected.isEmpty():
-            return found
-        met = labelled.join(elected, "o").where(close & (F.col("own") != F.col("po")))
+            return whole
+        met = labelled.join(elected, "p").where(close(shared) & (F.col("own") != F.col("po")))
         met = met.where(F.coalesce(F.abs(F.col("d") - F.col("pd")) <= reach, F.lit(True)))
         pairs = met.select(F.greatest("c", "q").alias("p"), F.least("c", "q").alias("c")).distinct()
         near = stored(_distances(pairs, sets), "join-distances")
@@ -364,20 +377,19 @@ def _linked_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
         if not new.isEmpty():
             found = stored(found.unionByName(new), "join-links")
             whole = components(found, nodes)
-        # Pivots were compared with all that is left of their region, and only regions that had one go on.
-        left = labelled.join(elected.select("o", F.col("q").alias("c"), "k"), ["o", "c"], "left_anti")
-        members = stored(left.join(elected.select("o").distinct(), "o", "left_semi").select("o", "c", "n", "w", "d", "p"), "join-members")
-        pivots *= 8
+        # Pivots were compared with all that is left of their cell, and only cells that had one go on.
+        left = labelled.join(elected.select("p", F.col("q").alias("c")), ["p", "c"], "left_anti")
+        members = stored(left.join(elected.select("p").distinct(), "p", "left_semi").select("p", "c", "n", "w", "s", "d", "b"), "join-members")
+        pivots *= 64
 
 
-def _classes(scanned: DataFrame, found: DataFrame | None, id_col: str) -> DataFrame:
+def _classes(scanned: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
     """For each set (``c``) the least id of its component, ``label``."""
-    labels = scanned.where("c is not null").groupBy("c").agg(F.min(id_col).alias("label"))
-    if found is None:
-        return labels
-    labels = stored(labels, "join-classes")
-    moved = components(found, labels).withColumnRenamed("label", "lower")
-    return labels.join(moved, "c", "left").select("c", F.coalesce("lower", "label").alias("label"))
+    least = scanned.where("c is not null").groupBy("c").agg(F.min(id_col).alias("least"))
+    placed = stored(least.join(groups, "c", "left").select("c", "least", F.coalesce("label", "c").alias("group")), "join-placed")
+    # Stored, so that a component of very many sets can be split in the join.
+    best = stored(placed.groupBy("group").agg(F.min("least").alias("label")), "join-best")
+    return placed.join(best, "group").select("c", "label")
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -386,8 +398,8 @@ def join(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text_c
     Equal sets are linked. Null and wordless texts have an empty set, are linked with nothing and keep
     their own id. Ids may be null (a null id is never the least) or repeat. Other columns are not read.
     """
-    scanned, found = links(docs, shingle, id_col, text_col)
-    labels = stored(_classes(scanned, found, id_col), "join-labels")
+    scanned, groups = grouped(docs, shingle, id_col, text_col)
+    labels = stored(_classes(scanned, groups, id_col), "join-labels")
     return scanned.join(labels, "c", "left").select(
         id_col, F.col("n").alias("n_shingles"), F.coalesce("label", id_col).alias("component_id")
     )
@@ -397,8 +409,8 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", te
     """The document with the least id of each component, with all its columns; of rows that repeat it,
     one. Documents without words stay. Ids should differ between different texts; if components
     share a least id, or have none, one document of each distinct set stays."""
-    scanned, found = links(docs, shingle, id_col, text_col)
-    labels = _classes(scanned, found, id_col)
+    scanned, groups = grouped(docs, shingle, id_col, text_col)
+    labels = _classes(scanned, groups, id_col)
     rows = scanned.where("c is not null").join(labels, "c").where(F.col(id_col).eqNullSafe(F.col("label")))
     kept = stored(rows.groupBy("c").agg(F.count(F.lit(1)).alias("copies")), "join-kept")
     text_at, names = docs.columns.index(text_col), docs.columns
