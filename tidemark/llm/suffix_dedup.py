@@ -79,17 +79,25 @@ def _least_in(at: np.ndarray, h: np.ndarray, starts: np.ndarray, width: int) ->
     return best
 
 
-def string_hashes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """Hash of the ``length`` bytes at each position: every step doubles the hashed bytes."""
-    if not len(at):
-        return np.zeros(0, np.uint64)
-    n = len(data)
+def doubled(data: np.ndarray, longest: int) -> dict[int, np.ndarray]:
+    """Hashes of the 8, 16, 32, ... bytes at each position, up to ``longest``: every step doubles."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    x, size = arrays.mix(_load(padded, n)), 8
-    while 2 * size <= length:
-        x = arrays.chain(x[:-size], x[size:])
+    size, out = 8, {8: arrays.mix(_load(padded, len(data)))}
+    while 2 * size <= longest:
+        out[2 * size] = arrays.chain(out[size][:-size], out[size][size:])
         size *= 2
-    return arrays.chain(arrays.chain(x[at], x[at + length - size]), np.full(len(at), np.uint64(length)))
+    return out
+
+
+def part_hashes(hashes: dict[int, np.ndarray], start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each part of 8 bytes or more, from the two doubled hashes that cover it."""
+    length = end - start
+    size = np.minimum(1 << np.floor(np.log2(np.maximum(length, 8))).astype(np.int64), max(hashes))
+    out = np.zeros(len(start), np.uint64)
+    for n in np.unique(size).tolist():
+        own = size == n
+        out[own] = arrays.chain(hashes[n][start[own]], hashes[n][end[own] - n])
+    return arrays.chain(out, length.astype(np.uint64))
 
 
 def _text_key(data: np.ndarray) -> int:
@@ -126,18 +134,27 @@ def _sampled(docs: DataFrame, length: int, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            columns: tuple[list, list, list, list] = ([], [], [], [])
-            for data in _texts(batch.column(0)):
-                if len(data) < length or (key := _text_key(data)) in seen:
+            data, offsets = arrays.utf8(batch.column(0))
+            keys, starts, ends, before = [], [], [], []
+            for a, b in zip(offsets.tolist(), offsets.tolist()[1:], strict=False):
+                if b - a < length or (key := _text_key(data[a:b])) in seen:
                     continue
                 seen.add(key)
-                at, _ = sample(data, length)
-                columns[0].append(np.full(len(at) - 1, key, np.int64))
-                columns[1].append(at[:-1])
-                columns[2].append(np.diff(at).astype(np.int32))
-                columns[3].append(arrays.span_hashes(data, at[:-1], at[1:] + GRAM).view(np.int64))
-            if columns[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["key", "pos", "size", "rank"])
+                at = sample(data[a:b], length)[0] + a
+                starts.append(at[:-1])
+                ends.append(at[1:])
+                keys.append(np.full(len(at) - 1, key, np.int64))
+                before.append(np.full(len(at) - 1, a))
+            if keys:
+                first, last = np.concatenate(starts), np.concatenate(ends)
+                rank = arrays.span_hashes(data, first, last + GRAM).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate(keys)), pa.array(first - np.concatenate(before)),
+                        pa.array((last - first).astype(np.int32)), pa.array(rank),
+                    ],
+                    names=["key", "pos", "size", "rank"],
+                )
 
     return docs.select(text_col).mapInArrow(run, "key long, pos long, size int, rank long")
 
@@ -189,14 +206,9 @@ def _open_positions(data: np.ndarray, blocks: list[np.ndarray], sure: np.ndarray
     return p, at[first[good]], at[last[good]] + GRAM, whole[p + length] - whole[p] < length
 
 
-def _run_keys(data: np.ndarray, p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of the sampled part of a string and of where it lies in it; a part is hashed once."""
-    both, which = np.unique(start * (len(data) + GRAM + 1) + end, return_inverse=True)
-    part = arrays.span_hashes(data, both // (len(data) + GRAM + 1), both % (len(data) + GRAM + 1))
-    return arrays.chain(part[which], (start - p).astype(np.uint64))
-
-
-_TEXT = "key long, text binary, copied boolean, blocks array<array<long>>, sure array<struct<start:long,end:long>>"
+def _run_keys(hashes: dict[int, np.ndarray], p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the sampled part of a string and of where it lies in it."""
+    return arrays.chain(part_hashes(hashes, start, end), (start - p).astype(np.uint64))
 
 
 def _rows_of(batch: pa.RecordBatch):
@@ -218,10 +230,12 @@ def _asked(texts: DataFrame, length: int) -> DataFrame:
                 p, start, end, open_ = _open_positions(data, blocks, sure, length, copied)
                 p, start, end = p[open_], start[open_], end[open_]
                 if len(p):
+                    hashes = doubled(data, length)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(p), key, np.int64)), pa.array(p),
-                            pa.array(string_hashes(data, p, length).view(np.int64)), pa.array(_run_keys(data, p, start, end).view(np.int64)),
+                            pa.array(part_hashes(hashes, p, p + length).view(np.int64)),
+                            pa.array(_run_keys(hashes, p, start, end).view(np.int64)),
                         ],
                         names=["key", "pos", "string", "part"],
                     )
@@ -241,9 +255,10 @@ def _offered(texts: DataFrame, wanted: bytes, length: int) -> DataFrame:
                 p, start, end, open_ = _open_positions(data, blocks, sure, length, copied)
                 p, start, end = p[~open_], start[~open_], end[~open_]
                 if len(p):
-                    low = (_run_keys(data, p, start, end) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+                    hashes = doubled(data, length)
+                    low = (_run_keys(hashes, p, start, end) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
                     p = p[(bits[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1 == 1]
-                    found.append(np.unique(string_hashes(data, p, length)))
+                    found.append(np.unique(part_hashes(hashes, p, p + length)))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=["string"])
 
