@@ -167,7 +167,7 @@ def test_contamination_matches_brute_force(spark, docs):
             t[at:at] = w[a : a + rng.choice([8, 13, 20, 40])]
         texts.append(rng.choice([", ", " ", "-"]).join(t).upper())
     texts.append(texts[-1])
-    test = spark.createDataFrame(items, "item_id long, text string").withColumnRenamed("zz", "zz")
+    test = spark.createDataFrame(items, "item_id long, text string")
     found = contamination.find_contamination(docs(texts), test).withColumn("bad", contamination.is_contaminated()).collect()
     expected = contaminated(texts, items)
     assert {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], r["bad"]) for r in found} == dict(enumerate(expected))

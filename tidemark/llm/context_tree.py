@@ -260,7 +260,7 @@ def _subtree_roots(asked: DataFrame) -> DataFrame:
     def run(rows: pa.Table) -> pa.Table:
         _, _, keys, counts = _asked(rows)
         key, n0, n1, log = _levels(keys, counts)[TOP].sums(TOP - 1)
-        return pa.table({"node": pa.array(key.view(np.int64)), "n0": pa.array(n0), "n1": pa.array(n1), "log": pa.array(log)})
+        return pa.table({"node": pa.array(key.view(np.int64)), "n0": pa.array(n0, pa.float64()), "n1": pa.array(n1, pa.float64()), "log": pa.array(log, pa.float64())})
 
     roots = asked.where(f"kind = {GRAM}").select("bucket", "block", "keys", "counts").groupBy("bucket").applyInArrow(
         run, "node long, n0 double, n1 double, log double"

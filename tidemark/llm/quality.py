@@ -183,9 +183,9 @@ def labels_by_id(labels: DataFrame, label_col: str = "quality", id_col: str = "d
     return both.where("label = most").select(id_col, "label")
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, settings: Settings, id_col: str = "doc_id") -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, settings: Settings, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The labelled rows to fit on: those ids that are ``usable``, at most ``settings.max_rows`` of
     them, chosen by a hash of the id. Only the chosen ids are joined with the texts."""
     chosen = labels_by_id(labels, id_col=id_col).where(usable)
     chosen = chosen.withColumn("order", F.xxhash64(F.col(id_col))).orderBy("order", id_col).limit(settings.max_rows)
-    return docs.join(F.broadcast(chosen), id_col).select("text", "label", "order")
+    return docs.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(F.col(text_col).alias("text"), "label", "order")
