@@ -40,7 +40,7 @@ def test_top_k_matches_brute_force_with_ties_and_bad_rows(spark):
     rng = random.Random(5)
     rows = [(i, [round(rng.uniform(-1, 1), 1) for _ in range(6)], 0, 1) for i in range(400)]
     rows += [(i, [0.5] * 6, 0, 1) for i in range(400, 430)]  # equal vectors
-    rows += [(500, None, 0, 1), (550, [], 0, 1), (600, [1.0, None, 0, 0, 0, 0], 0, 1), (650, [math.nan] * 6, 0, 1), (700, [math.inf] * 6, 0, 1)]
+    rows += [(500, None, 0, 1), (550, [], 0, 1), (600, [1.0, None, 0.0, 0.0, 0.0, 0.0], 0, 1), (650, [math.nan] * 6, 0, 1), (700, [math.inf] * 6, 0, 1)]
     rows += [(None, [1.0] * 6, 0, 1), rows[3], rows[50]]
     assert search(vectors(spark, rows)) == brute(rows)
 

@@ -127,6 +127,7 @@ LABELLED = np.array([
     (1, 1.0, 1, 1.0, 1, 1.0, 0, 0, 0), (4, 1.0, 5, 1.0, 3, 1.0, 0, 0, 0), (3, .00, 2, 1.0, 2, 1.0, 0, 0, 0),
     (6, .90, 3, .00, 8, 1.0, 0, 0, 0), (20, .80, 2, 1.0, 4, 1.0, 0, 0, 0), (4, .00, 3, .00, 2, 1.0, 0, 0, 0),
     (5, .00, 6, 1.0, 0, .00, 0, 0, 0), (35, .85, 60, .00, 2, 1.0, 0, 0, 0), (8, 1.0, 90, .00, 6, 1.0, 0, 0, 0),
+    (1, 1.0, 1, 1.0, 50, .00, 0, 0, 0), (3, 1.0, 2, 1.0, 80, .00, 0, 0, 0), (2, 1.0, 70, .00, 90, .00, 0, 0, 0),
 ])
 
 
