@@ -65,7 +65,7 @@ def tilts(histogram: DataFrame, goals: DataFrame, most: float, steps: int = 60)
     has no words, a tilt of minus infinity.
     """
     start = histogram.groupBy("source").agg(
-        (F.sum(F.col("size") * F.col("size") * F.col("n")) / F.sum(F.col("size") * F.col("n"))).alias("scale")
+        F.try_divide(F.sum(F.col("size") * F.col("size") * F.col("n")), F.sum(F.col("size") * F.col("n"))).cast("double").alias("scale")
     )
     same = goals["source"].eqNullSafe(start["source"])
     state = goals.join(start, same).select(
@@ -87,7 +87,7 @@ def tilts(histogram: DataFrame, goals: DataFrame, most: float, steps: int = 60)
         )
         gap = F.col("given") - F.col("target")
         low, high = F.when(gap < 0, F.col("tilt")).otherwise(F.col("low")), F.when(gap > 0, F.col("tilt")).otherwise(F.col("high"))
-        newton = F.col("tilt") - gap / F.col("slope")
+        newton = F.col("tilt") - F.try_divide(gap, F.col("slope"))
         middle = (
             F.when((low > -1e6) & (high < 1e6), (low + high) / 2).when(high < 1e6, F.least(high * 2, high - 1)).otherwise(F.greatest(low * 2, low + 1))
         )
