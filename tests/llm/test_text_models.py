@@ -205,3 +205,19 @@ def test_extracting_a_table(spark):
 
 def test_the_tree_learned_its_table():
     assert all(main_text.is_main(tuple(row[:-1])) == bool(row[-1]) for row in main_text.LABELLED)
+
+
+def test_the_tree_splits_on_the_neighbours():
+    def splits(tree):
+        return {tree[0]} | splits(tree[2]) | splits(tree[3]) if len(tree) > 1 else set()
+
+    assert splits(main_text.TREE) & {2, 3, 4, 5}
+    short = (3, 0.0)
+    assert main_text.is_main((*short, 45, 0.0, 60, 0.0, 0, 0)) and not main_text.is_main((*short, 2, 1.0, 4, 1.0, 0, 0))
+
+
+def test_short_lines_of_pages_without_article_elements():
+    menu = "<ul><li><a>Home</a></li><li>More</li><li><a>News</a></li></ul>"
+    lines = ["Introduction", "word " * 40, "Short one.", "other " * 30, "Things to bring", "a rope", "two hooks", "words " * 20, "The end"]
+    page = f"<body>{menu}" + "".join(f"<div>{x}</div>" for x in lines) + menu
+    assert main_text.main_text(page) == "\n".join(x.strip() for x in lines)
