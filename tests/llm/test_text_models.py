@@ -221,3 +221,39 @@ def test_short_lines_of_pages_without_article_elements():
     lines = ["Introduction", "word " * 40, "Short one.", "other " * 30, "Things to bring", "a rope", "two hooks", "words " * 20, "The end"]
     page = f"<body>{menu}" + "".join(f"<div>{x}</div>" for x in lines) + menu
     assert main_text.main_text(page) == "\n".join(x.strip() for x in lines)
+
+
+LONG = "<p>" + "word " * 60 + "</p>"
+LONG_TEXT = " ".join(["word"] * 60)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='layout has-sidebar'><article>{LONG}</article></div>",
+        f"<div class='no-sidebar'>{LONG}</div>",
+        f"<div id=a class='content-with-sidebar'><main>{LONG}</main><div class=sidebar><p>" + "side " * 20 + "</p></div></div>",
+        f"<div id='search-results'>{LONG}</div><div class='comments'><p>" + "reply " * 60 + "</p></div>",
+        f"<form action=x><div class='comments'><p>" + "reply " * 20 + f"</p></div><div>{LONG}</div></form><footer><p>" + "end " * 9 + "</p></footer>",
+        f"<form><main>{LONG}<form><p>" + "ask " * 9 + "</p></form></main></form>",
+        f"<nav><ul><li><a>One</a></li></ul><article>{LONG}</article>",
+        f"<head><meta charset=x><body>{LONG}",
+    ],
+)
+def test_wrappers_of_the_text_do_not_hide_it(page):
+    assert main_text.main_text(page) == LONG_TEXT
+
+
+def test_cards_do_not_hide_a_longer_text_outside_them():
+    card = "<article><h3>Card</h3><p>" + "teaser " * 8 + "</p></article>"
+    assert LONG_TEXT in main_text.main_text(f"<div>{LONG}</div><section>{card}{card}</section>").split("\n")
+    related = main_text.main_text(f"<div>{LONG}</div><div class='related'>{card}{card}</div>")
+    assert related == LONG_TEXT
+    assert main_text.main_text(f"<article>{LONG}</article><div><p>" + "other " * 9 + "</p></div>") == LONG_TEXT
+
+
+@pytest.mark.parametrize("start", ["<datalist><option value=a><option value=b></datalist>", "<button>", "<object data=x>", "<title>T", "<select><option>A"])
+@pytest.mark.parametrize("later", ["", "<button>B</button>", "<title>x</title><object>o</object>", "<select><option>x</option></select>"])
+def test_unclosed_elements_end_at_the_next_tag(start, later):
+    assert main_text.main_text(f"{start}<div>{LONG}</div>{later}") == LONG_TEXT
+    assert main_text.main_text(f"<script>{LONG}") == "" == main_text.main_text(f"<div hidden>{LONG}</div>")

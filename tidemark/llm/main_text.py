@@ -7,6 +7,7 @@ here from a small labelled table, tells the article from the rest.
 
 from __future__ import annotations
 
+import heapq
 import html
 import re
 from collections.abc import Iterator
@@ -24,23 +25,129 @@ _INLINE = frozenset(
     "a abbr b bdi bdo big cite code del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong"
     " sub sup time tt u var wbr br".split()
 )
-_CONTAINERS = frozenset("nav header footer aside article main section div form ul ol dl table figure dialog menu fieldset head".split())
-_AROUND = frozenset("nav footer aside form dialog menu fieldset head".split())
+# Of these, what holds no markup ends with the page if it is not closed.
+_TO_THE_END = frozenset("script style textarea iframe".split())
+_CONTAINERS = frozenset("nav header footer aside article main section div form ul ol dl table figure dialog menu fieldset".split())
+_AROUND = frozenset("nav footer aside form dialog menu fieldset".split())
 _HINT = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|promo\w*|sponsor\w*|cookies?|consent|gdpr|notice|popup|modal|overlay|newsletter|subscribe"
     r"|sidebar|widget|menu|nav\w*|navbar|breadcrumbs?|toolbar|masthead|site-?header|site-?footer|footer|related|recommend\w*|share|social"
     r"|comments?|replies|respond|disqus|login|signup|search|copyright|pagination|pager|skip)(?:$|[\s_-])", re.I
 )
 _ROLES = ("navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "menu")
+# A name with such a word in front tells of the layout, not of the element.
+_LAYOUT = re.compile(r"(?:^|(?<=[\s_-]))(?:has|no|with|without)[_-][^\s]*", re.I)
+# Names that also wrappers of whole pages have. The others seldom do.
+_WRAPPER = re.compile(
+    r"(?:^|[\s_-])(?:notice|overlay|widget|nav\w*|navbar|toolbar|masthead|share|social|search|login|signup|skip)(?:$|[\s_-])", re.I
+)
+# How a container that may surround the article is marked.
+MAYBE, LIKELY, HIDDEN = range(3)
+# A marked container is taken for a wrapper of the article if it has so many times the text of all
+# that is not marked, and so many words, links not counted.
+_WRAPS = {MAYBE: (2, 0), LIKELY: (9, 50)}
+
+
+def _mark(name: str, attributes: dict[str, str], in_main: bool) -> int | None:
+    """Whether and how the container is marked as surrounding the article."""
+    if "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", "").lower():
+        return HIDDEN
+    role = attributes.get("role", "").lower()
+    if (name in _AROUND and name not in ("form", "fieldset")) or (name == "header" and not in_main):
+        return LIKELY
+    if role in _ROLES and role not in ("form", "search"):
+        return LIKELY
+    named = _LAYOUT.sub(" ", " ".join(attributes.get(a, "") for a in ("class", "id")))
+    hint = name not in ("article", "main") and bool(_HINT.search(named))
+    if hint and _HINT.search(_WRAPPER.sub(" ", named)):
+        return LIKELY
+    return MAYBE if hint or role in _ROLES or name in ("form", "fieldset") else None
+
+
+def _pairs(page: str, name: str) -> dict[int, int]:
+    """Where elements of this name end, by where they start; those without an end tag are missing."""
+    out, opened = {}, []
+    for m in re.compile(rf"<(/?){name}(?![\w:-])", re.I).finditer(page):
+        if m.group(1):
+            if opened:
+                out[opened.pop()] = page.find(">", m.end()) + 1 or len(page)
+        elif not ((tag := _TAG.match(page, m.start())) and (tag.group(3) or "").rstrip().endswith("/")):
+            opened.append(m.start())
+    return out
+
+
+def _after_raw(page: str, name: str, tag: re.Match, pairs: dict[str, dict[int, int]]) -> int:
+    """Where the page goes on after an element of ``_RAW`` that starts with ``tag``. One without an end
+    tag ends at the next tag, if markup can stand in it."""
+    if name in _TO_THE_END:
+        end = re.compile(rf"</{name}\s*>", re.I).search(page, tag.end())
+        return end.end() if end else len(page)
+    if name not in pairs:
+        pairs[name] = _pairs(page, name)
+    if tag.start() in pairs[name]:
+        return pairs[name][tag.start()]
+    following = _TAG.search(page, tag.end())
+    return following.start() if following else len(page)
+
+
+def _wrappers(marks: list[tuple[int, int]], direct: list[float], rest: float) -> list[bool]:
+    """Which marked containers wrap the article. ``marks`` are (mark, next marked one around or -1), ``direct`` is how many words stand next below each, ``rest`` how many below none."""
+    held = list(direct)
+    inner: list[list[int]] = [[] for _ in marks]
+    outer = []
+    for k in range(len(marks) - 1, -1, -1):
+        if (up := marks[k][1]) >= 0:
+            held[up] += held[k]
+            inner[up].append(k)
+        else:
+            outer.append(k)
+    lifted = [False] * len(marks)
+    queue = [(marks[k][0], -held[k], k) for k in outer]
+    heapq.heapify(queue)
+    while queue:
+        mark, words, k = heapq.heappop(queue)
+        if mark == HIDDEN:
+            continue
+        times, least = _WRAPS[mark]
+        if -words > times * rest and -words >= least:
+            lifted[k] = True
+            rest += direct[k]
+            for x in inner[k]:
+                heapq.heappush(queue, (marks[x][0], -held[x], x))
+    return lifted
+
+
+def _kept_marks(marks: list[tuple[int, int]], at: int, name: str) -> int:
+    """The innermost mark of those that hold for an article or main element below the mark ``at``: what
+    is hidden stays so, and an article in an aside, a footer or a list of related ones is not the page's."""
+    holds = (HIDDEN,) if name == "main" else (HIDDEN, LIKELY)
+    around = []
+    out = at
+    while out >= 0:
+        around.append(marks[out][0])
+        out = marks[out][1]
+    kept = [mark for mark in around if mark in holds]
+    if len(kept) == len(around):
+        return at
+    for mark in reversed(kept):
+        marks.append((mark, out))
+        out = len(marks) - 1
+    return out
 
 
 def blocks(page: str) -> list[tuple[str, int, float, int, int]]:
     """Flat blocks in page order: text, words, link density, whether it stands in a container that
-    surrounds the article, and whether in an article or main element."""
-    out: list[tuple[str, int, float, int, int]] = []
+    surrounds the article, and whether in an article or main element.
+
+    A container is marked by its element, role or name. An article or main element that stands in no
+    other one ends the marks of wrappers around it, and so does the amount of text.
+    """
+    found: list[tuple[str, int, float, int, int]] = []
+    marks: list[tuple[int, int]] = []  # of marked containers: how, and the next one around
+    pairs: dict[str, dict[int, int]] = {}
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # name, surrounding, main
+    stack: list[tuple[str, int, bool]] = []  # name, innermost mark or -1, in main
     in_link = 0
     at, n = 0, len(page)
 
@@ -49,7 +156,8 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int]]:
         words = html.unescape("".join(parts)).split()
         if words:
             links = len(html.unescape(" ".join(linked)).split())
-            out.append((" ".join(words), len(words), min(1.0, links / len(words)), int(any(s[1] for s in stack)), int(any(s[2] for s in stack))))
+            mark, in_main = stack[-1][1:] if stack else (-1, False)
+            found.append((" ".join(words), len(words), min(1.0, links / len(words)), mark, int(in_main)))
         parts, linked = [], []
 
     while at < n:
@@ -68,8 +176,7 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int]]:
         closing = bool(m.group(1))
         if name in _RAW:
             if not closing and not m.group(3).rstrip().endswith("/"):
-                end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-                at = end.end() if end else n
+                at = _after_raw(page, name, m, pairs)
             continue
         if name in _INLINE:
             if name == "a":
@@ -90,19 +197,25 @@ def blocks(page: str) -> list[tuple[str, int, float, int, int]]:
                     break
         else:
             attributes = {a.lower(): x or y or z or "" for a, x, y, z in _ATTRIBUTE.findall(m.group(3))} if m.group(3) else {}
-            in_main = any(s[2] for s in stack)
-            named = " ".join(attributes.get(a, "") for a in ("class", "id"))
-            around = (
-                name in _AROUND
-                or (name == "header" and not in_main)
-                or attributes.get("role", "").lower() in _ROLES
-                or bool(named.strip() and name != "article" and name != "main" and _HINT.search(named))
-                or "hidden" in attributes
-                or "display:none" in attributes.get("style", "").replace(" ", "").lower()
-            )
-            stack.append((name, around, name in ("article", "main")))
+            mark, in_main = stack[-1][1:] if stack else (-1, False)
+            opens = name in ("article", "main") and not in_main
+            if opens:
+                mark = _kept_marks(marks, mark, name)
+            if (own := _mark(name, attributes, in_main)) is not None:
+                marks.append((own, mark))
+                mark = len(marks) - 1
+            stack.append((name, mark, in_main or opens))
     flush()
-    return out
+    direct, rest = [0.0] * len(marks), 0.0
+    for _, words, links, mark, _ in found:
+        if mark >= 0:
+            direct[mark] += words * (1 - links)
+        else:
+            rest += words * (1 - links)
+    around: list[int] = []  # whether the mark or one around it holds
+    for (_, up), lifted in zip(marks, _wrappers(marks, direct, rest), strict=True):
+        around.append(int(not lifted or (up >= 0 and around[up])))
+    return [(text, words, links, around[mark] if mark >= 0 else 0, inside) for text, words, links, mark, inside in found]
 
 
 # Labelled blocks: words, link density, words and link density of the block before and of the one
@@ -194,14 +307,15 @@ def is_main(row: tuple, tree: tuple = TREE) -> bool:
 def main_text(page: str, tree: tuple = TREE) -> str:
     """The blocks of the main text, joined by line feeds."""
     found = blocks(page)
-    # A page that has an article keeps to it.
     kept = []
     for k, (text, words, links, around, inside) in enumerate(found):
         before = found[k - 1][1:3] if k else (0, 0.0)
         after = found[k + 1][1:3] if k + 1 < len(found) else (0, 0.0)
         if is_main((words, links, *before, *after, around, inside), tree):
             kept.append((text, inside))
-    if any(inside for _, inside in kept):
+    # A page keeps to its articles if they have at least as much text as all outside them.
+    inner = sum(len(text.split()) for text, inside in kept if inside)
+    if inner and 2 * inner >= sum(len(text.split()) for text, _ in kept):
         kept = [x for x in kept if x[1]]
     return "\n".join(text for text, _ in kept)
 
