@@ -169,6 +169,42 @@ def test_spans_keep_the_fixed_ones_and_add_random_ones(docs):
     assert masked.columns == docs([]).columns and secrets.find_secrets(docs([])).count() == 0
 
 
+def test_letters_only_and_glued_keys_are_tested():
+    rng = random.Random(21)
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    letters = draw("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 32)
+    found = lambda text: [text[s:e] for s, e, _, _ in secrets.candidates(text)]
+    assert found(f"x {letters} y") == [letters]
+    drawn = [draw(secrets.ENCODINGS["letters"][0], 32) for _ in range(200)]
+    assert sum(secrets.randomness(k, secrets.encoding_of(k)) > 0.05 for k in drawn) > 180
+    names = ["TelemetryIngestionCheckpointFolder", "Geschwindigkeitsbegrenzungen", "internationalizationOfAllWords"]
+    assert all(secrets.randomness(k, secrets.encoding_of(k)) < 0.05 for k in names)
+    assert found("a" * 30) == found("B" * 30) == [] != found("abcdefghijklmnopqrstUVW")
+    plain = draw(secrets.ENCODINGS["alphanumeric"][0], 30)
+    url = plain[:15] + "-" + plain[15:] + "_9"
+    padded = plain[:15] + "/" + plain[15:] + "=="
+    assert plain in found(f"get /api_v2/keys/{plain} now") and plain in found(f"/api/keys/{plain}")
+    assert url in found(f"/api_v2/keys/{url}") and padded in found(f"key_{padded}")
+
+
+def test_a_glued_key_and_a_lone_key_are_found(docs):
+    rng = random.Random(22)
+    draw = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    alphabet = secrets.ENCODINGS["alphanumeric"][0]
+    keys = [draw(alphabet, 40) for _ in range(60)]
+    while not 0.1 < secrets.randomness(upper := draw("0123456789ABCDEF", 40), "HEX") < 0.4:
+        pass
+    texts = [f"get /api_v2/keys/{k} now" for k in keys] + [f"id {upper} end", "plain_words/and-a-long/compound_word-2 here"]
+    rows = {r["doc_id"]: r["spans"] for r in secrets.find_secrets(docs(texts)).collect()}
+    # A span may hold more of the path than the key, never less.
+    assert sum(any(keys[i] in texts[i][s["start"] : s["end"]] for s in rows[i]) for i in range(60)) >= 50
+    assert [(s["start"], s["end"]) for s in rows[60]] == [(3, 43)] and not rows[61]
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(docs(texts)).collect()}
+    assert sum("[secret] now" in masked[i] and masked[i].startswith("get /api") for i in range(60)) >= 50
+    alone = secrets.find_secrets(docs([texts[60]])).first()["spans"]
+    assert [(s["start"], s["end"]) for s in alone] == [(3, 43)]
+
+
 # --- pages --------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var x="<p>no</p>";</script></head><body>

@@ -6,7 +6,8 @@ middle of the alphabet, and lag-one serial correlation. The three p-values are c
 method. Random strings have uniform p-values, ordinary words pile up near zero; how far a p-value
 has to be from zero depends on the length, since short words pass easily. So for each encoding and
 length class the p-values of *all* documents are counted, and the cut is the smallest one beyond
-which the estimated share of ordinary strings is at most ``false_discovery``.
+which the estimated share of ordinary strings is at most ``false_discovery``. Classes with few
+strings are counted together with the next ones.
 """
 
 from __future__ import annotations
@@ -34,7 +35,10 @@ _ASSIGN_HINT = ("passw", "secret", "token", "api")
 
 LEAST = 20  # shorter strings are too few symbols to test
 _CANDIDATE = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST},}}={{0,2}}")
+# Keys stand between such signs in paths and names, and some encodings have them as symbols.
+_SEPARATORS = (re.compile(r"[/+]"), re.compile(r"[_-]"), re.compile(r"[/+_-]"))
 BINS = 50
+ENOUGH = 50  # strings to estimate from
 LENGTH_CLASSES = (24, 32, 40, 64)  # upper ends, the last class is open
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -46,6 +50,7 @@ ENCODINGS = {
     "base32": (_UPPER + "234567", 4),
     "alphanumeric lower": (_LOWER + _DIGITS, 4),
     "alphanumeric upper": (_UPPER + _DIGITS, 4),
+    "letters": (_UPPER + _LOWER, 4),
     "alphanumeric": (_UPPER + _LOWER + _DIGITS, 5),
     "base64": (_UPPER + _LOWER + _DIGITS + "+/", 5),
     "base64url": (_UPPER + _LOWER + _DIGITS + "-_", 5),
@@ -126,17 +131,31 @@ def _length_class(n: int) -> int:
     return sum(n > top for top in LENGTH_CLASSES)
 
 
+def _parts(token: str) -> list[tuple[int, int]]:
+    """The string and its parts between separators, of either kind and of both, that are long enough."""
+    found = {(0, len(token))}
+    for separator in _SEPARATORS:
+        at = 0
+        for m in separator.finditer(token):
+            found.add((at, m.start()))
+            at = m.end()
+        found.add((at, len(token)))
+    return sorted((a, b) for a, b in found if len(token[a:b].rstrip("=")) >= LEAST)
+
+
 def candidates(text: str) -> list[tuple[int, int, str, float]]:
-    """Token-like strings as (start, end, encoding and length class, p-value).
+    """Token-like strings as (start, end, encoding and length class, p-value), which may overlap: what
+    holds separators is tested in parts, and as a whole if one encoding has all its symbols.
 
     Strings of letters in one case alone are left out: no test tells them from a long word.
     """
     out = []
     for m in _CANDIDATE.finditer(text):
-        token = m.group()
-        if (encoding := encoding_of(token)) and not token.isalpha():
-            n = len(token.rstrip("="))
-            out.append((m.start(), m.end(), f"{encoding}/{_length_class(n)}", randomness(token, encoding)))
+        for a, b in _parts(m.group()):
+            token = m.group()[a:b]
+            if (encoding := encoding_of(token)) and not (token.isalpha() and (token.islower() or token.isupper())):
+                n = len(token.rstrip("="))
+                out.append((m.start() + a, m.start() + b, f"{encoding}/{_length_class(n)}", randomness(token, encoding)))
     return out
 
 
@@ -170,6 +189,9 @@ def thresholds(scanned: DataFrame, false_discovery: float) -> dict[str, float]:
 
     Random strings have uniform p-values, so twice the count above 1/2 estimates them (1/2 and more
     hold next to no ordinary strings), and what a cut accepts beyond its share of these is false.
+    A class with less than :data:`ENOUGH` strings is counted together with the next length class, and
+    the last ones of an encoding with the next encoding. If all documents have less, one more string
+    above 1/2 is assumed, so that a lone key is not lost because it is alone.
     """
     counts = (
         scanned.select(F.explode("found").alias("f"))
@@ -181,14 +203,25 @@ def thresholds(scanned: DataFrame, false_discovery: float) -> dict[str, float]:
     by_stratum: dict[str, np.ndarray] = {}
     for row in counts:
         by_stratum.setdefault(row["stratum"], np.zeros(BINS))[row["bin"]] = row["count"]
+    pools: list[tuple[list[str], np.ndarray]] = []
+    for stratum in (f"{encoding}/{n}" for encoding in ENCODINGS for n in range(len(LENGTH_CLASSES) + 1)):
+        if stratum in by_stratum:
+            if not pools or pools[-1][1].sum() >= ENOUGH:
+                pools.append(([], np.zeros(BINS)))
+            pools[-1][0].append(stratum)
+            pools[-1][1][:] += by_stratum[stratum]
+    if len(pools) > 1 and pools[-1][1].sum() < ENOUGH:
+        names, bins = pools.pop()
+        pools[-1][0].extend(names)
+        pools[-1][1][:] += bins
     out = {}
-    for stratum, bins in by_stratum.items():
-        random = 2 * bins[BINS // 2 :].sum()
+    for names, bins in pools:
+        random = 2 * (bins[BINS // 2 :].sum() + (bins.sum() < ENOUGH))
         accepted = bins[::-1].cumsum()[::-1]
         for k in range(1, BINS):
             false = max(0.0, accepted[k] - random * (1 - k / BINS))
             if accepted[k] and false / accepted[k] <= false_discovery and random >= 1:
-                out[stratum] = k / BINS
+                out.update(dict.fromkeys(names, k / BINS))
                 break
     return out
 
@@ -198,7 +231,7 @@ def find_secrets(
 ) -> DataFrame:
     """One row per input row: ``id_col``, ``base`` and ``spans``, arrays of (start, kind, end) by start
     and kind; ``kind`` counts in :data:`KINDS`. ``spans`` holds ``base`` and the random strings that
-    overlap none of it.
+    overlap none of it and are no part of another one.
 
     Null and empty texts have no spans. Ids may be null or repeat. Columns other than the id and the
     text are not read.
@@ -208,10 +241,14 @@ def find_secrets(
     cut = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair]) if cuts else F.create_map().cast("map<string,double>")
     overlaps = lambda f: F.exists("base", lambda b: (b["start"] < f["end"]) & (f["start"] < b["end"]))
     kept = F.filter("found", lambda f: (f["p"] >= F.try_element_at(cut, f["stratum"])) & ~overlaps(f))
+    inside = lambda f, g: (g["start"] <= f["start"]) & (f["end"] <= g["end"]) & (g["end"] - g["start"] > f["end"] - f["start"])
+    whole = F.filter("kept", lambda f: ~F.exists("kept", lambda g: inside(f, g)))
     added = F.transform(
-        kept, lambda f: F.struct(f["start"].alias("start"), F.lit(3).alias("kind"), f["end"].alias("end"))
+        whole, lambda f: F.struct(f["start"].alias("start"), F.lit(3).alias("kind"), f["end"].alias("end"))
+    )
+    return scanned.select(id_col, "base", kept.alias("kept")).select(
+        id_col, "base", F.array_sort(F.concat("base", added)).alias("spans")
     )
-    return scanned.select(id_col, "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
 
 def spans_text(spans) -> F.Column:
