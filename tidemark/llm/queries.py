@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import contamination, context_tree, jaccard_join, main_text, mixing, quality, secrets, suffix_dedup, token_counts, top_k
+from tidemark.llm import (
+    contamination, context_tree, divergence, filter_audit, jaccard_join, main_text, mixing, quality, secrets,
+    simhash_dedup, suffix_dedup, token_counts, top_k,
+)
 from tidemark.llm.frames import table
 from tidemark.session import prepare
 
@@ -105,6 +108,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Query] = {
     "op1_top_k_search": op1_top_k_search,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -116,6 +135,9 @@ QUERIES: dict[str, Query] = {
     "op8_secret_scans": op8_secret_scans,
     "op9_html_extraction": op9_html_extraction,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_simhash_dedup": op13_simhash_dedup,
 }
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _LOWERED = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
@@ -166,4 +188,75 @@ reach(doc_id, other) as (
     select doc_id, doc_id from documents union select r.doc_id, e.y from reach r join edge e on r.other = e.x)
 select doc_id, coalesce(any_value(n.n), 0) as n_shingles, min(other) as component_id
 from reach left join n using (doc_id) group by doc_id""",
+    "op11_filter_audit": """
+with recursive d as (
+    select doc_id, coalesce(text, '') as t, coalesce(lang, '') as part from documents),
+w as (select *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') as w from d),
+firsts as (select t, min(doc_id) as least from d group by t),
+flags as (
+    select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+    from labels where doc_id is not null group by doc_id),
+m as (
+    select part, coalesce(good, 0) as good, coalesce(toxic, 0) as toxic,
+           case when len(w) < 100 then 1 else 0 end
+           + case when 100 * len(list_distinct(w)) < 80 * len(w) then 2 else 0 end
+           + case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) then 4 else 0 end
+           + case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end
+           + case when w.doc_id > least then 16 else 0 end as mask
+    from w join firsts using (t) left join flags on flags.doc_id = w.doc_id),
+c as (select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from m group by 1, 2),
+o(filter_order, step, bit, before) as (
+    select '', 0, 0, 0
+    union all
+    select filter_order || letter, step + 1, b, before + o.bit
+    from o, (values ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) f(letter, b)
+    where step < 5 and not contains(filter_order, letter)),
+-- every order is a path; its five steps are its prefixes
+p as (
+    select full_order.filter_order, o.step, o.bit, o.before
+    from o join (select filter_order from o where step = 5) full_order on o.step > 0 and starts_with(full_order.filter_order, o.filter_order)),
+r as (
+    select part, filter_order, step, bit,
+           sum(case when mask & (before | bit) = 0 then n else 0 end) as kept,
+           sum(case when mask & bit <> 0 and mask & before = 0 then n else 0 end) as removed,
+           sum(case when mask & bit <> 0 and mask & before <> 0 then n else 0 end) as redundant,
+           sum(case when mask = bit then n else 0 end) as unique_fails,
+           sum(case when mask & bit <> 0 and mask & before = 0 then good else 0 end) as good_lost,
+           sum(case when mask & bit <> 0 and mask & before = 0 then toxic else 0 end) as toxic_lost
+    from c, p group by 1, 2, 3, 4)
+select part, filter_order, cast(step as integer) as step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+       cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails, cast(good_lost as bigint) as good_lost,
+       cast(toxic_lost as bigint) as toxic_lost, cast(sum(removed) over (partition by part, bit) as bigint) as shapley
+from r""",
+    "op12_source_divergence": f"""
+with d as (
+    select coalesce(lang, '') as lang, coalesce(source, '') as source,
+           regexp_extract_all({_LOWERED}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w from documents),
+g as (select distinct lang, source from d),
+kept as (select lang, term from (select lang, unnest(list_distinct(w)) as term from d) group by 1, 2 having count(*) >= 30),
+seen as (select lang, source, term, count(*) as c from (select lang, source, unnest(w) as term from d) join kept using (lang, term) group by 1, 2, 3),
+v as (select lang, count(*) as v from kept group by 1),
+cells as (select g.lang, g.source, k.term, coalesce(c, 0) as c from g join kept k using (lang) left join seen using (lang, source, term)),
+groups as (select lang, source, sum(c) as n from cells group by 1, 2),
+langs as (select lang, term, sum(c) as c from cells group by 1, 2),
+lang_n as (select lang, sum(c) as n from langs group by 1),
+p as (
+    select lang, source, term, c, cast(1 + (1000000000::hugeint * (c + 5)) // (n + 5 * v)::hugeint as bigint) as p
+    from cells join groups using (lang, source) join v using (lang)),
+q as (
+    select lang, term, cast(1 + (1000000000::hugeint * (c + 5)) // (n + 5 * v)::hugeint as bigint) as q
+    from langs join lang_n using (lang) join v using (lang)),
+f as (
+    select a.lang, a.source, b.source as item, cast(sum(abs(a.p - b.p)) as bigint) as value
+    from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+pairs as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(f.value, 0) as value
+    from g a join g b on a.lang = b.lang and a.source <> b.source
+    left join f on f.lang = a.lang and f.source = a.source and f.item = b.source),
+terms as (
+    select lang, source, 'term' as part, term as item, p - q as value from p join q using (lang, term) where c > 0 and p > q),
+ranked as (
+    select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank
+    from (select * from pairs union all select * from terms))
+select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50""",
 }
