@@ -1,8 +1,11 @@
+from datetime import timedelta
+
 import pytest
 from helpers import rows, ts
 from pyspark.sql import functions as F
 
 from tidemark.plans.refresh import Lakehouse, RefreshOptions
+from tidemark.sources.tables import append_partitioned
 from tidemark_checks import inputs
 
 SF = "/root/testdata/sf0.001"
@@ -58,6 +61,71 @@ def test_late_events_and_copies_on_other_days_are_counted(spark, folder, sources
         assert rows(house.tables(everything)[name], *columns) == rows(expected, *columns), name
 
 
+def test_copies_on_other_days_win_or_lose_by_their_stamps(spark, folder, sources):
+    """With files that are only added, and stamps older than those of the published run."""
+    events, bronze = sources["bronze_telecom_events"], f"{folder}/bronze"
+    append_partitioned(events, bronze)
+    house, whole = Lakehouse(spark, f"{folder}/step"), Lakehouse(spark, f"{folder}/all")
+    for number, (days, seconds) in enumerate([(0, 0), (2, 3667), (-1, -3667), (-1, 2 * 3667)]):
+        if number:
+            moved = {"event_ts": F.col("event_ts") + timedelta(days=days), "event_date": F.date_add("event_date", days)}
+            moved["ingested_at"] = F.col("ingested_at") + timedelta(seconds=seconds)
+            append_partitioned(events.where((F.hour("event_ts") == 9) & (F.dayofmonth("event_ts") % 3 == 0)).withColumns(moved), bronze)
+        now = {**sources, "bronze_telecom_events": spark.read.parquet(bronze)}
+        assert house.refresh(now, options(LATE)).published
+        assert whole.refresh(now, options(LATE, full=True)).published
+        for name in ("silver_cell_events", "gold_network_kpis", "gold_cell_heatmap", "gold_plan_revenue_impact"):
+            expected = whole.tables(now)[name]
+            columns = [c for c in expected.columns if c != "updated_at"]
+            assert rows(house.tables(now)[name], *columns) == rows(expected, *columns), (number, name)
+
+
+def test_a_run_without_changes_rebuilds_no_day(spark, folder, sources):
+    append_partitioned(sources["bronze_telecom_events"], f"{folder}/bronze")
+    house = Lakehouse(spark, f"{folder}/house")
+
+    def run():
+        assert house.refresh({**sources, "bronze_telecom_events": spark.read.parquet(f"{folder}/bronze")}, options(LATE)).published
+        return house._publications.latest()
+
+    first, second = run(), run()
+    assert second["days"] == first["days"] and second["seen"] == first["seen"]
+    # The same rows in other files: days are looked at, but none has changed.
+    rewritten = spark.read.parquet(f"{folder}/bronze").repartition(3)
+    append_partitioned(rewritten, f"{folder}/bronze-2")
+    assert house.refresh({**sources, "bronze_telecom_events": spark.read.parquet(f"{folder}/bronze-2")}, options(LATE)).published
+    third = house._publications.latest()
+    assert third["seen"]["files"] != first["seen"]["files"] and third["seen"]["rows"] == first["seen"]["rows"]
+    assert third["days"] == first["days"]
+
+
+def test_only_days_that_may_hold_a_copy_are_read(spark, folder, sources):
+    """One late event without copies: no ids, no silver of other days than its own."""
+    events, bronze = sources["bronze_telecom_events"], f"{folder}/bronze"
+    append_partitioned(events, bronze)
+    house = Lakehouse(spark, f"{folder}/house")
+    assert house.refresh({**sources, "bronze_telecom_events": spark.read.parquet(bronze)}, options(LATE)).published
+    before = house._publications.latest()["days"]
+    day = "2024-01-09"
+    late = events.where(F.to_date("event_ts") == F.lit(day).cast("date")).limit(1).withColumn("event_id", F.lit("late"))
+    append_partitioned(late.withColumn("event_date", F.to_date("event_ts")), bronze)
+    read = []
+    days = house._days
+
+    def watched(publication, name, only=None, but=()):
+        read.append((name, None if only is None else sorted(only), sorted(but)))
+        return days(publication, name, only, but)
+
+    house._days = watched
+    assert house.refresh({**sources, "bronze_telecom_events": spark.read.parquet(bronze)}, options(LATE)).published
+    ids = [only for name, only, _ in read if name == "event_ids" and only is not None]
+    assert ids and all(set(only) <= {day} for only in ids)
+    after = house._publications.latest()["days"]
+    for name in ("silver_cell_events", "gold_network_kpis", "event_ids", "event_id_filters"):
+        changed = {d for d in before[name]["folders"] if before[name]["folders"][d] != after[name]["folders"][d]}
+        assert changed == {day}, name
+
+
 def test_a_failed_gate_leaves_the_publication_unchanged(spark, folder, sources):
     house = Lakehouse(spark, folder)
     assert house.refresh(sources, options(EARLY)).published

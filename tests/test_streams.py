@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from helpers import rows
+from helpers import rows, ts
 from pyspark.sql import functions as F
 
 from tidemark.plans.gold import windowed_kpis
@@ -9,7 +9,7 @@ from tidemark.plans.silver import silver_events
 from tidemark.plans.staging import stage_events
 from tidemark.schemas import BRONZE_EVENT_COLUMNS, CELL_REFERENCE
 from tidemark.sources.streams import batch_records, file_records, kafka_records, write_records
-from tidemark.streaming import billing, telemetry
+from tidemark.streaming import billing, epochs, telemetry
 
 
 def event(event_id, at, **fields):
@@ -167,8 +167,8 @@ def test_both_billing_streams_upsert_and_a_replayed_batch_is_skipped(spark, fold
         queries = billing.start_billing(
             file_records(spark, f"{folder}/plan_log"),
             file_records(spark, f"{folder}/subscriber_log"),
-            billing.snapshot_sink(plans),
-            billing.snapshot_sink(subscribers),
+            billing.append_sink(plans),
+            billing.append_sink(subscribers),
             f"{folder}/checkpoints",
             interval=None,
         )
@@ -189,14 +189,76 @@ def test_both_billing_streams_upsert_and_a_replayed_batch_is_skipped(spark, fold
     assert rows(plans.read(), "plan_id", "monthly_fee") == [("P", 1.0)] and plans.version() == version
 
 
-def test_the_snapshot_sink_ignores_a_batch_it_has_seen(spark, folder):
+def test_the_append_sink_ignores_a_batch_it_has_seen(spark, folder):
     table = billing.subscriber_table(spark, folder, parts=2)
-    sink = billing.snapshot_sink(table)
-    schema = "subscriber_id string, change_ts int, change_seq int, is_deleted boolean"
-    sink(spark.createDataFrame([("a", 1, 1, False)], schema), 0)
-    sink(spark.createDataFrame([("b", 1, 1, False)], schema), 0)
+    sink = billing.append_sink(table, "test")
+    schema = "subscriber_id string, change_ts int, change_epoch int, change_seq int, is_deleted boolean"
+    sink(spark.createDataFrame([("a", 1, 0, 1, False)], schema), 0)
+    sink(spark.createDataFrame([("b", 1, 0, 1, False)], schema), 0)
     sink(spark.createDataFrame([], schema), 1)
     assert (rows(table.read(), "subscriber_id"), table.version()) == ([("a",)], 0)
+    with pytest.raises(ValueError, match="named writer"):
+        billing.append_sink(table)(spark.createDataFrame([("a", 1, 0, 1, False)], schema), 2)
+
+
+def test_deletes_without_their_old_row_reach_the_table(spark, folder):
+    table = billing.subscriber_table(spark, f"{folder}/table", parts=1)
+
+    def envelope(op, key, status):
+        row = {"subscriber_id": key, "status": status, "updated_at": 1}
+        return json.dumps({"before": None, "after": None if op == "d" else row, "op": op})
+
+    data = [("a", envelope("c", "a", "active"), 0), ("b", envelope("c", "b", "active"), 1), ('{"subscriber_id": "a"}', envelope("d", "a", ""), 2)]
+    records = spark.createDataFrame(data, "key string, value string, offset long")
+    write_records(records.withColumn("timestamp", F.lit("2024-01-01").cast("timestamp")), f"{folder}/subs")
+    spark.createDataFrame([], "key string, value string, offset long, timestamp timestamp").write.json(f"{folder}/plans")
+    nothing = lambda batch, number: None
+    queries = billing.start_billing(
+        file_records(spark, f"{folder}/plans"), file_records(spark, f"{folder}/subs"), nothing, billing.append_sink(table),
+        f"{folder}/checkpoints", None, enveloped=True,
+    )
+    for query in queries:
+        query.awaitTermination()
+    assert rows(table.read(), "subscriber_id") == [("b",)]
+
+
+def span(first, last, p=0, below=None, above=None):
+    return {"p": p, "first": first, "last": last, "below": below, "above": above}
+
+
+def test_epochs_rise_when_the_log_starts_again_or_grows():
+    first = epochs.next_epoch(None, [span(0, 9), span(5, 7, p=1)])
+    assert first == {"epoch": 0, "newest": {"0": 9, "1": 7}}
+    on = epochs.next_epoch(first, [span(10, 12)])
+    assert on == {"epoch": 0, "newest": {"0": 12, "1": 7}}
+    again = epochs.next_epoch(on, [span(0, 3)])
+    assert again == {"epoch": 1, "newest": {"0": 3, "1": 7}}
+    assert epochs.next_epoch(again, [span(0, 1, p=2)])["epoch"] == 2
+    assert epochs.next_epoch(on, [span(0, 30, below=ts("2024-01-01"), above=ts("2024-01-02"))])["epoch"] == 1
+    with pytest.raises(epochs.LogOrderError, match="goes back"):
+        epochs.next_epoch(on, [span(4, 20)])
+    with pytest.raises(epochs.LogOrderError, match="in one batch"):
+        epochs.next_epoch(on, [span(0, 30, below=ts("2024-01-02"), above=ts("2024-01-01"))])
+
+
+def test_a_batch_without_a_clear_order_is_refused(spark, folder):
+    schema = "k string, change_partition int, change_seq long, kafka_timestamp timestamp, v string"
+    at = ts("2024-01-01")
+    ledger = epochs.LogEpochs(folder)
+
+    def assign(number, *data):
+        return ledger.assign(spark.createDataFrame([(k, p, s, at, v) for k, p, s, v in data], schema), number, ["k"])
+
+    with pytest.raises(epochs.LogOrderError, match="several partitions"):
+        assign(0, ("a", 0, 1, "x"), ("a", 1, 1, "y"))
+    with pytest.raises(epochs.LogOrderError, match="offset 1"):
+        assign(0, ("a", 0, 1, "x"), ("b", 0, 1, "x"))
+    # The same record twice is no contradiction, and a batch that is replayed keeps its epoch.
+    assert rows(assign(0, ("a", 0, 1, "x"), ("a", 0, 1, "x"), (None, 1, 1, "x")), "change_epoch") == [(0,)] * 3
+    assert rows(assign(1, ("a", 0, 0, "x")), "change_epoch") == [(1,)]
+    assert rows(assign(1, ("a", 0, 0, "x")), "change_epoch") == [(1,)]
+    assert rows(assign(2, ("a", 0, 1, "x")), "change_epoch") == [(1,)]
+    assert rows(assign(3), "change_epoch") == []
 
 
 def test_kafka_source_is_declared_with_its_options(spark):

@@ -2,10 +2,11 @@
 
     telemetry  --servers broker:9092 --topic events --bronze PATH --quarantine PATH --checkpoints PATH
     billing    --servers broker:9092 --plan-topic plans --subscriber-topic subs --tables PATH --checkpoints PATH
+    fold       --tables PATH
     refresh    --cells cells.csv --bronze PATH --tables PATH --lakehouse PATH [--full] [--select gold billing]
 
 With ``--files`` a topic is the name of a folder of JSON-lines records below that path. ``--once``
-works off what is there and stops. ``refresh`` ends with status 1 if a check blocked it.
+works off what is there and stops. ``fold`` merges what the billing job has appended. ``refresh`` ends with status 1 if a check blocked it.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import argparse
 import sys
 import uuid
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,13 +54,16 @@ def parser() -> argparse.ArgumentParser:
     changes.add_argument("--subscriber-parts", type=int, default=64)
     changes.add_argument("--enveloped", action="store_true", help="records are before/after envelopes")
 
+    fold = commands.add_parser("fold")
+    fold.add_argument("--tables", required=True)
+    fold.add_argument("--subscriber-parts", type=int, default=64, help="files of the folded subscribers")
+
     refresh = commands.add_parser("refresh")
     refresh.add_argument("--cells", required=True, help="CSV file of the cell reference")
     refresh.add_argument("--bronze", required=True)
     refresh.add_argument("--tables", required=True)
     refresh.add_argument("--lakehouse", required=True)
     refresh.add_argument("--full", action="store_true")
-    refresh.add_argument("--in-flight-minutes", type=int, default=10, help="how long a stamped event may be unreadable")
     refresh.add_argument("--as-of", type=datetime.fromisoformat)
     refresh.add_argument("--select", nargs="*", default=())
     refresh.add_argument("--subscriber-parts", type=int, default=64)
@@ -87,8 +91,8 @@ def run_billing(spark: SparkSession, args: argparse.Namespace) -> int:
     queries = billing.start_billing(
         _records(spark, args, args.plan_topic),
         _records(spark, args, args.subscriber_topic),
-        billing.snapshot_sink(plans),
-        billing.snapshot_sink(subscribers),
+        billing.append_sink(plans),
+        billing.append_sink(subscribers),
         args.checkpoints,
         None if args.once else billing.CHANGE_TRIGGER,
         args.enveloped,
@@ -96,6 +100,13 @@ def run_billing(spark: SparkSession, args: argparse.Namespace) -> int:
     return _wait(spark, queries, args.once)
 
 
+def run_fold(spark: SparkSession, args: argparse.Namespace) -> int:
+    for table in _billing_tables(spark, args):
+        if table.version() is not None:
+            table.fold()
+    return 0
+
+
 def run_refresh(spark: SparkSession, args: argparse.Namespace) -> int:
     house = Lakehouse(spark, args.lakehouse)
     # Staged per run: a seed that the checks refuse never replaces the one in use.
@@ -108,7 +119,7 @@ def run_refresh(spark: SparkSession, args: argparse.Namespace) -> int:
         "bronze_billing_plans": plans.read(include_deleted=True),
         "bronze_subscribers": subscribers.read(include_deleted=True),
     }
-    options = RefreshOptions(as_of=args.as_of, full=args.full, in_flight=timedelta(minutes=args.in_flight_minutes))
+    options = RefreshOptions(as_of=args.as_of, full=args.full)
     result = house.refresh(sources, options, args.select)
     if result.published:
         load_seed(spark, args.cells, f"{args.lakehouse.rstrip('/')}/bts_metadata")
@@ -135,7 +146,7 @@ def _wait(spark: SparkSession, queries: list, once: bool) -> int:
     return 0
 
 
-_RUNNERS = {"telemetry": run_telemetry, "billing": run_billing, "refresh": run_refresh}
+_RUNNERS = {"telemetry": run_telemetry, "billing": run_billing, "fold": run_fold, "refresh": run_refresh}
 
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DELETED_MARK = "__deleted"
+# The position in the log orders the changes of a key; the clocks of the row and of the broker do not.
+# The time decides only where records come without a position.
+LOG_ORDER = ("change_seq", "change_ts")
 # Epoch-millisecond columns of the change payloads.
 EPOCH_MILLIS_COLUMNS = ("created_at", "updated_at", "activated_at")
 
@@ -74,15 +77,21 @@ def flatten_envelopes(records: DataFrame, row_schema: T.StructType, key_column:
     )
 
 
-def parse_changes(records: DataFrame, schema: T.StructType, ingested_at: Column | None = None) -> DataFrame:
+def parse_changes(
+    records: DataFrame, schema: T.StructType, ingested_at: Column | None = None, with_partition: bool = False
+) -> DataFrame:
     """Decode flat change records into typed rows with a two-valued ``is_deleted``.
 
     Adds ``kafka_timestamp``, ``change_seq`` (log position) and ``change_ts``. The last one is
     the row's ``updated_at``, or the broker time where the row has none; for a delete, whose row
-    image may hold only the key, it is the later of the two.
+    image may hold only the key, it is the later of the two. ``with_partition`` also adds
+    ``change_partition``, null where the source has none.
     """
+    log = _log_columns(records)
+    if with_partition:
+        log.append((F.col("partition") if "partition" in records.columns else F.lit(None)).cast("int").alias("change_partition"))
     # The generator keeps filters on the fields from being pushed down with a second parser.
-    parsed = records.select(F.inline(F.array(F.from_json(_unwrapped("value"), schema))), *_log_columns(records))
+    parsed = records.select(F.inline(F.array(F.from_json(_unwrapped("value"), schema))), *log)
     stamps = {c: F.timestamp_millis(c) for c in EPOCH_MILLIS_COLUMNS if c in parsed.columns}
     typed = parsed.withColumns(stamps).withColumns(
         {

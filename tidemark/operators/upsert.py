@@ -27,6 +27,26 @@ def latest_changes(changes: DataFrame, keys: Sequence[str], order_cols: Sequence
     return latest_per_key(present, keys, order_cols)
 
 
+def latest_across_epochs(
+    changes: DataFrame, keys: Sequence[str], epoch: str, time: str, order_cols: Sequence[str], newest: str = "epoch_ts"
+) -> DataFrame:
+    """One row per key where ``order_cols`` compare changes within one ``epoch`` of the log only.
+
+    Within an epoch the last change counts, whatever its time. Between epochs no position can be compared, so
+    the epoch in which the key has the newest ``time`` wins, and of equal ones the later. ``newest`` holds
+    that time in the result, so a result may be reduced again together with changes that come later in
+    the log, or that came before, once more.
+    """
+    present = changes.where(F.expr(" and ".join(f"`{k}` is not null" for k in [*keys, epoch])))
+    known = F.greatest(F.col(newest), F.col(time)) if newest in changes.columns else F.col(time)
+    # Both combine on the map side, so a much changed key reaches its task as a few rows.
+    times = present.groupBy(*keys, epoch).agg(F.max(known).alias(newest))
+    last = latest_per_key(present.drop(newest), [*keys, epoch], order_cols)
+    return latest_per_key(last.join(times, [*keys, epoch]), keys, [newest, epoch, *order_cols]).select(
+        *[c for c in changes.columns if c != newest], newest
+    )
+
+
 def live_rows(state: DataFrame, delete_col: str = "is_deleted") -> DataFrame:
     """Rows that are not marked as deleted."""
     return state.where(~F.coalesce(F.col(delete_col), F.lit(False)))

@@ -33,10 +33,14 @@ def valid_events(staged: DataFrame, as_of: datetime | None = None) -> DataFrame:
     )
 
 
+def tie_break(events: DataFrame) -> list[str]:
+    """The columns that decide between copies of an event."""
+    return [c for c in _EVENT_TIE_BREAK if c in events.columns]
+
+
 def unique_events(valid: DataFrame, order_cols: Sequence[str] | None = None) -> DataFrame:
     """The copy of each event that was ingested last."""
-    order = order_cols or [c for c in _EVENT_TIE_BREAK if c in valid.columns]
-    return latest_per_key(valid, ["event_id"], order)
+    return latest_per_key(valid, ["event_id"], order_cols or tie_break(valid))
 
 
 def cell_attributes(cells: DataFrame) -> DataFrame:

@@ -49,4 +49,4 @@ EVENT_AUDIT_COLUMNS = ("kafka_key", "kafka_timestamp", "raw_payload", "ingested_
 BRONZE_EVENT_COLUMNS = tuple(EVENT_PAYLOAD.names) + EVENT_AUDIT_COLUMNS
 
 # Records of a broker topic, whatever reader they come from.
-BROKER_RECORD = struct("key binary, value binary, timestamp timestamp, offset long")
+BROKER_RECORD = struct("key binary, value binary, timestamp timestamp, offset long, partition int")

@@ -24,12 +24,14 @@ class MetadataFolder:
     def _file(self, name: str):
         return self._jvm.org.apache.hadoop.fs.Path(f"{self._path}/{name}")
 
-    def latest_number(self) -> int | None:
+    def _numbers(self) -> list[int]:
         if not self._fs.exists(self._root):
-            return None
+            return []
         names = [status.getPath().getName() for status in self._fs.listStatus(self._root)]
-        numbers = [int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit()]
-        return max(numbers, default=None)
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
+
+    def latest_number(self) -> int | None:
+        return max(self._numbers(), default=None)
 
     def read(self, number: int) -> dict:
         stream = self._fs.open(self._file(f"{number:012d}.json"))
@@ -53,12 +55,36 @@ class MetadataFolder:
         if self._fs.exists(final) or not self._fs.rename(draft, final):
             raise RuntimeError(f"version {number} of {self._path} was written by another job")
 
+    def expire(self, keep: int) -> None:
+        """Delete all but the newest ``keep`` documents."""
+        for number in self._numbers()[:-keep]:
+            self._fs.delete(self._file(f"{number:012d}.json"), False)
+
+
+def _located(spark: SparkSession, path: str):
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root, root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
 
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``; empty if it does not exist."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root, fs = _located(spark, path)
     if not fs.exists(root):
         return []
-    return [status.getPath().getName() for status in fs.listStatus(root) if status.isDirectory()]
+    return sorted(status.getPath().getName() for status in fs.listStatus(root) if status.isDirectory())
+
+
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark job has written all of ``path``."""
+    mark, fs = _located(spark, f"{path}/_SUCCESS")
+    return fs.exists(mark)
+
+
+def finished_folders(spark: SparkSession, path: str) -> list[str]:
+    """Those of :func:`child_folders` that a job has written to the end."""
+    return [name for name in child_folders(spark, path) if is_finished(spark, f"{path}/{name}")]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    root, fs = _located(spark, path)
+    fs.delete(root, True)

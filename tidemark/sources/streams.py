@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.schemas import BROKER_RECORD, struct
 
 # The same record as JSON lines, where key and value are text.
-_TEXT_RECORD = struct("key string, value string, timestamp timestamp, offset long")
+_TEXT_RECORD = struct("key string, value string, timestamp timestamp, offset long, partition int")
 
 
 def kafka_records(
@@ -45,5 +45,7 @@ def _as_broker_records(text: DataFrame) -> DataFrame:
 
 
 def write_records(records: DataFrame, path: str) -> None:
-    """Append records (text or binary key and value) as JSON lines for :func:`file_records`."""
-    records.select(*[F.col(f.name).cast(f.dataType) for f in _TEXT_RECORD]).write.mode("append").json(path)
+    """Append records (text or binary key and value) as JSON lines for :func:`file_records`; a log
+    without partitions may leave that column out."""
+    fields = [f for f in _TEXT_RECORD if f.name in records.columns or f.name != "partition"]
+    records.select(*[F.col(f.name).cast(f.dataType) for f in fields]).write.mode("append").json(path)

@@ -188,6 +188,17 @@ from (select * replace (upper(cell_id) as cell_id, upper(event_type) as event_ty
     "stream_silver": _ENRICHED.format(events="stream_unique"),
     "arrivals": "select *, coalesce(device_type, '') = 'mifi' as late from ev_read where event_ts is not null",
 }
+# Copies of events on other days: newer ones three days later, older ones two days earlier.
+CTES["ev_moved"] = """
+select * from ev_raw
+union all select * replace (event_ts + interval 3 day as event_ts, cast(event_date + interval 3 day as date) as event_date,
+                            ingested_at + interval 3667 second as ingested_at) from ev_raw where hour(event_ts) = 9
+union all select * replace (event_ts - interval 2 day as event_ts, cast(event_date - interval 2 day as date) as event_date,
+                            ingested_at - interval 3667 second as ingested_at) from ev_raw where hour(event_ts) = 10"""
+CTES["moved_stg"] = CTES["ev_stg"].replace("ev_raw", "ev_moved")
+CTES["moved_valid"] = CTES["ev_valid"].replace("ev_stg", "moved_stg")
+CTES["moved_unique"] = _latest("moved_valid", "event_id", "ingested_at, event_ts")
+CTES["moved_silver"] = _ENRICHED.format(events="moved_unique")
 
 
 def _needed(sql: str) -> list[str]:
@@ -354,6 +365,17 @@ _BODIES: dict[str, str] = {
         "qualify row_number() over (partition by subscriber_id order by change_seq desc) = 1 and not is_deleted"
     ),
     "kpi_late_arrivals": _kpis("silver", QUARTER_HOUR, updated_at=False),
+    "kpi_moved_copies": _kpis("moved_silver", QUARTER_HOUR, updated_at=False),
+    # Within the old and the new log the position decides, between them the newest time.
+    "cdc_restarted_log": f"""
+select subscriber_id, full_name, plan_id, home_cell_id, status, activated_at, updated_at
+from (select *, max(change_ts) over log as epoch_ts, row_number() over (log order by chg_offset desc) as place
+      from (select *, chg_offset > (select max(chg_offset) // 2 from subs_raw) as epoch,
+                   case when is_deleted then updated_at + interval '5' minute else updated_at end as change_ts
+            from {_ENVELOPED})
+      window log as (partition by subscriber_id, epoch))
+where place = 1
+qualify row_number() over (partition by subscriber_id order by epoch_ts desc, epoch desc) = 1 and not is_deleted""",
     "lookup_large_reference": (
         "select o_orderkey, o_custkey, o_totalprice, c_name, c_nationkey from orders join customer on o_custkey = c_custkey"
     ),

@@ -9,16 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as dq
-from tidemark.operators.changes import flatten_envelopes, parse_changes, snapshot_with_changes
+from tidemark.operators.changes import LOG_ORDER, flatten_envelopes, parse_changes, snapshot_with_changes
 from tidemark.operators.lookup import LookupPolicy, lookup_join
 from tidemark.operators.upsert import latest_changes, live_rows, upsert
 from tidemark.plans import bronze, gold, serving, silver, staging
 from tidemark.plans.refresh import Lakehouse, RefreshOptions
 from tidemark.schemas import CELL_REFERENCE, SUBSCRIBER_PAYLOAD
 from tidemark.session import shared_folder
-from tidemark.sources.snapshots import KeyedSnapshot, day_parts, hash_parts
+from tidemark.sources.changelog import ChangeTable
 from tidemark.sources.tables import append_partitioned, load_seed
-from tidemark.streaming.billing import CHANGE_ORDER
 from tidemark_checks import inputs
 from tidemark_checks.inputs import AS_OF, FIRST_CUT
 
@@ -157,19 +156,16 @@ def cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cdc_upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through the stored table, with a batch that is delivered twice."""
+    """The same by append and fold, newest changes first, with a batch that is delivered twice."""
     changes = inputs.subscribers(spark, sf_dir)
-    table = KeyedSnapshot(
-        spark,
-        shared_folder(spark, "subscribers"),
-        ["subscriber_id"],
-        hash_parts(["subscriber_id"], 4),
-        _LOG_ORDER,
-        "is_deleted",
-    )
-    table.apply(changes.where(F.col("status") == "suspended"), 0)
-    table.apply(changes.where(F.col("status") != "suspended"), 1)
-    table.apply(changes.where(F.col("status") != "suspended"), 1)
+    folder, status = shared_folder(spark, "subscribers"), F.col("status")
+    table = ChangeTable(spark, folder, ["subscriber_id"], _LOG_ORDER, "is_deleted", parts=4)
+    table.append(changes.where(status == "suspended"), 0)
+    table.fold()
+    table.append(changes.where(status == "terminated"), 1)
+    table.append(changes.where(status == "terminated"), 1)
+    table.fold()
+    table.append(changes.where(~status.isin("suspended", "terminated")), 2)
     return table.read()
 
 
@@ -193,7 +189,7 @@ def cdc_recreated_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscribers that were deleted and came back: the log decides, not the times of the rows."""
     flat = flatten_envelopes(inputs.subscriber_envelopes(spark, sf_dir), SUBSCRIBER_PAYLOAD, "subscriber_id")
     changes = parse_changes(flat, SUBSCRIBER_PAYLOAD)
-    state = live_rows(latest_changes(changes, ["subscriber_id"], CHANGE_ORDER))
+    state = live_rows(latest_changes(changes, ["subscriber_id"], LOG_ORDER))
     deleted = changes.where("is_deleted").select("subscriber_id")
     return _zoneless(state.join(deleted, "subscriber_id", "left_semi")).drop("kafka_timestamp", "ingested_at")
 
@@ -216,42 +212,60 @@ def bronze_partitioned_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder).select(*rows.columns)
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def kpi_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First everything up to a cut, then only the windows since; equal to one full build."""
     staged, cells = stg_telecom_events(spark, sf_dir), inputs.cells(spark, sf_dir)
-    table = KeyedSnapshot(spark, shared_folder(spark, "kpis"), gold.KPI_KEYS, day_parts("window_start"))
     first = silver.silver_events(staged, cells, FIRST_CUT)
-    table.apply(gold.windowed_kpis(first, as_of=AS_OF), 0)
+    table = _stored(gold.windowed_kpis(first, as_of=AS_OF), "kpis")
     bound = gold.aligned_lower_bound(AS_OF, lookback=AS_OF - FIRST_CUT)
     recent = silver.silver_events(gold.events_since(staged, bound), cells, AS_OF)
-    table.apply(gold.windowed_kpis(recent, as_of=AS_OF), 1)
-    return table.read()
+    return upsert(table, gold.windowed_kpis(recent, as_of=AS_OF), gold.KPI_KEYS)
 
 
 def kpi_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Default options; the events of one kind of device are delivered after the first run, days late."""
+    """Default options; the events of one kind of device are handed over after the first run, with the stamps
+    that they always had."""
     house, sources = _lakehouse(spark, sf_dir)
     events = sources["bronze_telecom_events"]
     late = F.coalesce(F.col("device_type") == "mifi", F.lit(False))
-    delivered = events.withColumn(
-        "ingested_at", F.when(late, F.col("ingested_at") + F.expr("interval 30 days")).otherwise(F.col("ingested_at"))
-    )
-    first = {**sources, "bronze_telecom_events": events.where(~late)}
-    house.refresh(first, RefreshOptions(as_of=AS_OF, **_ORDER))
-    second = {**sources, "bronze_telecom_events": delivered}
+    root = shared_folder(spark, "late")
+    append_partitioned(events.where(~late), root)
+    house.refresh({**sources, "bronze_telecom_events": spark.read.parquet(root)}, RefreshOptions(as_of=AS_OF, **_ORDER))
+    append_partitioned(events.where(late), root)
+    second = {**sources, "bronze_telecom_events": spark.read.parquet(root)}
     house.refresh(second, RefreshOptions(as_of=AS_OF, **_ORDER))
     return house.tables(second)["gold_network_kpis"].drop("updated_at")
 
 
+def kpi_moved_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of events come on other days, first as the newer copy, then as the older one."""
+    house, sources = _lakehouse(spark, sf_dir)
+    events = sources["bronze_telecom_events"]
+    root = shared_folder(spark, "moved")
+    append_partitioned(events, root)
+    for hour, days, seconds in ((None, 0, 0), (9, 3, 3667), (10, -2, -3667)):
+        if hour is not None:
+            moved = {"event_ts": F.col("event_ts") + timedelta(days=days), "event_date": F.date_add("event_date", days)}
+            moved["ingested_at"] = F.col("ingested_at") + timedelta(seconds=seconds)
+            append_partitioned(events.where(F.hour("event_ts") == hour).withColumns(moved), root)
+        now = {**sources, "bronze_telecom_events": spark.read.parquet(root)}
+        house.refresh(now, RefreshOptions(as_of=AS_OF, **_ORDER))
+    return house.tables(now)["gold_network_kpis"].drop("updated_at")
+
+
 def upsert_schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second batch brings a new column and no longer has another."""
     kpis = network_kpis_1d(spark, sf_dir)
     columns = [*gold.KPI_KEYS, "total_events", "dropped_calls"]
-    table = KeyedSnapshot(spark, shared_folder(spark, "sync"), gold.KPI_KEYS, day_parts("window_start"))
-    table.apply(kpis.select(*columns), 0)
+    table = _stored(kpis.select(*columns), "sync")
     recent = kpis.where(F.col("window_start") >= F.lit(FIRST_CUT.isoformat(" ")).cast("timestamp_ntz"))
-    table.apply(recent.select(*columns[:-1], "qoe_issue_events"), 1)
-    return table.read()
+    return upsert(table, recent.select(*columns[:-1], "qoe_issue_events"), gold.KPI_KEYS)
 
 
 def _lakehouse(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, dict[str, DataFrame]]:
@@ -397,7 +411,7 @@ BATCH_QUERIES: dict[str, Query] = {
         cell_heatmap, cell_heatmap_1d, stg_billing_plans, stg_subscribers, customer_360, customer_360_1d,
         plan_revenue_impact, plan_revenue_impact_1d, parse_json_events, quarantine_events, cdc_parse,
         cdc_flatten_envelope, cdc_latest_state, cdc_upsert, cdc_upsert_stored, cdc_snapshot_plus_changes,
-        cdc_recreated_key, lookup_large_reference, kpi_late_arrivals,
+        cdc_recreated_key, lookup_large_reference, kpi_late_arrivals, kpi_moved_copies,
         seed_reference, bronze_partitioned_write, kpi_incremental_upsert, upsert_schema_sync, publish_audited,
         dq_not_null, dq_unique, dq_accepted_values, dq_relationships, dq_accepted_range, dq_not_empty,
         dq_coordinate_box, dq_freshness, dq_report, serve_table_counts, serve_heatmap_points,

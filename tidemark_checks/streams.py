@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.plans.bronze import accepted_events
+from tidemark.schemas import SUBSCRIBER_PAYLOAD
 from tidemark.session import shared_folder
 from tidemark.sources.streams import batch_records, file_records, write_records
 from tidemark.streaming import billing, telemetry
@@ -17,7 +18,6 @@ from tidemark_checks.queries import Query, _zoneless
 
 # Limits between slices, by arrival; together the slices are the whole table.
 _EVENT_CUTS = ("2024-01-11 00:00:00", "2024-01-21 00:00:00")
-_CHANGE_CUTS = ("1995-06-01 00:00:00",)
 # Columns that hold the arrival of a copy, or text whose field order is not part of the result.
 _ARRIVAL = ("kafka_timestamp", "ingested_at", "raw_payload")
 
@@ -31,6 +31,13 @@ def _slices(records: DataFrame, cuts: tuple[str, ...]) -> list[DataFrame]:
     return [records.where(c) for c in conditions]
 
 
+def _log_halves(records: DataFrame) -> tuple[list[DataFrame], int]:
+    """A change log in two deliveries, cut by its offsets as a log is; the first offset of the second one."""
+    middle = records.agg(F.max("offset")).first()[0] // 2
+    later = records.where(F.col("offset") > middle)
+    return [records.where(F.col("offset") <= middle), later], later.agg(F.min("offset")).first()[0]
+
+
 def _run(spark: SparkSession, job: DataStreamWriter) -> None:
     telemetry.start_job(job, spark, spark.sparkContext.defaultParallelism).awaitTermination()
 
@@ -124,8 +131,8 @@ def stream_cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         queries = billing.start_billing(
             file_records(spark, f"{root}/plan_log"),
             file_records(spark, f"{root}/subscriber_log"),
-            billing.snapshot_sink(plans),
-            billing.snapshot_sink(subscribers),
+            billing.append_sink(plans),
+            billing.append_sink(subscribers),
             f"{root}/checkpoints",
             interval=None,
         )
@@ -133,12 +140,30 @@ def stream_cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
             query.awaitTermination()
 
     write_records(inputs.plan_records(spark, sf_dir), f"{root}/plan_log")
-    _deliver(_slices(inputs.subscriber_records(spark, sf_dir), _CHANGE_CUTS), f"{root}/subscriber_log", work)
+    halves, _ = _log_halves(inputs.subscriber_records(spark, sf_dir))
+    _deliver(halves, f"{root}/subscriber_log", work)
     offers = plans.read().select("plan_id", "plan_name", "monthly_fee")
     state = subscribers.read().select("subscriber_id", "full_name", "plan_id", "home_cell_id", "status", "updated_at")
     return _zoneless(state.join(offers, "plan_id", "left"))
 
 
+def cdc_restarted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job over a log that starts again at offset 0 half way, with deletes that bring no old row."""
+    root = shared_folder(spark, "restarted")
+    subscribers = billing.subscriber_table(spark, f"{root}/subscribers", parts=4)
+    (before, after), first = _log_halves(inputs.subscriber_envelopes(spark, sf_dir))
+
+    def work() -> None:
+        records = file_records(spark, f"{root}/log")
+        sink = billing.append_sink(subscribers)
+        job = billing.change_job(records, SUBSCRIBER_PAYLOAD, sink, f"{root}/checkpoint", None, True, "subscriber_id")
+        job.start().awaitTermination()
+
+    _deliver([before, after.withColumn("offset", F.col("offset") - first)], f"{root}/log", work)
+    columns = ("subscriber_id", "full_name", "plan_id", "home_cell_id", "status", "activated_at", "updated_at")
+    return _zoneless(subscribers.read().select(*columns))
+
+
 STREAM_QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -149,5 +174,6 @@ STREAM_QUERIES: dict[str, Query] = {
         stream_quarantine,
         stream_network_kpis,
         stream_cdc_upsert,
+        cdc_restarted_log,
     )
 }
