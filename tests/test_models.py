@@ -275,3 +275,31 @@ def test_plan_revenue(spark):
 
 def test_the_incremental_bound_is_a_window_start():
     assert gold.aligned_lower_bound(ts("2024-01-01 10:50:10")) == ts("2024-01-01 10:15:00")
+
+
+def test_staging_casts_text_and_leaves_unknown_columns_out(spark):
+    raw = spark.createDataFrame(
+        [(7, "2024-01-01 10:00:00", "2024-01-01", "12.5", "3", "1.5", "2.5", None, "VOICE", "FAILED", "1", "2", "3", "x")],
+        "event_id int, event_ts string, event_date string, latency_ms string, call_duration_sec string, download_mb string, "
+        "upload_mb string, cell_id string, event_type string, call_status string, packet_loss_pct string, rsrp string, "
+        "sinr string, batch string",
+    )
+    staged = staging.stage_events(raw)
+    kinds = dict(staged.dtypes)
+    assert "batch" not in kinds
+    assert (kinds["event_id"], kinds["event_ts"], kinds["event_date"], kinds["latency_ms"]) == ("string", "timestamp", "date", "double")
+    assert staged.first().total_mb == 4.0
+    plans = spark.createDataFrame(
+        [(1, 2, "A", "5", "1", "2", "2024-01-01", "2024-01-02", "2024-01-03", False, "x")],
+        "plan_id int, plan_name int, plan_type string, monthly_fee string, data_quota_gb string, voice_minutes string, "
+        "created_at string, updated_at string, ingested_at string, is_deleted boolean, batch string",
+    )
+    kinds = dict(staging.stage_plans(plans).dtypes)
+    assert (kinds["plan_id"], kinds["plan_name"], kinds["updated_at"]) == ("string", "string", "timestamp") and "batch" not in kinds
+    people = spark.createDataFrame(
+        [(1, 2, 3, 4, "active", "2024-01-01", "2024-01-02", "2024-01-03", False)],
+        "subscriber_id int, full_name int, plan_id int, home_cell_id int, status string, activated_at string, "
+        "updated_at string, ingested_at string, is_deleted boolean",
+    )
+    kinds = dict(staging.stage_subscribers(people).dtypes)
+    assert {kinds[c] for c in ("subscriber_id", "full_name", "plan_id", "home_cell_id")} == {"string"} and kinds["activated_at"] == "timestamp"

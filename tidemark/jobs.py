@@ -1,6 +1,6 @@
 """The jobs for ``spark-submit``: two streams and the refresh run.
 
-    telemetry  --servers broker:9092 --topic events --bronze PATH --quarantine PATH --checkpoints PATH
+    telemetry  --servers broker:9092 --topic events --bronze PATH --quarantine PATH --late PATH --checkpoints PATH
     billing    --servers broker:9092 --plan-topic plans --subscriber-topic subs --tables PATH --checkpoints PATH
     fold       --tables PATH
     refresh    --cells cells.csv --bronze PATH --tables PATH --lakehouse PATH [--full] [--select gold billing]
@@ -15,7 +15,7 @@ import argparse
 import sys
 import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +23,7 @@ from tidemark.plans.refresh import Lakehouse, RefreshOptions
 from tidemark.session import prepare
 from tidemark.sources.streams import file_records, kafka_records
 from tidemark.sources.tables import load_seed
-from tidemark.streaming import billing, telemetry
+from tidemark.streaming import billing, ingest, telemetry
 
 
 def _stream_options(command: argparse.ArgumentParser) -> None:
@@ -44,7 +44,9 @@ def parser() -> argparse.ArgumentParser:
     events.add_argument("--topic", required=True)
     events.add_argument("--bronze", required=True)
     events.add_argument("--quarantine", required=True)
-    events.add_argument("--state-partitions", type=int)
+    events.add_argument("--late", help="events behind the watermark; a folder beside bronze by default")
+    events.add_argument("--lateness-minutes", type=float, default=telemetry.ALLOWED_LATENESS.total_seconds() / 60)
+    events.add_argument("--state-partitions", type=int, help="tasks that look for copies")
 
     changes = commands.add_parser("billing")
     _stream_options(changes)
@@ -79,11 +81,12 @@ def _records(spark: SparkSession, args: argparse.Namespace, topic: str) -> DataF
 
 def run_telemetry(spark: SparkSession, args: argparse.Namespace) -> int:
     interval = None if args.once else telemetry.TELEMETRY_TRIGGER
-    records = _records(spark, args, args.topic)
     base = args.checkpoints.rstrip("/")
-    bronze = telemetry.bronze_job(records, f"{base}/bronze", args.bronze, interval)
-    rejected = telemetry.quarantine_job(records, f"{base}/quarantine", args.quarantine, interval)
-    return _wait(spark, [telemetry.start_job(bronze, spark, args.state_partitions), rejected.start()], args.once)
+    late = args.late or f"{args.bronze.rstrip('/')}-late"
+    outputs = ingest.Outputs(args.bronze, args.quarantine, late, f"{base}/bronze-state")
+    lateness = timedelta(minutes=args.lateness_minutes)
+    job = ingest.ingest_job(_records(spark, args, args.topic), f"{base}/bronze", outputs, interval, lateness)
+    return _wait(spark, [telemetry.start_job(job, spark, args.state_partitions)], args.once)
 
 
 def run_billing(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -115,7 +118,7 @@ def run_refresh(spark: SparkSession, args: argparse.Namespace) -> int:
     plans, subscribers = _billing_tables(spark, args)
     sources = {
         "bts_metadata": spark.read.parquet(seed),
-        "bronze_telecom_events": spark.read.parquet(args.bronze),
+        "bronze_telecom_events": ingest.read_output(spark, args.bronze),
         "bronze_billing_plans": plans.read(include_deleted=True),
         "bronze_subscribers": subscribers.read(include_deleted=True),
     }

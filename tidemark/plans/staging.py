@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.latest import latest_per_key
+from tidemark.schemas import BRONZE_EVENT_COLUMNS
 
 # How each event column is normalised.
 _UPPER = ("cell_id", "event_type", "network_type", "band", "call_status")
@@ -17,6 +19,8 @@ _TEXT = ("event_id", "subscriber_id", "source", "kafka_key", "raw_payload")
 _DOUBLE = ("latency_ms", "jitter_ms", "packet_loss_pct", "rsrp", "sinr")
 _TRAFFIC = ("download_mb", "upload_mb")
 _INTEGER = ("call_duration_sec", "event_hour")
+_DATE = ("event_date",)
+_TIME = ("event_ts", "kafka_timestamp", "ingested_at", "created_at", "updated_at", "activated_at")
 
 VOICE = "VOICE"
 DATA = "DATA"
@@ -48,8 +52,13 @@ def _flag_qoe(limits: QoeLimits) -> Column:
     )
 
 
-def _normalised(name: str) -> Column:
+def _normalised(name: str, kind: T.DataType) -> Column:
     column = F.col(name)
+    if name in _TIME:
+        # Times with and without a zone stay what they are.
+        return column if isinstance(kind, (T.TimestampType, T.TimestampNTZType)) else column.cast("timestamp")
+    if name in _DATE:
+        return column.cast("date")
     if name in _UPPER:
         return F.upper(column.cast("string"))
     if name in _LOWER:
@@ -68,10 +77,12 @@ def _normalised(name: str) -> Column:
 def stage_events(bronze: DataFrame, limits: QoeLimits = QoeLimits()) -> DataFrame:
     """Normalised events with id and time, plus ``total_mb`` and the two issue flags.
 
-    ``is_call_failure`` is three-valued: unknown while the event type or call status is unknown.
+    ``is_call_failure`` is three-valued: unknown while the event type or call status is unknown. Columns that
+    are not part of the data model are left out.
     """
     usable = bronze.where(F.col("event_id").isNotNull() & F.col("event_ts").isNotNull())
-    normalised = usable.select(*[_normalised(c).alias(c) for c in bronze.columns])
+    known = [f for f in bronze.schema if f.name in BRONZE_EVENT_COLUMNS]
+    normalised = usable.select(*[_normalised(f.name, f.dataType).alias(f.name) for f in known])
     return normalised.withColumns(
         {
             "total_mb": F.col("download_mb") + F.col("upload_mb"),
@@ -81,10 +92,19 @@ def stage_events(bronze: DataFrame, limits: QoeLimits = QoeLimits()) -> DataFram
     )
 
 
+_BILLING_TEXT = ("plan_id", "plan_name", "plan_type", "subscriber_id", "full_name", "home_cell_id", "status")
+
+
+def _typed(rows: DataFrame) -> DataFrame:
+    """Ids and names as text, times as times."""
+    text = {c: F.col(c).cast("string") for c in _BILLING_TEXT if c in rows.columns}
+    return rows.withColumns(text | {f.name: _normalised(f.name, f.dataType) for f in rows.schema if f.name in _TIME})
+
+
 def stage_plans(bronze: DataFrame, order_cols: Sequence[str] = ("updated_at", "ingested_at")) -> DataFrame:
     """Latest valid row of each plan: not deleted, with an id and a fee that is not negative."""
     valid = bronze.where(~F.col("is_deleted") & F.col("plan_id").isNotNull() & (F.col("monthly_fee") >= 0))
-    typed = valid.withColumns(
+    typed = _typed(valid).withColumns(
         {
             "plan_type": F.lower("plan_type"),
             "monthly_fee": F.col("monthly_fee").cast("double"),
@@ -108,7 +128,7 @@ def stage_subscribers(bronze: DataFrame, order_cols: Sequence[str] = ("updated_a
     valid = bronze.where(
         ~F.col("is_deleted") & F.col("subscriber_id").isNotNull() & F.col("status").isin(*SUBSCRIBER_STATUSES)
     )
-    typed = valid.withColumns({"home_cell_id": F.upper("home_cell_id"), "status": F.lower("status")})
+    typed = _typed(valid).withColumns({"home_cell_id": F.upper("home_cell_id"), "status": F.lower("status")})
     columns = (
         "subscriber_id", "full_name", "plan_id", "home_cell_id", "status", "activated_at", "updated_at", "ingested_at",
     )

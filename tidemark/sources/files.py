@@ -44,6 +44,16 @@ class MetadataFolder:
         number = self.latest_number()
         return None if number is None else self.read(number)
 
+    def latest_before(self, number: int) -> dict | None:
+        """The newest document below ``number``: what a batch found, even if it is replayed."""
+        known = [n for n in self._numbers() if n < number]
+        return self.read(known[-1]) if known else None
+
+    def put(self, number: int, document: dict) -> None:
+        """Write a document unless it is there already."""
+        if not self._fs.exists(self._file(f"{number:012d}.json")):
+            self.write(number, document)
+
     def write(self, number: int, document: dict) -> None:
         final = self._file(f"{number:012d}.json")
         draft = self._file(f".draft-{uuid.uuid4().hex}")

@@ -484,6 +484,15 @@ from (select max(ingested_at) as max_loaded_at from ev_raw)""",
         "select distinct event_id, event_ts from arrivals where late and event_ts <= "
         f"(select max(event_ts) from arrivals where not late) - {_LATE_LIMIT}"
     ),
+    "stream_ingest": (
+        f"select distinct {_EVENT_FIELDS}, cell_id as kafka_key, event_date, event_hour from ev_read "
+        "where event_ts is not null"
+    ),
+    "stream_ingest_quarantine": (
+        "select case when event_type is null then 'missing_event_id' else 'missing_event_ts' end as reason, "
+        "case when event_type is not null then event_id end as event_id, date_trunc('millisecond', ingested_at) as kafka_timestamp "
+        "from ev_raw where event_type is null or event_ts is null"
+    ),
     "stream_quarantine": (
         "select case when event_type is null then 'missing_event_id' else 'missing_event_ts' end as reason, "
         "count(*) as n_rows from ev_raw where event_type is null or event_ts is null group by 1"

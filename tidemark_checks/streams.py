@@ -11,8 +11,8 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidemark.plans.bronze import accepted_events
 from tidemark.schemas import SUBSCRIBER_PAYLOAD
 from tidemark.session import shared_folder
-from tidemark.sources.streams import batch_records, file_records, write_records
-from tidemark.streaming import billing, telemetry
+from tidemark.sources.streams import file_records, write_records
+from tidemark.streaming import billing, ingest, telemetry
 from tidemark_checks import inputs
 from tidemark_checks.queries import Query, _zoneless
 
@@ -85,15 +85,41 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _zoneless(spark.read.parquet(bronze).select("event_id", "event_ts"))
 
 
+def _ingest_run(spark: SparkSession, slices: list[DataFrame], purpose: str) -> ingest.Outputs:
+    """Deliver the slices to the job that splits each batch."""
+    root = shared_folder(spark, purpose)
+    outputs = ingest.Outputs(f"{root}/bronze", f"{root}/quarantine", f"{root}/late", f"{root}/state")
+
+    def work() -> None:
+        _run(spark, ingest.ingest_job(file_records(spark, f"{root}/landing"), f"{root}/checkpoint", outputs, None))
+
+    _deliver(slices, f"{root}/landing", work)
+    return outputs
+
+
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One kind of device delivers after all others: what bronze dropped as too late."""
+    """One kind of device delivers after all others: the rows that the job has put aside as too late."""
     records = inputs.event_records(spark, sf_dir)
     device = F.get_json_object(F.col("value").cast("string"), "$.device_type")
     late = F.coalesce(device == "mifi", F.lit(False))
-    slices = [*_slices(records.where(~late), _EVENT_CUTS[:1]), records.where(late)]
-    landing, bronze = _bronze_run(spark, slices)
-    landed = telemetry.typed_events(batch_records(spark, landing))
-    return _zoneless(telemetry.missing_events(landed, spark.read.parquet(bronze)).select("event_id", "event_ts"))
+    outputs = _ingest_run(spark, [*_slices(records.where(~late), _EVENT_CUTS[:1]), records.where(late)], "late")
+    # Each copy is a row of its own there.
+    return _zoneless(ingest.read_output(spark, outputs.late).select("event_id", "event_ts").distinct())
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze of the one-pass job, every slice delivered twice: copies in a batch and across batches."""
+    records = inputs.event_records(spark, sf_dir)
+    slices = [part for part in _slices(records, _EVENT_CUTS[:1]) for _ in range(2)]
+    outputs = _ingest_run(spark, slices, "ingest")
+    return _zoneless(ingest.read_output(spark, outputs.bronze)).drop(*_ARRIVAL)
+
+
+def stream_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected rows of the same job, whole."""
+    outputs = _ingest_run(spark, _slices(inputs.event_records(spark, sf_dir), _EVENT_CUTS[:1]), "rejected")
+    rejected = ingest.read_output(spark, outputs.quarantine)
+    return _zoneless(rejected.select("reason", "event_id", F.col("kafka_timestamp")))
 
 
 def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +197,8 @@ STREAM_QUERIES: dict[str, Query] = {
         stream_restart_exactly_once,
         stream_dedup,
         stream_late_rows,
+        stream_ingest,
+        stream_ingest_quarantine,
         stream_quarantine,
         stream_network_kpis,
         stream_cdc_upsert,
