@@ -121,7 +121,8 @@ def _in_blocks(rows: DataFrame, width: int, reach: int) -> DataFrame:
 
 
 def _meet(table: DataFrame, probes: DataFrame, on: list[str], reach: int) -> DataFrame:
-    found = probes.withColumnRenamed("fp", "p").drop("rest").join(table.withColumnRenamed("fp", "c").drop("rest"), on)
+    # Always a shuffle: the rows that one fingerprint is made into are not in the optimiser's estimate of the size.
+    found = probes.withColumnRenamed("fp", "p").drop("rest").join(table.withColumnRenamed("fp", "c").drop("rest").hint("shuffle_merge"), on)
     near = F.bit_count(F.col("p").bitwiseXOR(F.col("c"))) <= reach
     found = found.where(near & (~F.col("exact") | (F.col("c") < F.col("p"))))
     # The two ends may find each other in different segments.
