@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written below ``spark.checkpoint.dir`` and read again: it survives lost executors,
     cuts the lineage, and is computed once."""

@@ -16,11 +16,11 @@ Jaccard distance is a metric, and two sets are linked if it is at most ``reach``
 2. *Recursion.* Each region elects a document in its middle as pivot, and the regions of one pivot
    become one, the pivot's cell: copies share most of their shingles, so they meet there once.
    The exact distance of every member to the pivot is computed. Members within reach of it are linked, and so connected with one
-   another. What remains are pairs of different components; each round the documents outside the
-   pivot's component elect further pivots, 64 at first and then 64 times as many, and each is compared with
-   the members of other components in its window: by the triangle inequality, partners differ by at
-   most ``reach`` in their distances to the first pivot. A pivot that was compared leaves; a region
-   ends when it holds one component.
+   another; a cell of one component is done. The members of the others are dealt into rings of width
+   ``reach`` around the pivot: by the triangle inequality, partners lie in the same ring or in neighbouring ones, so
+   these are what a member is replicated to. Rings are cut into blocks of bounded size, and each pair of
+   blocks is compared in one task as a product of sparse matrices. It hands on as many links as connect what
+   belongs together, so neither pairs nor links of a crowded cell become rows.
 3. *Components* of the links, by repeated hooking to the smallest neighbour.
 
 No pair is missed and no region is capped.
@@ -32,17 +32,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from tidemark.llm import arrays
-from tidemark.llm.frames import discard, stored
+from tidemark.llm.frames import discard, free_name, stored
 
 SHINGLE = 5
 SKETCH_BITS = 18
 NEEDED_BITS = 22
 LEVEL_BITS = 24
+# Bounds of a block: members, and shingles of all of them.
+BLOCK_MEMBERS = 512
+BLOCK_SHINGLES = 1 << 19
+# Columns of a block that are multiplied at once.
+_COLUMNS = 1 << 13
 # Linked if SHARE[1] * intersection >= SHARE[0] * union.
 SHARE = (75, 100)
 
@@ -346,41 +351,92 @@ def _groups(members: DataFrame, sets: DataFrame) -> DataFrame:
         )
 
     is_link = f"{SHARE[1]} * both >= {SHARE[0]} * `all`"
-    reach = 1 - SHARE[0] / SHARE[1] + 1e-9
     placed = _with_pivots(members)
     near = stored(_distances(placed.where(close("least(s, ps)")).select("p", "c").distinct(), sets), "join-distances")
     found = near.where(is_link).select("p", "c")
-    distance = near.select("p", "c", (1 - F.col("both") / F.col("all")).alias("d"), F.col("both").alias("b"))
-    # In common with another member: of the pivot's shingles, and of the others that sets share.
-    shared = "coalesce(least(b, pb) + least(s - b, ps - pb), least(s, ps))"
-    cells = placed.select("p", "c", "n", "w", "s").dropDuplicates(["p", "c"])
-    members = stored(cells.join(distance, ["p", "c"], "left"), "join-members")
-    nodes = stored(members.select("c").unionByName(members.select(F.col("p").alias("c"))).distinct().withColumn("label", F.col("c")), "join-nodes")
-    pivots, whole = 64, components(found, nodes)
-    while True:
-        label = F.coalesce("label", "c")
-        # The label of a cell is that of its pivot.
-        labelled = members.join(whole, "c", "left").withColumn("own", label).drop("label")
-        labelled = labelled.join(whole.select(F.col("c").alias("p"), "label"), "p", "left").withColumn("main", F.coalesce("label", "p")).drop("label")
-        labelled = stored(labelled, "join-members")
-        outside = F.col("own") != F.col("main")
-        order = Window.partitionBy("p").orderBy(F.desc("w"), "c")
-        elected = labelled.where(outside).withColumn("k", F.row_number().over(order)).where(F.col("k") <= pivots)
-        elected = stored(elected.select("p", F.col("c").alias("q"), F.col("n").alias("pn"), F.col("s").alias("ps"), F.col("d").alias("pd"), F.col("b").alias("pb"), F.col("own").alias("po"), "k"), "join-pivots")
-        if elected.isEmpty():
-            return whole
-        met = labelled.join(elected, "p").where(close(shared) & (F.col("own") != F.col("po")))
-        met = met.where(F.coalesce(F.abs(F.col("d") - F.col("pd")) <= reach, F.lit(True)))
-        pairs = met.select(F.greatest("c", "q").alias("p"), F.least("c", "q").alias("c")).distinct()
-        near = stored(_distances(pairs, sets), "join-distances")
-        new = near.where(is_link).select("p", "c")
-        if not new.isEmpty():
-            found = stored(found.unionByName(new), "join-links")
-            whole = components(found, nodes)
-        # Pivots were compared with all that is left of their cell, and only cells that had one go on.
-        left = labelled.join(elected.select("p", F.col("q").alias("c")), ["p", "c"], "left_anti")
-        members = stored(left.join(elected.select("p").distinct(), "p", "left_semi").select("p", "c", "n", "w", "s", "d", "b"), "join-members")
-        pivots *= 64
+    distance = near.select("p", "c", (1 - F.col("both") / F.col("all")).alias("d"))
+    cells = placed.select("p", "c", "n").dropDuplicates(["p", "c"]).join(distance, ["p", "c"], "left")
+    cells = stored(cells, "join-cells")
+    discard(members)
+    nodes = stored(cells.select("c").unionByName(cells.select(F.col("p").alias("c"))).distinct().withColumn("label", F.col("c")), "join-nodes")
+    whole = components(found, nodes)
+    left = stored(_unsettled(cells, whole), "join-members")
+    if left.isEmpty():
+        return whole
+    new = stored(_block_links(left, sets), "join-links")
+    return whole if new.isEmpty() else components(found.unionByName(new), nodes)
+
+
+def _unsettled(cells: DataFrame, whole: DataFrame) -> DataFrame:
+    """Members (``p``, ``c``, ``n``, ``own``, ``ring``) of cells with more than one component; ``ring`` is null where the
+    distance to the pivot was not needed."""
+    labelled = cells.join(whole, "c", "left").withColumn("own", F.coalesce("label", "c")).drop("label")
+    # The pivot was compared with all that may be linked with it, so two components are needed without it.
+    mixed = labelled.groupBy("p").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low < high").select("p")
+    reach = 1 - SHARE[0] / SHARE[1]
+    # A little wider than the reach, so that rounding moves no partner two rings away.
+    ring = F.floor(F.col("d") / (reach + 1e-6)).cast("int")
+    return labelled.join(mixed, "p", "left_semi").select("p", "c", "n", "own", ring.alias("ring"))
+
+
+def _block_links(left: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (``p``, ``c``) that connect what is linked among the members of each cell, from pairs of blocks."""
+    ring = F.coalesce("ring", F.lit(-1))
+    rings = left.groupBy("p", ring.alias("ring")).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    blocks = F.ceil(F.greatest(F.col("k") / BLOCK_MEMBERS, F.col("n") / BLOCK_SHINGLES)).cast("int")
+    # At most one entry per ring of the unit interval.
+    plan = rings.groupBy("p").agg(F.collect_list(F.struct("ring", blocks.alias("blocks"))).alias("rings"))
+    placed = left.withColumn("ring", ring).join(plan, "p")
+    count = F.filter("rings", lambda r: r["ring"] == F.col("ring"))[0]["blocks"]
+    own = F.struct("ring", F.pmod(F.xxhash64("c"), count).cast("int").alias("block"))
+    others = F.filter("rings", lambda r: (F.abs(r["ring"] - F.col("ring")) <= 1) | (r["ring"] < 0) | (F.col("ring") < 0))
+    every = F.flatten(
+        F.transform(others, lambda r: F.transform(F.sequence(F.lit(0), r["blocks"] - 1), lambda k: F.struct(r["ring"].alias("ring"), k.alias("block"))))
+    )
+    met = placed.select("p", "c", "own", own.alias("mine"), F.explode(every).alias("other"))
+    met = met.select("p", "c", "own", F.least("mine", "other").alias("a"), F.greatest("mine", "other").alias("b"))
+    rows = met.join(sets, "c")
+    return rows.groupBy("p", "a", "b").applyInArrow(_compare_blocks, "p long, c long").distinct()
+
+
+def _intersections(members: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of all pairs of different sets."""
+    count = np.array([len(m) for m in members])
+    row = np.repeat(np.arange(len(members)), count)
+    _, column, times = np.unique(np.concatenate(members), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    row, column = row[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], np.unique(column[order], return_inverse=True)[1]
+    both = np.zeros((len(members), len(members)), np.float32)
+    for k in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        at = slice(*np.searchsorted(column, [k, k + _COLUMNS]))
+        part = np.zeros((len(members), _COLUMNS), np.float32)
+        part[row[at], column[at] - k] = 1
+        both += part @ part.T  # whole numbers below 2**24, so exact
+    return both.astype(np.int64)
+
+
+def _compare_blocks(key: tuple, table: pa.Table) -> pa.Table:
+    """Of the linked members of two blocks, each with the least of those it is connected with."""
+    c, first = np.unique(table["c"].to_numpy(), return_index=True)  # a set may have been read twice
+    own = table["own"].to_numpy()[first]
+    pairs = np.zeros((0, 2), np.int64)
+    if len(np.unique(own)) > 1:
+        blobs = table["members"].combine_chunks()
+        members = [np.frombuffer(blobs[int(k)].as_buffer(), np.uint64) for k in first]
+        sizes = np.array([len(m) for m in members])
+        both = _intersections(members)
+        linked = SHARE[1] * both >= SHARE[0] * (sizes[:, None] + sizes[None, :] - both)
+        linked |= own[:, None] == own[None, :]
+        label, before = np.arange(len(c)), None
+        while before is None or (label != before).any():
+            before = label
+            label = np.where(linked, label[None, :], len(c)).min(axis=1)
+            label = label[label]
+        moved = np.flatnonzero(label != np.arange(len(c)))
+        pairs = np.stack([c[moved], c[label[moved]]], axis=1)
+    return pa.table({"p": pa.array(pairs[:, 0], pa.int64()), "c": pa.array(pairs[:, 1], pa.int64())})
 
 
 def _classes(scanned: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
@@ -414,17 +470,19 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", te
     rows = scanned.where("c is not null").join(labels, "c").where(F.col(id_col).eqNullSafe(F.col("label")))
     kept = stored(rows.groupBy("c").agg(F.count(F.lit(1)).alias("copies")), "join-kept")
     text_at, names = docs.columns.index(text_col), docs.columns
+    key, least_id, copies = (free_name(docs, n) for n in ("set_key", "least_id", "copies"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = arrays.utf8(batch.column(text_at))
             keys = [set_key(m) if len(m) else None for m in shingle_sets(data, offsets, shingle)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*names, "__set"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], names=[*names, key])
 
-    keyed = docs.mapInArrow(run, StructType([*docs.schema.fields]).add("__set", LongType()))
-    least = stored(labels.select(F.col("c").alias("__set"), F.col("label").alias("__label")).join(kept.withColumnRenamed("c", "__set"), "__set"), "join-least")
-    joined = keyed.where("__set is not null").join(least, "__set").where(F.col(id_col).eqNullSafe(F.col("__label")))
-    single = joined.where("copies = 1").select(*names)
+    keyed = docs.mapInArrow(run, StructType([*docs.schema.fields]).add(key, LongType()))
+    least = labels.join(kept, "c").select(F.col("c").alias(key), F.col("label").alias(least_id), F.col("copies").alias(copies))
+    joined = keyed.where(F.col(key).isNotNull()).join(stored(least, "join-least"), key)
+    joined = joined.where(F.col(id_col).eqNullSafe(F.col(least_id)))
+    single = joined.where(F.col(copies) == 1).select(*names)
     # The same id and set more than once: few rows, of which one stays.
-    several = joined.where("copies > 1").dropDuplicates(["__set"]).select(*names)
-    return keyed.where("__set is null").select(*names).unionByName(single).unionByName(several)
+    several = joined.where(F.col(copies) > 1).dropDuplicates([key]).select(*names)
+    return keyed.where(F.col(key).isNull()).select(*names).unionByName(single).unionByName(several)
