@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import contamination, jaccard_join, suffix_dedup
 
@@ -105,6 +107,53 @@ def test_components_match_brute_force(docs):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == dict(enumerate(components(texts)))
 
 
+def crowd(copies, seed=2):
+    """Texts of a common line and words of their own: one cell, hardly any links; and a few that are linked."""
+    rng = random.Random(seed)
+    line = [f"line{k}" for k in range(40)]
+    texts = [" ".join(line + [f"own{k}-{j}" for j in range(rng.choice([5, 8, 11]))]) for k in range(copies)]
+    return texts + [t + " end" for t in texts[::17]]
+
+
+@pytest.mark.parametrize("members,columns", [(512, 1 << 13), (7, 5)])
+def test_crowded_cells_are_joined_in_blocks(docs, monkeypatch, members, columns):
+    monkeypatch.setattr(jaccard_join, "BLOCK_MEMBERS", members)
+    monkeypatch.setattr(jaccard_join, "_COLUMNS", columns)
+    texts = crowd(60) + near_copies(5)
+    found = jaccard_join.join(docs(texts)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == dict(enumerate(components(texts)))
+
+
+def test_rows_of_a_crowded_cell_grow_with_its_members(docs, monkeypatch):
+    """Four times the rows that share a line: about four times the rows of the join, not sixteen times."""
+    seen = []
+    block_links, distances = jaccard_join._block_links, jaccard_join._distances
+
+    def counted(left, sets):
+        seen[-1] += left.count()
+        return block_links(left, sets)
+
+    def measured(pairs, sets):
+        seen[-1] += pairs.count()
+        return distances(pairs, sets)
+
+    monkeypatch.setattr(jaccard_join, "_block_links", counted)
+    monkeypatch.setattr(jaccard_join, "_distances", measured)
+    for copies in (200, 800):
+        seen.append(0)
+        jaccard_join.join(docs(crowd(copies))).count()
+    assert seen[0] > 0 and seen[1] < 6 * seen[0]
+
+
+def test_block_links_connect_what_is_linked():
+    rng = random.Random(4)
+    sets = [np.unique(np.array(rng.sample(range(60), 30), np.uint64)) for _ in range(40)]
+    exact = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    assert jaccard_join._intersections(sets).tolist() == exact
+    # What no other set has is left out, so a set of such shingles only has no intersections.
+    assert not jaccard_join._intersections([np.array([k], np.uint64) for k in range(3)]).any()
+
+
 def test_chains_of_links_are_followed(docs):
     words = [f"v{i}" for i in range(260)]
     texts = [" ".join(words[4 * k : 4 * k + 100]) for k in range(40)]
@@ -136,7 +185,7 @@ def contaminated(texts, items):
     windows = []
     for item, text in items:
         w = ITEM_WORD.findall(low(text))
-        if item is not None and w:
+        if w:
             windows += [(item, tuple(w[k : k + 13])) for k in range(max(1, len(w) - 12))]
     out = []
     for t in texts:
@@ -146,7 +195,7 @@ def contaminated(texts, items):
             for p in range(len(w) - len(x) + 1):
                 if tuple(w[p : p + len(x)]) == x:
                     hit |= set(range(p, p + len(x)))
-                    found.add(str(item))
+                    found |= {str(item)} - {"None"}
         out.append((len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
     return out
 
@@ -176,6 +225,28 @@ def test_contamination_matches_brute_force(spark, docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == [i for i, x in enumerate(expected) if not x[3]]
 
 
+def test_an_item_without_id_contaminates_but_is_not_listed(spark, docs):
+    words = [f"w{k}" for k in range(15)]
+    test = spark.createDataFrame([(None, " ".join(words)), (5, " ".join(words[:13]))], "item_id long, text string")
+    found = contamination.find_contamination(docs([" ".join(words), "other"]), test).collect()
+    assert {(r["doc_id"], r["n_hit"], tuple(r["items"])) for r in found} == {(0, 15, ("5",)), (1, 0, ())}
+    unnamed = test.where("item_id is null")
+    assert contamination.find_contamination(docs([" ".join(words)]), unnamed).first()["items"] == []
+    assert contamination.drop_contaminated(docs([" ".join(words), "other"]), unnamed).count() == 1
+
+
+def test_columns_of_documents_may_have_any_name(spark, docs):
+    words = " ".join(f"w{k}" for k in range(20))
+    frame = docs([words, words, "other text"])
+    for name in ("text_key", "set_key", "copies", "least_id", "c", "n", "label", "maybe", "n_words", "quality_score"):
+        frame = frame.withColumn(name, F.lit("kept"))
+    test = spark.createDataFrame([(1, words)], "item_id long, text string")
+    clean = contamination.drop_contaminated(frame, test)
+    assert clean.columns == frame.columns and [r["set_key"] for r in clean.collect()] == ["kept"]
+    distinct = jaccard_join.keep_one(frame)
+    assert distinct.columns == frame.columns and {r["copies"] for r in distinct.collect()} == {"kept"} and distinct.count() == 2
+
+
 def test_contamination_of_and_by_nothing(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination.find_contamination(docs(["a b"]), none).first()["n_hit"] == 0

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import arrays
-from tidemark.llm.frames import stored
+from tidemark.llm.frames import free_name, stored
 
 WINDOW, GRAM = 13, 5
 BITMAP_BITS = 22
@@ -50,8 +50,8 @@ def winnow(h: np.ndarray, own: np.ndarray, window: int) -> tuple[np.ndarray, np.
 
 
 def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
-    """Distinct rows (``n``, ``h``, ``item``): the items' windows of n words; and their fingerprints as
-    rows with ``item`` null."""
+    """Distinct rows (``n``, ``h``, ``item``, ``is_print``): the items' windows of n words, and their fingerprints,
+    without an item."""
     kind = items.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,11 +69,12 @@ def item_windows(items: DataFrame, window: int, id_col: str, text_col: str) -> D
             for n, hashes, owner in rows:
                 ids = batch.column(0).take(pa.array(owner)) if owner is not None else pa.nulls(len(hashes), batch.column(0).type)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(hashes), n, np.int32)), pa.array(hashes.view(np.int64)), ids], names=["n", "h", "item"]
+                    [pa.array(np.full(len(hashes), n, np.int32)), pa.array(hashes.view(np.int64)), ids, pa.array([owner is None] * len(hashes), pa.bool_())],
+                    names=["n", "h", "item", "is_print"],
                 )
 
-    known = items.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(id_col, text_col)
-    return known.mapInArrow(run, f"n int, h long, item {kind}").distinct()
+    known = items.where(F.col(text_col).isNotNull()).select(id_col, text_col)
+    return known.mapInArrow(run, f"n int, h long, item {kind}, is_print boolean").distinct()
 
 
 def _bitmap(rows: DataFrame, bits: int) -> bytes:
@@ -145,12 +146,12 @@ def _hits(
     """The scanned documents (id, ``n_words``, ``text_key``), and per text with hits these."""
     test = stored(item_windows(items, window, item_id_col, item_text_col), "test-windows")
     lengths = sorted(r["n"] for r in test.select("n").distinct().collect())  # at most ``window``
-    prints = _bitmap(test.where("item is null"), bits)
-    windows = _bitmap(test.where("item is not null"), bits)
+    prints = _bitmap(test.where("is_print"), bits)
+    windows = _bitmap(test.where("not is_print"), bits)
     scanned = stored(_scan(docs, lengths, prints, windows, bits, id_col, text_col), "doc-windows")
     maybe = scanned.where("size(maybe) > 0").select("text_key", F.explode("maybe").alias("m"))
     maybe = maybe.select("text_key", "m.start", "m.n", "m.h").distinct()  # copies of a text count once
-    hits = maybe.join(test.where("item is not null"), ["n", "h"])
+    hits = maybe.join(test.where("not is_print"), ["n", "h"])
     by_text = hits.groupBy("text_key").agg(
         F.array_sort(F.collect_set(F.struct("start", "n"))).alias("spans"),
         F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"),
@@ -182,8 +183,8 @@ def find_contamination(
     (ids of the items with occurring windows, sorted as text) and ``spans`` (start and number of words
     of each occurrence).
 
-    Null and empty texts have no words and no hits; an item without id or without words takes no
-    part; items that share an id count once. Document ids may be null or repeat. Other columns are
+    Null and empty texts have no words and no hits; an item without words takes no part; the windows of an item
+    without id count for the hits, but it cannot be listed; items that share an id count once. Document ids may be null or repeat. Other columns are
     not read.
     """
     scanned, found = _hits(docs, items, window, id_col, text_col, item_id_col, item_text_col, bits)
@@ -205,6 +206,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = WINDOW, i
     """``docs`` without the contaminated texts; all columns are kept."""
     scanned, found = _hits(docs, items, window, id_col, text_col, "item_id", "text", BITMAP_BITS)
     bad = scanned.join(found, "text_key").where(is_contaminated()).select("text_key").distinct()
-    keyed = docs.withColumn("__text", text_key(text_col))
-    bad = stored(bad.withColumnRenamed("text_key", "__text"), "contaminated-texts")
-    return keyed.join(bad, "__text", "left_anti").select(*docs.columns)
+    key = free_name(docs, "text_key")
+    bad = stored(bad.withColumnRenamed("text_key", key), "contaminated-texts")
+    return docs.withColumn(key, text_key(text_col)).join(bad, key, "left_anti").select(*docs.columns)

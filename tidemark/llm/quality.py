@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from tidemark.llm import arrays
+from tidemark.llm.frames import free_name
 
 
 @dataclass(frozen=True)
@@ -154,9 +155,13 @@ def train(labelled: DataFrame, settings: Settings = Settings()) -> np.ndarray:
     return np.frombuffer(row["weights"], "<f4") if row else np.zeros(settings.dims + 1, np.float32)
 
 
-def score(docs: DataFrame, weights: np.ndarray, settings: Settings = Settings(), text_col: str = "text") -> DataFrame:
-    """``docs`` with ``quality_score`` (0 to 1). All columns are kept; a text without words, empty or
-    null, gets the score of the intercept alone."""
+def score(
+    docs: DataFrame, weights: np.ndarray, settings: Settings = Settings(), text_col: str = "text", score_col: str = "quality_score"
+) -> DataFrame:
+    """``docs`` with ``score_col`` (0 to 1), a name that they must not have. All columns are kept; a text without
+    words, empty or null, gets the score of the intercept alone."""
+    if free_name(docs, score_col) != score_col:
+        raise ValueError(f"the documents have a column {score_col}; choose another score_col")
     shared = docs.sparkSession.sparkContext.broadcast(weights.astype(np.float32).tobytes())  # dims x 4 bytes
     text_at = docs.columns.index(text_col)
 
@@ -170,9 +175,9 @@ def score(docs: DataFrame, weights: np.ndarray, settings: Settings = Settings(),
                 at, x, ends = sparse(*features(data[own[0] : own[-1]], own - own[0], settings), settings.dims)
                 sums = np.concatenate([[0.0], np.cumsum(w[at] * x)])
                 out[a:b] = _sigmoid(sums[ends[1:]] - sums[ends[:-1]] + w[-1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, score_col])
 
-    schema = StructType([*docs.schema.fields]).add("quality_score", DoubleType())
+    schema = StructType([*docs.schema.fields]).add(score_col, DoubleType())
     return docs.mapInArrow(run, schema)
 
 

@@ -158,7 +158,7 @@ where rank <= 5""",
 with d as (
     select doc_id, regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
 i as (
-    select item_id, regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark where item_id is not null),
+    select item_id, regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
 win as (
     select distinct item_id, n, array_to_string(w[k:k + n - 1], ' ') as s
     from (select *, least(13, len(w)) as n, unnest(range(1, len(w) - least(13, len(w)) + 2)) as k from i where len(w) > 0)),
@@ -167,7 +167,8 @@ pos as (
     from (select d.doc_id, d.w, l.n, unnest(range(1, len(d.w) - l.n + 2)) as k from d, (select distinct n from win) l)),
 hit as (select distinct doc_id, n, k, item_id from pos join win using (n, s)),
 words as (select doc_id, count(distinct p) as n_hit from (select doc_id, k + unnest(range(0, n)) as p from hit) group by 1),
-ids as (select doc_id, list_sort(list(distinct cast(item_id as varchar))) as ids from hit group by 1)
+-- an item without id has windows, but cannot be listed
+ids as (select doc_id, list_sort(list(distinct cast(item_id as varchar)) filter (where item_id is not null)) as ids from hit group by 1)
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, cast(coalesce(len(ids), 0) as bigint) as n_items,
        sha256(coalesce(array_to_string(ids, ','), '')) as items_sha256,
        coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
