@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import contamination, jaccard_join, mixing, quality, secrets
-from tidemark.llm.frames import stored, table
+from tidemark.llm.frames import free_name, stored, table
 from tidemark.session import prepare
 
 
@@ -19,8 +19,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier, fitted on the labelled ones among them, accepts."""
     settings = quality.Settings()
     rows = quality.training_rows(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"), F.lit(True), settings)
-    scored = quality.score(docs, quality.train(rows, settings), settings)
-    return scored.where(F.col("quality_score") >= settings.threshold).select(*docs.columns)
+    name = free_name(docs, "quality_score")
+    scored = quality.score(docs, quality.train(rows, settings), settings, score_col=name)
+    return scored.where(F.col(name) >= settings.threshold).select(*docs.columns)
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
