@@ -4,7 +4,7 @@ import pytest
 from helpers import rows, ts
 from pyspark.sql import functions as F
 
-from tidemark.plans.refresh import Lakehouse, RefreshOptions
+from tidemark.plans.refresh import Lakehouse, RefreshOptions, Run
 from tidemark.sources.tables import append_partitioned
 from tidemark_checks import inputs
 
@@ -126,6 +126,33 @@ def test_only_days_that_may_hold_a_copy_are_read(spark, folder, sources):
         assert changed == {day}, name
 
 
+def test_the_heatmap_reads_the_changed_days_only(spark, folder, sources):
+    """Unless a cell has lost the row that was its latest, as the copies of these events have moved to an earlier day."""
+    events, bronze = sources["bronze_telecom_events"], f"{folder}/bronze"
+    last = events.where(events.event_ts.isNotNull() & (events.event_ts <= F.lit(LATE))).orderBy(F.desc("event_ts")).first()
+    append_partitioned(events, bronze)
+    house, whole = Lakehouse(spark, f"{folder}/step"), Lakehouse(spark, f"{folder}/all")
+    assert house.refresh({**sources, "bronze_telecom_events": spark.read.parquet(bronze)}, options(LATE)).published
+    window = F.col("event_ts") >= F.lit(last["event_ts"]) - timedelta(hours=12)
+    moved = {"event_ts": F.col("event_ts") - timedelta(days=3), "event_date": F.date_sub("event_date", 3)}
+    moved["ingested_at"] = F.col("ingested_at") + timedelta(days=9)
+    append_partitioned(events.where(window).withColumns(moved), bronze)
+    now = {**sources, "bronze_telecom_events": spark.read.parquet(bronze)}
+    assert house.refresh(now, options(LATE)).published and whole.refresh(now, options(LATE, full=True)).published
+    expected = whole.tables(now)["gold_cell_heatmap"]
+    columns = [c for c in expected.columns if c != "updated_at"]
+    found = rows(house.tables(now)["gold_cell_heatmap"], *columns)
+    assert found == rows(expected, *columns)
+    # A run without changes looks at no KPI row at all.
+    run = Run(now, options(LATE), days=[])
+    run.tables["gold_network_kpis"] = whole.tables(now)["gold_network_kpis"]
+    run.published = {"changed": spark.createDataFrame([], run.tables["gold_network_kpis"].schema), "gold_cell_heatmap": house.tables(now)["gold_cell_heatmap"]}
+    same = run.heatmap()
+    assert rows(same, *columns) == found
+    scanned = {f.split("/gold_")[1].split("/")[0] for f in same.inputFiles() if "/gold_" in f}
+    assert scanned <= {"cell_heatmap"}
+
+
 def test_a_failed_gate_leaves_the_publication_unchanged(spark, folder, sources):
     house = Lakehouse(spark, folder)
     assert house.refresh(sources, options(EARLY)).published

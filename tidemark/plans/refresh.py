@@ -28,6 +28,7 @@ VIEW, TABLE, INCREMENTAL = "view", "table", "incremental"
 _DAY = timedelta(days=1)
 SILVER_TABLE = "silver_cell_events"
 KPI_TABLE = "gold_network_kpis"
+HEATMAP_TABLE = "gold_cell_heatmap"
 # The ids of the silver events before they meet their cells, with what decides between copies, and
 # the Bloom filter of each day's ids.
 IDS_TABLE = "event_ids"
@@ -60,7 +61,7 @@ class Run:
 
     ``days`` are the days to rebuild from their events, None for all, and ``trimmed`` those that lose rows. ``beaten`` holds the ids among these of
     which another day has a newer copy; ``lost`` the days and ids of other days of which these have one. ``published`` has the published silver of the trimmed days, and
-    under ``changed`` the rows of the last table written, of the changed days.
+    under ``changed`` the rows of the last table written by day, of the changed days, and the published heatmap.
     """
 
     tables: dict[str, DataFrame]
@@ -96,6 +97,23 @@ class Run:
         kept = self.published[SILVER_TABLE].join(self.lost.select("event_id"), "event_id", "left_anti")
         return rebuilt.unionByName(kept)
 
+    def heatmap(self) -> DataFrame:
+        """The latest KPI row of each cell. Where only some days changed, it is the published one or lies on these days;
+        all days are looked at only for cells that have lost the row that was their latest."""
+        kpis, before = self.tables[KPI_TABLE], self.published.get(HEATMAP_TABLE)
+        if self.days is None or before is None:
+            return gold.cell_heatmap(kpis)
+        changed = self.published["changed"]
+        gone = F.col("day").isin(self.changed)
+        known = before.drop("severity").withColumn("day", day_of("window_start"))
+        newest = changed.groupBy("cell_id").agg(F.max("window_start").alias("newest"))
+        replaced = known.where(gone).join(newest, "cell_id", "left")
+        lost = replaced.where(F.col("newest").isNull() | (F.col("newest") < F.col("window_start"))).select("cell_id")
+        candidates = known.where(~gone).drop("day").unionByName(changed)
+        if not lost.isEmpty():
+            candidates = candidates.unionByName(kpis.join(lost, "cell_id", "left_semi"))
+        return gold.cell_heatmap(candidates)
+
     @property
     def changed(self) -> list[str] | None:
         """The days whose tables are written anew, None for all."""
@@ -148,7 +166,7 @@ MODELS: tuple[Model, ...] = (
         frozenset({"gold"}),
     ),
     # A table, as its readers would each rank the whole KPI history.
-    Model("gold_cell_heatmap", "gold", TABLE, lambda run: gold.cell_heatmap(run.tables[KPI_TABLE]), _DASHBOARD),
+    Model(HEATMAP_TABLE, "gold", TABLE, lambda run: run.heatmap(), _DASHBOARD),
     Model(
         "gold_customer_360",
         "gold",
@@ -243,6 +261,8 @@ class Lakehouse:
             # Read before the build: what arrives meanwhile is left to the next run.
             published["seen"] = self._look(sources["bronze_telecom_events"], None if fresh else current["seen"], options)
             self._place_ids(run, number, published, None if fresh else current)
+            if not fresh:
+                run.published[HEATMAP_TABLE] = self._spark.read.parquet(f"{self._path}/{current['tables'][HEATMAP_TABLE]}")
         elif any(m.selected(selectors) for m in incremental):
             raise ValueError("silver and KPIs are rebuilt together, since they share the days to rebuild")
         built = []
