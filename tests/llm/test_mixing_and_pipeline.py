@@ -67,7 +67,7 @@ def test_queries_with_sql_match_it(spark):
 
 def test_every_query_is_registered():
     names = entry_points.queries()
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{n}" for n in range(1, 14)]
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
 
 
