@@ -44,10 +44,10 @@ SKETCH_BITS = 18
 NEEDED_BITS = 22
 LEVEL_BITS = 24
 # Bounds of a block: members, and shingles of all of them.
-BLOCK_MEMBERS = 512
-BLOCK_SHINGLES = 1 << 19
+BLOCK_MEMBERS = 256
+BLOCK_SHINGLES = 1 << 17
 # Columns of a block that are multiplied at once.
-_COLUMNS = 1 << 13
+_COLUMNS = 1 << 11
 # Linked if SHARE[1] * intersection >= SHARE[0] * union.
 SHARE = (75, 100)
 
