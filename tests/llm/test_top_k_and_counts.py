@@ -51,6 +51,41 @@ def test_top_k_of_few_and_of_no_vectors(spark):
     assert search(vectors(spark, [])) == []
 
 
+def test_scores_are_exact_beyond_the_range_of_doubles(spark):
+    rows = [(0, [2.0**19 + 1 / 256, 1 / 256], 0, 1), (1, [2.0**19 + 1 / 256, 1 / 256], 0, 1), (2, [2.0**19 + 1 / 256, 0.0], 0, 1), (50, [1.0, 1.0], 0, 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, v int")
+    big = 2**27 + 1
+    found = [(r["query_id"], r["vec_id"], r["score"]) for r in top_k.top_k(frame, F.col("vec_id") % 50 == 0, 3).collect()]
+    assert sorted(found) == sorted(
+        [(0, 1, big * big + 1), (0, 2, big * big), (0, 50, 256 * big + 256)]
+        + [(50, 0, 256 * big + 256), (50, 1, 256 * big + 256), (50, 2, 256 * big)]
+    )
+
+
+@pytest.mark.parametrize("value", [1e10, 1e17])
+def test_scores_and_components_that_fit_no_long_are_refused(spark, value):
+    frame = spark.createDataFrame([(0, [value, value]), (1, [value, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        top_k.top_k(frame, F.col("vec_id") % 50 == 0).collect()
+
+
+def test_a_proof_ends_the_search_before_all_segments(monkeypatch):
+    rng = np.random.default_rng(7)
+    vectors = np.where(rng.random((4000, 16)) < 0.9, 0, rng.integers(0, 300, (4000, 16)))
+    vectors[:20] = rng.integers(200, 300, (20, 16))
+    index = top_k.ImpactIndex(np.arange(4000), vectors)
+    steps = []
+    partition = np.partition
+    monkeypatch.setattr(top_k.np, "partition", lambda x, *a, **b: steps.append(len(x)) or partition(x, *a, **b))
+    queries = rng.integers(1, 300, (30, 16))
+    found = index.search(np.full(30, -1), queries, 5)
+    exact = queries @ vectors.T
+    for (ids, scores), row in zip(found, exact, strict=True):
+        order = np.lexsort((np.arange(4000), -row))[:5]
+        assert ids.tolist() == order.tolist() and scores.tolist() == row[order].tolist()
+    assert sum(steps) < 30 * len(top_k._STEPS)
+
+
 def test_blocks_and_queries_split_without_changing_the_result(spark, monkeypatch):
     rng = random.Random(6)
     rows = [(i, [rng.gauss(0, 0.3) for _ in range(8)], 0, 1) for i in range(300)]

@@ -5,7 +5,9 @@ dimension, the vectors in order of their value, cut where the quantised value ch
 each segment has a quantised impact, the most that its vectors gain there above the block's least
 gain in that dimension. Segments are processed by descending impact into lower and upper bounds of
 the scores; what is open is at most the impact of the next segment for each open dimension. Once the
-k-th best lower bound proves that all but a few vectors are out, the rest is scored exactly.
+k-th best lower bound proves that all but a few vectors are out, a query stops, and what is possible is
+scored exactly. Queries of a block advance together, some segments of each at a time, as one product of
+their gains with the matrix of segments and vectors.
 
 Blocks of vectors and blocks of queries meet in a grid of equal, bounded tasks; each returns its k
 best per query, and these are ranked.
@@ -22,6 +24,10 @@ from pyspark.sql import functions as F
 
 LEVELS = 8
 BLOCK, QUERY_BLOCK = 8192, 1024
+# Queries that advance together, and the shares of the segments after which bounds are compared.
+_TOGETHER, _STEPS = 128, (0.25, 0.5, 1.0)
+# Whole numbers are exact in products of doubles below this, and fit a long below the other.
+_DOUBLE_EXACT, _LONG = 2**53, 2**63
 
 
 class ImpactIndex:
@@ -30,14 +36,13 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, levels: int = LEVELS):
         order = np.argsort(ids, kind="stable")  # ties go to the smaller id
         self.ids, self.vectors = ids[order], vectors[order]
-        self.exact = self.vectors.astype(np.float64)  # whole numbers, sums stay below 2**53
         n, dims = self.vectors.shape
         dim, low, high, posting = [], [], [], []
         for d in range(dims):
             by_value = np.argsort(self.vectors[:, d], kind="stable")
             values = self.vectors[by_value, d]
-            step = max(1, -(-int(values[-1] - values[0] + 1) // levels))
-            level = (values - values[0]) // step
+            step = max(1, -(-(int(values[-1]) - int(values[0]) + 1) // levels))
+            level = (values.astype(np.float64) - float(values[0])) // step
             cuts = np.flatnonzero(np.diff(level)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), n], strict=True):
                 dim.append(d)
@@ -46,42 +51,71 @@ class ImpactIndex:
                 posting.append(by_value[a:b])
         self.dim, self.low, self.high, self.posting = np.array(dim), np.array(low), np.array(high), posting
         self.least, self.most = self.vectors.min(axis=0), self.vectors.max(axis=0)
-
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best, by score and then smaller id; the query's own id takes no part."""
-        n, dims = self.vectors.shape
-        base = np.minimum(query * self.least, query * self.most)  # least gain of each dimension
-        ends = np.stack([query[self.dim] * self.low, query[self.dim] * self.high]) - base[self.dim]
+        self.largest = max(abs(int(self.least.min())), abs(int(self.most.max())))
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per query the ids and scores of the k best, by score and then smaller id; its own id takes no part."""
+        dims = self.vectors.shape[1]
+        # No score, no bound and no sum of the two is larger.
+        if 4 * dims * self.largest * max(1, int(np.abs(queries).max())) >= _DOUBLE_EXACT:
+            return [self._search_large(i, q, k) for i, q in zip(query_ids.tolist(), queries, strict=True)]
+        segments = np.zeros((len(self.posting), len(self.ids)))
+        for s, at in enumerate(self.posting):
+            segments[s, at] = 1
+        exact, found = self.vectors.astype(np.float64), []
+        for a in range(0, len(queries), _TOGETHER):
+            found += self._advance(query_ids[a : a + _TOGETHER], queries[a : a + _TOGETHER].astype(np.float64), k, segments, exact)
+        return found
+
+    def _advance(self, query_ids: np.ndarray, queries: np.ndarray, k: int, segments: np.ndarray, exact: np.ndarray) -> list:
+        n, count = len(self.ids), len(self.posting)
+        base = np.minimum(queries * self.least, queries * self.most)  # least gain of each dimension
+        ends = np.stack([queries[:, self.dim] * self.low, queries[:, self.dim] * self.high]) - base[:, self.dim]
         gain, impact = ends.min(axis=0), ends.max(axis=0)
-        order = np.argsort(-impact, kind="stable")
-        lower, slack, left = np.zeros(n, np.int64), np.zeros(n, np.int64), np.full(n, dims, np.int64)
-        own = self.ids == query_id
-        rivals = n - int(own.sum())
-        possible = np.arange(n)
-        if rivals > k:
-            for done, s in enumerate(order.tolist(), 1):
-                at = self.posting[s]
-                lower[at] += gain[s]
-                slack[at] += impact[s] - gain[s]
-                left[at] -= 1
-                if done % (2 * dims) and done < len(order):
-                    continue
-                # An open dimension adds at most the impact of the next segment.
-                rest = impact[order[done]] if done < len(order) else 0
-                known = np.where(own, -1, lower)
-                bar = np.partition(known, n - k)[n - k]
-                possible = np.flatnonzero((lower + slack + left * rest >= bar) & ~own)
-                if len(possible) <= max(4 * k, n // 64):
-                    break
-        possible = possible[~own[possible]]
-        scores = (self.exact[possible] @ query.astype(np.float64)).astype(np.int64)
-        best = np.lexsort((self.ids[possible], -scores))[:k]
-        return self.ids[possible[best]], scores[best]
+        descending = -np.sort(-impact, axis=1)
+        own = self.ids[None, :] == query_ids[:, None]
+        possible = ~own
+        enough = max(4 * k, n // 64)
+        todo = np.flatnonzero(possible.sum(axis=1) > k)
+        for share in _STEPS:
+            if not len(todo):
+                break
+            done = int(np.ceil(share * count))
+            # Segments of the same impact are processed together; an open one adds at most the next impact.
+            last = descending[todo, done - 1][:, None]
+            processed = impact[todo] >= last
+            rest = np.where(processed, 0, impact[todo]).max(axis=1)[:, None]
+            lower = np.where(processed, gain[todo], 0) @ segments
+            upper = np.where(processed, impact[todo], rest) @ segments
+            bar = np.partition(np.where(own[todo], -1, lower), n - k, axis=1)[:, n - k]
+            possible[todo] = (upper >= bar[:, None]) & ~own[todo]
+            todo = todo[possible[todo].sum(axis=1) > enough]
+        scores = queries @ exact.T
+        return [self._best(np.flatnonzero(may), score, k) for may, score in zip(possible, scores.astype(np.int64), strict=True)]
+
+    def _best(self, possible: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        best = possible[np.lexsort((self.ids[possible], -scores[possible]))[:k]]
+        return self.ids[best], scores[best]
+
+    def _search_large(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Scores beyond the exact range of doubles, in whole numbers of any size."""
+        others = np.flatnonzero(self.ids != query_id)
+        scores = [sum(x * y for x, y in zip(row, query.tolist(), strict=True)) for row in self.vectors[others].tolist()]
+        best = sorted(range(len(others)), key=lambda j: (-scores[j], int(self.ids[others[j]])))[:k]
+        if any(not -_LONG <= scores[j] < _LONG for j in best):
+            raise OverflowError(f"a score of query {query_id} does not fit a long")
+        return self.ids[others[best]], np.array([scores[j] for j in best], np.int64)
 
 
 def whole_numbers(vector: Column, scale: int) -> Column:
-    """floor(scale * x) of each component, x as double."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    """floor(scale * x) of each component, x as double; an error where that does not fit a long."""
+
+    def whole(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        too_large = F.raise_error(F.lit("a component does not fit a long")).cast("long")
+        return F.when(F.abs(scaled) < float(_LONG), F.floor(scaled).cast("long")).otherwise(too_large)
+
+    return F.transform(vector, whole)
 
 
 def usable(vector: Column) -> Column:
@@ -108,7 +142,8 @@ def top_k(
     ``is_query`` is a condition on ``id_col``. Equal scores rank by smaller id. Rows without id and
     unusable vectors (null, empty, or with a null or non-finite component) take no part; repeated
     rows count once; rows with the query's own id are no candidates. Vectors of different lengths are
-    filled up with zeros. Fewer than k candidates give fewer rows. Other columns are not read.
+    filled up with zeros. Fewer than k candidates give fewer rows. Scores are exact; one among the results that
+    does not fit a long is an error. Other columns are not read.
     """
     rows = (
         vectors.where(F.col(id_col).isNotNull() & usable(F.col(vector_col)))
@@ -131,8 +166,8 @@ def top_k(
             wanted = _matrix(asked["v"])
             index = ImpactIndex(block["vec_id"].to_numpy(), _matrix(block["v"], wanted.shape[1]))
             wanted = np.pad(wanted, ((0, 0), (0, index.vectors.shape[1] - wanted.shape[1])))
-            for query_id, query in zip(asked["vec_id"].to_pylist(), wanted, strict=True):
-                ids, scores = index.search(query_id, query, k)
+            every = index.search(asked["vec_id"].to_numpy(), wanted, k)
+            for query_id, query, (ids, scores) in zip(asked["vec_id"].to_pylist(), wanted, every, strict=True):
                 out["query_id"] += [query_id] * len(ids)
                 out["query_key"] += [zlib.crc32(query.tobytes().rstrip(b"\0"))] * len(ids)
                 out["vec_id"] += ids.tolist()
