@@ -12,7 +12,8 @@ byte positions would shuffle many times the input, so the array is sparse:
 3. *Ends.* Up to where the sample can decide, repeats are removed now. The positions that are left lie
    at the ends of repeats: their string holds sampled ranks that all repeat, but is not inside a
    string already removed. They, and those positions of the same sampled ranks that could hold the
-   same string, are grouped by the hash of their whole string.
+   same string, are compared in two steps: blocks of neighbours by the bytes all their strings share,
+   then the positions of blocks that agree, by the hash of their whole string.
 
 Matches never cross documents. Equal texts are one text whose every position repeats.
 """
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import arrays
-from tidemark.llm.frames import stored
+from tidemark.llm.frames import discard, stored
 
 LENGTH = 400
 GRAM = 16
 FILTER_BITS = 24
+# Positions whose strings are compared together before each is compared alone.
+BLOCK = 16
 
 
 def window_of(length: int) -> int:
@@ -159,12 +163,17 @@ def _sampled(docs: DataFrame, length: int, text_col: str) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "key long, pos long, size int, rank long")
 
 
-def _repeating(rows: DataFrame) -> DataFrame:
-    """The rows whose rank two different positions have. The ranks are stored, so that Spark can split
-    the rows of a very frequent one."""
-    place = F.struct("key", "pos")
-    ranks = rows.groupBy("rank").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("rank")
-    return rows.join(stored(ranks, "suffix-ranks"), "rank")
+def _in_two_places(rows: DataFrame, value: str, place: tuple[str, str]) -> DataFrame:
+    """The values that stand at two different places. Bounds of plain numbers keep the aggregate hashed."""
+    bounds = [f(c).alias(f"{n}{i}") for i, c in enumerate(place) for n, f in (("least", F.min), ("most", F.max))]
+    return rows.groupBy(value).agg(*bounds).where("least0 != most0 or least1 != most1").select(value)
+
+
+def _repeating(rows: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows whose rank two different positions have, and the stored tables it reads. The ranks are stored, so
+    that Spark can split the rows of a very frequent one."""
+    ranks = stored(_in_two_places(rows, "rank", ("key", "pos")), "suffix-ranks")
+    return rows.join(ranks, "rank"), [rows, ranks]
 
 
 def _double(rows: DataFrame, length: int, level: int) -> DataFrame:
@@ -206,45 +215,79 @@ def _open_positions(data: np.ndarray, blocks: list[np.ndarray], sure: np.ndarray
     return p, at[first[good]], at[last[good]] + GRAM, whole[p + length] - whole[p] < length
 
 
-def _run_keys(hashes: dict[int, np.ndarray], p: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of the sampled part of a string and of where it lies in it."""
-    return arrays.chain(part_hashes(hashes, start, end), (start - p).astype(np.uint64))
+def _cores(hashes: dict[int, np.ndarray], p: np.ndarray, start: np.ndarray, length: int):
+    """For positions ``p`` and their first sampled positions: the first of each block, where the block's core begins,
+    and the hash of the core.
+
+    A block is up to ``BLOCK`` neighbouring positions, counted from their first sampled position; its core are the
+    bytes that the strings of all of them share. Equal strings have equal samples, so they have equal cores.
+    """
+    block = (start - p) // BLOCK
+    at = start - BLOCK * block
+    edge = np.flatnonzero((np.diff(at, prepend=-1) != 0) | (np.diff(block, prepend=-1) != 0))
+    at, block = at[edge], block[edge]
+    return edge, at, arrays.chain(part_hashes(hashes, at, at + length - BLOCK + 1), block.astype(np.uint64))
+
+
+def _lists(column: pa.Array) -> list[np.ndarray]:
+    values, offsets = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
 
 
 def _rows_of(batch: pa.RecordBatch):
+    levels = len(batch.schema.names) - 5
+    blocks = [_lists(batch.column(5 + i)) for i in range(levels)]
+    starts, ends = _lists(batch.column(3)), _lists(batch.column(4))
     for row in range(batch.num_rows):
         data = np.frombuffer(batch.column(1)[row].as_buffer(), np.uint8)
-        blocks = [np.array(b, np.int64) for b in batch.column(3)[row].as_py()]
-        sure = np.array([(s["start"], s["end"]) for s in batch.column(4)[row].as_py()], np.int64).reshape(-1, 2)
-        yield batch.column(0)[row].as_py(), data, batch.column(2)[row].as_py(), blocks, sure
+        sure = np.stack([starts[row], ends[row]], axis=1).astype(np.int64)
+        yield batch.column(0)[row].as_py(), data, batch.column(2)[row].as_py(), [b[row] for b in blocks], sure
 
 
 def _asked(texts: DataFrame, length: int) -> DataFrame:
-    """Open positions that are not removed yet (``key``, ``pos``), the hash of their string, and ``part``."""
+    """Blocks of open positions that are not removed yet: ``core`` and where it lies (``key``, ``at``), and for
+    each of the positions how far it lies before that (``back``) and the hash of its string."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for key, data, copied, blocks, sure in _rows_of(batch):
                 if copied:
                     continue
-                p, start, end, open_ = _open_positions(data, blocks, sure, length, copied)
-                p, start, end = p[open_], start[open_], end[open_]
+                p, start, _, open_ = _open_positions(data, blocks, sure, length, copied)
+                p, start = p[open_], start[open_]
                 if len(p):
                     hashes = doubled(data, length)
+                    edge, at, core = _cores(hashes, p, start, length)
+                    size = np.diff(edge, append=len(p))
+                    offsets = pa.array(np.append(edge, len(p)).astype(np.int32))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(len(p), key, np.int64)), pa.array(p),
-                            pa.array(part_hashes(hashes, p, p + length).view(np.int64)),
-                            pa.array(_run_keys(hashes, p, start, end).view(np.int64)),
+                            pa.array(core.view(np.int64)), pa.array(np.full(len(edge), key, np.int64)), pa.array(at),
+                            pa.ListArray.from_arrays(offsets, pa.array((np.repeat(at, size) - p).astype(np.int8))),
+                            pa.ListArray.from_arrays(offsets, pa.array(part_hashes(hashes, p, p + length).view(np.int64))),
                         ],
-                        names=["key", "pos", "string", "part"],
+                        names=["core", "key", "at", "back", "strings"],
                     )
 
-    return texts.mapInArrow(run, "key long, pos long, string long, part long")
+    return texts.mapInArrow(run, "core long, key long, at long, back array<byte>, strings array<long>")
+
+
+def _bitmap(rows: DataFrame, column: str) -> bytes:
+    """Bits of the last places of a hash: 2**FILTER_BITS / 8 bytes however many rows there are."""
+    bits = rows.select(F.col(column).bitwiseAND((1 << FILTER_BITS) - 1).cast("int").alias("bit")).distinct().toArrow()
+    held = np.zeros(1 << FILTER_BITS, bool)
+    held[bits.column(0).to_numpy()] = True
+    return np.packbits(held).tobytes()
+
+
+def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    low = (hashes & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
+    return (bits[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _offered(texts: DataFrame, wanted: bytes, length: int) -> DataFrame:
-    """Strings (``string``) of removed positions whose ``part`` somebody may ask for, once per task."""
+def _offered(texts: DataFrame, wanted: bytes, length: int, name: str) -> DataFrame:
+    """Of the removed positions whose core is among the ``wanted`` ones, the cores or the strings, by ``name``, once
+    per batch."""
     shared = texts.sparkSession.sparkContext.broadcast(wanted)  # 2**FILTER_BITS / 8 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,17 +295,19 @@ def _offered(texts: DataFrame, wanted: bytes, length: int) -> DataFrame:
         for batch in batches:
             found = []
             for _, data, copied, blocks, sure in _rows_of(batch):
-                p, start, end, open_ = _open_positions(data, blocks, sure, length, copied)
-                p, start, end = p[~open_], start[~open_], end[~open_]
+                p, start, _, open_ = _open_positions(data, blocks, sure, length, copied)
+                p, start = p[~open_], start[~open_]
                 if len(p):
                     hashes = doubled(data, length)
-                    low = (_run_keys(hashes, p, start, end) & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-                    p = p[(bits[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1 == 1]
-                    found.append(np.unique(part_hashes(hashes, p, p + length)))
+                    edge, _, core = _cores(hashes, p, start, length)
+                    held = _held(bits, core)
+                    if name == "string":
+                        p = p[np.repeat(held, np.diff(edge, append=len(p)))]
+                    found.append(np.unique(core[held] if name == "core" else part_hashes(hashes, p, p + length)))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=["string"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=[name])
 
-    return texts.mapInArrow(run, "string long")
+    return texts.mapInArrow(run, f"{name} long")
 
 
 def _kept(texts: DataFrame, length: int) -> DataFrame:
@@ -270,9 +315,9 @@ def _kept(texts: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, found = [], _lists(batch.column(5))
             for row, (key, data, _, _, sure) in enumerate(_rows_of(batch)):
-                more = np.array(batch.column(5)[row].as_py() or [], np.int64)
+                more = found[row].astype(np.int64)
                 gone = _union(np.concatenate([sure, np.stack([more, more + length], axis=1)]), len(data))
                 edges = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]]))).reshape(-1, 2)
                 out.append({
@@ -298,34 +343,30 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     documents = stored(_documents(docs, id_col, text_col), "suffix-documents")
     copies = stored(documents.where(f"n_bytes >= {length}").groupBy("key").count().where("count > 1").select("key"), "suffix-copies")
     # Copies of a text have the same keys, so they do not make each other's ranks repeat.
-    rows = _repeating(stored(_sampled(docs, length, text_col), "suffix-rank")).dropDuplicates(["key", "pos"])
-    levels = []
+    rows, spent = _repeating(stored(_sampled(docs, length, text_col), "suffix-rank"))
+    rows, levels = rows.dropDuplicates(["key", "pos"]), []
     while True:
-        rows = stored(rows, "suffix-rank")
-        levels.append(rows.select("key", "pos", "size", F.lit(len(levels)).alias("level")))
-        if rows.where(F.col("size") + GRAM < length).isEmpty():
+        levels.append(stored(rows, "suffix-rank"))
+        _discard_all(spent)
+        if levels[-1].where(F.col("size") + GRAM < length).isEmpty():
             break
-        rows = _repeating(stored(_double(rows, length, len(levels)), "suffix-rank"))
-    found = levels[0]
-    for more in levels[1:]:
-        found = found.unionByName(more)
+        rows, spent = _repeating(stored(_double(levels[-1], length, len(levels)), "suffix-rank"))
+    found = [x.select("key", "pos", "size", F.lit(i).alias("level")) for i, x in enumerate(levels)]
     end = F.col("pos") + F.col("size") + GRAM
-    by_text = found.groupBy("key").agg(
+    sure = end - F.col("pos") >= length
+    by_text = reduce(DataFrame.unionByName, found).groupBy("key").agg(
+        F.collect_list(F.when(sure, F.struct("pos", end.alias("end")))).alias("sure"),
         *[F.collect_list(F.when(F.col("level") == i, F.col("pos"))).alias(f"b{i}") for i in range(len(levels))],
-        F.collect_list(F.when(end - F.col("pos") >= length, F.struct(F.col("pos").alias("start"), end.alias("end")))).alias("sure"),
     )
-    by_text = stored(by_text.select("key", F.array(*[f"b{i}" for i in range(len(levels))]).alias("blocks"), "sure"), "suffix-found")
-    texts = _texts_with(docs, by_text, copies, text_col)
-    asked = stored(_asked(texts, length), "suffix-asked")
-    bits = asked.select(F.col("part").bitwiseAND((1 << FILTER_BITS) - 1).cast("int").alias("bit")).distinct().toArrow()
-    wanted = np.zeros(1 << FILTER_BITS, bool)
-    wanted[bits.column(0).to_numpy()] = True
-    offered = _offered(texts, np.packbits(wanted).tobytes(), length)
-    place = F.struct("key", "pos")
-    several = asked.groupBy("string").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("string")
-    elsewhere = stored(several.unionByName(offered).distinct(), "suffix-strings")
-    more = asked.join(elsewhere, "string", "left_semi").groupBy("key").agg(F.collect_list("pos").alias("more"))
-    result = stored(_kept(texts.where("not copied").join(stored(more, "suffix-more"), "key", "left"), length), "suffix-kept")
+    by_text = by_text.withColumns({"sure": F.col("sure.pos"), "sure_end": F.col("sure.end")})
+    names = ["sure", "sure_end", *[f"b{i}" for i in range(len(levels))]]
+    by_text = stored(by_text.select("key", *names), "suffix-found")
+    _discard_all(levels)
+    texts = _texts_with(docs, by_text, copies, names, text_col)
+    _discard_all([by_text])
+    result, spent = _ends(texts, length)
+    result = stored(_kept(result, length), "suffix-kept")
+    _discard_all([texts, *spent])
     whole = documents.join(copies.withColumn("copied", F.lit(True)), "key", "left").join(result, "key", "left")
     span = "array<struct<start:long,end:long>>"
     everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
@@ -338,13 +379,39 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     )
 
 
-def _texts_with(docs: DataFrame, by_text: DataFrame, copies: DataFrame, text_col: str) -> DataFrame:
+def _ends(texts: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The texts that are no copies, with the open positions (``more``) whose string stands elsewhere too, and the
+    tables read for it.
+
+    Blocks of positions whose core stands nowhere else are done with; only strings of the others are compared.
+    """
+    place = ("key", "at")
+    asked = stored(_asked(texts, length), "suffix-asked")
+    offered = _offered(texts, _bitmap(asked, "core"), length, "core")
+    cores = stored(_in_two_places(asked, "core", place).unionByName(offered).distinct(), "suffix-cores")
+    strings = F.explode(F.arrays_zip("back", "strings")).alias("s")
+    again = asked.join(cores, "core", "left_semi").select("core", "key", "at", strings)
+    again = stored(again.select("core", "key", (F.col("at") - F.col("s.back")).alias("at"), F.col("s.strings").alias("string")), "suffix-again")
+    _discard_all([asked, cores])
+    offered = _offered(texts, _bitmap(again, "core"), length, "string")
+    elsewhere = stored(_in_two_places(again, "string", place).unionByName(offered).distinct(), "suffix-strings")
+    more = again.join(elsewhere, "string", "left_semi").groupBy("key").agg(F.collect_list("at").alias("more"))
+    more = stored(more, "suffix-more")
+    _discard_all([again, elsewhere])
+    none = F.array().cast("array<long>")
+    names = ["key", "text", "copied", "sure", "sure_end"]
+    return texts.where("not copied").join(more, "key", "left").select(*names, F.coalesce("more", none).alias("more")), [more]
+
+
+def _discard_all(tables: list[DataFrame]) -> None:
+    for t in tables:
+        discard(t)
+
+
+def _texts_with(docs: DataFrame, by_text: DataFrame, copies: DataFrame, names: list[str], text_col: str) -> DataFrame:
     """The texts that hold repeating ranks, once each, with what is known of them."""
     mask = (1 << FILTER_BITS) - 1
-    bits = by_text.select(F.col("key").bitwiseAND(mask).cast("int").alias("bit")).distinct().toArrow()  # at most 2**FILTER_BITS
-    held = np.zeros(1 << FILTER_BITS, bool)
-    held[bits.column(0).to_numpy()] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(held).tobytes())
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(by_text, "key"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = np.frombuffer(shared.value, np.uint8), set()
@@ -361,5 +428,5 @@ def _texts_with(docs: DataFrame, by_text: DataFrame, copies: DataFrame, text_col
 
     once = docs.select(text_col).mapInArrow(run, "key long, text binary").dropDuplicates(["key"])
     marked = by_text.join(copies.withColumn("copied", F.lit(True)), "key", "left")
-    joined = once.join(marked, "key").select("key", "text", F.coalesce("copied", F.lit(False)).alias("copied"), "blocks", "sure")
+    joined = once.join(marked, "key").select("key", "text", F.coalesce("copied", F.lit(False)).alias("copied"), *names)
     return stored(joined, "suffix-texts")
