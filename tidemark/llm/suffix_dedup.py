@@ -71,16 +71,22 @@ def sample(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarr
     return at, h[at]
 
 
-def _least_in(at: np.ndarray, h: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    """For windows at ``starts``, the place in ``at`` of the last position with the least hash."""
-    low, high = np.searchsorted(at, starts), np.searchsorted(at, starts + width)
-    best = low.copy()
-    for step in range(1, int((high - low).max(initial=0))):
-        other = low + step
-        good = other < high
-        other = np.minimum(other, len(h) - 1)
-        best = np.where(good & (h[other] <= h[best]), other, best)
-    return best
+def _least_in(at: np.ndarray, h: np.ndarray, width: int, n: int) -> np.ndarray:
+    """Per sampled position, the first window of a text of ``n`` bytes in which it is the last position with the
+    least hash, and at the end the number of windows; in between lie the windows of each.
+
+    A window belongs to the position that no earlier one in it undercuts and no later one reaches. So these windows
+    end behind the nearest earlier position with a smaller hash, and before the nearest later one that is not greater.
+    """
+    starts, below = np.empty(len(at) + 1, np.int64), []
+    places, hashes = at.tolist(), h.tolist()
+    for j, (x, value) in enumerate(zip(places, hashes, strict=True)):
+        while below and hashes[below[-1]] >= value:
+            below.pop()
+        starts[j] = max(x - width + 1, places[below[-1]] + 1 if below else 0, 0)
+        below.append(j)
+    starts[-1] = n - GRAM + 1 - width + 1
+    return np.minimum.accumulate(starts[::-1])[::-1]
 
 
 def doubled(data: np.ndarray, longest: int) -> dict[int, np.ndarray]:
@@ -195,24 +201,32 @@ def _union(spans: np.ndarray, n: int) -> np.ndarray:
 
 
 def _open_positions(data: np.ndarray, blocks: list[np.ndarray], sure: np.ndarray, length: int, copied: bool):
-    """Positions whose sampled ranks all repeat, with the hash of the sampled part and whether the string
-    is not yet removed. ``blocks[i]`` are the positions that still repeat at doubling i."""
+    """Positions whose sampled ranks all repeat, their first sampled position, and whether the string is not yet
+    removed. ``blocks[i]`` are the positions that still repeat at doubling i."""
     width = window_of(length)
     at, h = sample(data, length)
-    covered = _union(sure, len(data)) if not copied else np.ones(len(data), bool)
-    whole = np.concatenate([[0], np.cumsum(covered)])
-    flags = [np.isin(at, b) for b in blocks]
-    p = np.arange(len(data) - length + 1)
-    first = _least_in(at, h, p, width)
-    last = _least_in(at, h, p + (length - GRAM + 1 - width), width)
-    steps = last - first
-    level = np.floor(np.log2(np.maximum(steps, 1))).astype(np.int64)
-    good = np.zeros(len(p), bool)
-    for i, flag in enumerate(flags):
+    places = len(data) - length + 1
+    # The first and the last window of a string change only at some positions; between two of these lies a run.
+    starts = _least_in(at, h, width, len(data))
+    shift = length - GRAM + 1 - width
+    cuts = np.unique(np.clip(np.concatenate([[0], starts, starts - shift]), 0, places))
+    run = cuts[:-1]
+    first = np.searchsorted(starts[:-1], run, "right") - 1
+    last = np.searchsorted(starts[:-1], run + shift, "right") - 1
+    level = np.log2(np.maximum(last - first, 1)).astype(np.int64)
+    good = np.zeros(len(run), bool)
+    for i, block in enumerate(blocks):
+        flag = np.zeros(len(at), bool)
+        flag[np.searchsorted(at, block)] = True
         own = np.flatnonzero(level == i)
         good[own] = flag[first[own]] & flag[last[own] - (1 << i)]
-    p = p[good]
-    return p, at[first[good]], at[last[good]] + GRAM, whole[p + length] - whole[p] < length
+    size = np.diff(cuts)[good]
+    p = np.repeat(run[good] - np.cumsum(size) + size, size) + np.arange(int(size.sum()))
+    start = np.repeat(at[first[good]], size)
+    if copied:
+        return p, start, np.zeros(len(p), bool)
+    whole = np.concatenate([[0], np.cumsum(_union(sure, len(data)))])
+    return p, start, whole[p + length] - whole[p] < length
 
 
 def _cores(hashes: dict[int, np.ndarray], p: np.ndarray, start: np.ndarray, length: int):
@@ -246,17 +260,21 @@ def _rows_of(batch: pa.RecordBatch):
 
 def _asked(texts: DataFrame, length: int) -> DataFrame:
     """Blocks of open positions that are not removed yet: ``core`` and where it lies (``key``, ``at``), and for
-    each of the positions how far it lies before that (``back``) and the hash of its string."""
+    each of the positions how far it lies before that (``back``) and the hash of its string. Of removed positions
+    only the ``core`` is told, once per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            removed = []
             for key, data, copied, blocks, sure in _rows_of(batch):
-                if copied:
+                p, start, open_ = _open_positions(data, blocks, sure, length, copied)
+                if not len(p):
                     continue
-                p, start, _, open_ = _open_positions(data, blocks, sure, length, copied)
+                hashes = doubled(data, length)
+                if not open_.all():
+                    removed.append(np.unique(_cores(hashes, p[~open_], start[~open_], length)[2]))
                 p, start = p[open_], start[open_]
                 if len(p):
-                    hashes = doubled(data, length)
                     edge, at, core = _cores(hashes, p, start, length)
                     size = np.diff(edge, append=len(p))
                     offsets = pa.array(np.append(edge, len(p)).astype(np.int32))
@@ -268,6 +286,10 @@ def _asked(texts: DataFrame, length: int) -> DataFrame:
                         ],
                         names=["core", "key", "at", "back", "strings"],
                     )
+            if removed:
+                core = pa.array(np.unique(np.concatenate(removed)).view(np.int64))
+                none = [pa.nulls(len(core), t) for t in (pa.int64(), pa.int64(), pa.list_(pa.int8()), pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([core, *none], names=["core", "key", "at", "back", "strings"])
 
     return texts.mapInArrow(run, "core long, key long, at long, back array<byte>, strings array<long>")
 
@@ -285,9 +307,8 @@ def _held(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bits[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _offered(texts: DataFrame, wanted: bytes, length: int, name: str) -> DataFrame:
-    """Of the removed positions whose core is among the ``wanted`` ones, the cores or the strings, by ``name``, once
-    per batch."""
+def _offered(texts: DataFrame, wanted: bytes, length: int) -> DataFrame:
+    """Strings (``string``) of removed positions whose core is among the ``wanted`` ones, once per batch."""
     shared = texts.sparkSession.sparkContext.broadcast(wanted)  # 2**FILTER_BITS / 8 bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,19 +316,19 @@ def _offered(texts: DataFrame, wanted: bytes, length: int, name: str) -> DataFra
         for batch in batches:
             found = []
             for _, data, copied, blocks, sure in _rows_of(batch):
-                p, start, _, open_ = _open_positions(data, blocks, sure, length, copied)
+                if not copied and not len(sure):
+                    continue
+                p, start, open_ = _open_positions(data, blocks, sure, length, copied)
                 p, start = p[~open_], start[~open_]
                 if len(p):
                     hashes = doubled(data, length)
                     edge, _, core = _cores(hashes, p, start, length)
-                    held = _held(bits, core)
-                    if name == "string":
-                        p = p[np.repeat(held, np.diff(edge, append=len(p)))]
-                    found.append(np.unique(core[held] if name == "core" else part_hashes(hashes, p, p + length)))
+                    p = p[np.repeat(_held(bits, core), np.diff(edge, append=len(p)))]
+                    found.append(np.unique(part_hashes(hashes, p, p + length)))
             if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=[name])
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(found)).view(np.int64))], names=["string"])
 
-    return texts.mapInArrow(run, f"{name} long")
+    return texts.mapInArrow(run, "string long")
 
 
 def _kept(texts: DataFrame, length: int) -> DataFrame:
@@ -386,14 +407,16 @@ def _ends(texts: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
     Blocks of positions whose core stands nowhere else are done with; only strings of the others are compared.
     """
     place = ("key", "at")
-    asked = stored(_asked(texts, length), "suffix-asked")
-    offered = _offered(texts, _bitmap(asked, "core"), length, "core")
-    cores = stored(_in_two_places(asked, "core", place).unionByName(offered).distinct(), "suffix-cores")
+    told = stored(_asked(texts, length), "suffix-asked")
+    asked = told.where("key is not null")
+    removed = told.where("key is null").select("core").distinct()
+    known = asked.select("core").distinct().join(removed, "core", "left_semi")
+    cores = stored(_in_two_places(asked, "core", place).unionByName(known).distinct(), "suffix-cores")
     strings = F.explode(F.arrays_zip("back", "strings")).alias("s")
     again = asked.join(cores, "core", "left_semi").select("core", "key", "at", strings)
     again = stored(again.select("core", "key", (F.col("at") - F.col("s.back")).alias("at"), F.col("s.strings").alias("string")), "suffix-again")
-    _discard_all([asked, cores])
-    offered = _offered(texts, _bitmap(again, "core"), length, "string")
+    _discard_all([told, cores])
+    offered = _offered(texts, _bitmap(again, "core"), length)
     elsewhere = stored(_in_two_places(again, "string", place).unionByName(offered).distinct(), "suffix-strings")
     more = again.join(elsewhere, "string", "left_semi").groupBy("key").agg(F.collect_list("at").alias("more"))
     more = stored(more, "suffix-more")
