@@ -107,6 +107,16 @@ def test_every_prefix_has_the_count_of_the_library(library):
         assert counter.totals([text]) == expected[-1:]
 
 
+def test_long_pieces_count_as_in_the_library_and_as_short_ones(library, monkeypatch):
+    rng, counter = random.Random(11), token_counts.PrefixCounter(PATH)
+    long = ["".join(rng.choices("etaoinshr", k=200_000)), "a" * 3000, " " * 1000 + "x", "é" * 700 + "1" * 900]
+    assert counter.totals(long) == [len(library.encode(t, add_special_tokens=False).ids) for t in long]
+    pieces = [t.encode()[:500] for t in long]
+    found = [c.tolist() for c in counter.piece_counts([*pieces, b"short"])]
+    monkeypatch.setattr(token_counts, "LONG_PIECE", 10**9)
+    assert found == [c.tolist() for c in token_counts.PrefixCounter(PATH).piece_counts([*pieces, b"short"])]
+
+
 def test_token_counts_of_a_table(spark, docs, library):
     texts = ["Hello there, world", None, "", "same", "same", "x" * 50_000, "word " * 20_000, "<|endoftext|>"]
     found = token_counts.token_counts(docs(texts, ids=[0, 1, None, 3, 3, 5, 6, 7]), PATH)

@@ -36,6 +36,8 @@ _BLANK = regex.compile(r"\s+")
 _CONTRACTIONS = ("'re", "'ve", "'ll")
 _REMEMBERED = 400_000
 _BASE = np.uint64(0x100000001B3)
+# Longer pieces are few, so they are passed one by one: a step for all pieces at once costs as much as for one.
+LONG_PIECE = 256
 
 
 def _byte_characters() -> dict[str, int]:
@@ -77,6 +79,7 @@ class PrefixCounter:
             if members := [(self._hash(b), i) for i, b in self.tokens.items() if len(b) == n]:
                 members.sort()
                 self.by_length[n] = (np.array([m[0] for m in members], np.uint64), np.array([m[1] for m in members], np.int64))
+        self.endings: dict[bytes, int | None] | None = None
         self.fits: dict[int, bool] = {}
         self.counts: dict[str, int] = {}
 
@@ -100,18 +103,35 @@ class PrefixCounter:
     def _pair_fits(self, pairs: np.ndarray) -> np.ndarray:
         """Whether ``left * 2**32 + right`` stay two tokens when encoded together."""
         values, inverse = np.unique(pairs, return_inverse=True)
-        out = np.empty(len(values), bool)
-        for k, pair in enumerate(values.tolist()):
-            known = self.fits.get(pair)
-            if known is None:
-                left, right = pair >> 32, pair & 0xFFFFFFFF
-                ids = [int(self.of_byte[b]) for b in self.tokens[left] + self.tokens[right]]
-                known = self.fits[pair] = self._merge(ids) == [left, right]
-            out[k] = known
-        if len(self.fits) > 4 * _REMEMBERED:
-            self.fits.clear()
+        out = np.array([self._fit(pair) for pair in values.tolist()], bool)
         return out[inverse]
 
+    def _fit(self, pair: int) -> bool:
+        known = self.fits.get(pair)
+        if known is None:
+            if len(self.fits) > 4 * _REMEMBERED:
+                self.fits.clear()
+            left, right = pair >> 32, pair & 0xFFFFFFFF
+            ids = [int(self.of_byte[b]) for b in self.tokens[left] + self.tokens[right]]
+            known = self.fits[pair] = self._merge(ids) == [left, right]
+        return known
+
+    def _scan(self, piece: bytes) -> list[int]:
+        """Token counts of the prefixes of one long piece. Looking back from an end stops where no token ends so."""
+        if self.endings is None:
+            self.endings = {b[k:]: None for b in self.tokens.values() for k in range(len(b))}
+            self.endings.update((b, i) for i, b in self.tokens.items())
+        last, count = [-1] * (len(piece) + 1), [0] * (len(piece) + 1)
+        for end in range(1, len(piece) + 1):
+            for start in range(end - 1, max(end - self.longest, 0) - 1, -1):
+                token = self.endings.get(piece[start:end], -1)
+                if token == -1:
+                    break
+                if token is not None and (not start or self._fit((last[start] << 32) | token)):
+                    last[end], count[end] = token, count[start] + 1
+                    break
+        return count
+
     def piece_counts(self, piece_list: list[bytes]) -> list[np.ndarray]:
         """For each piece, the token counts of its prefixes of 0, 1, ... bytes."""
         count, cell, length = self._prefix_pass(piece_list)
@@ -127,9 +147,12 @@ class PrefixCounter:
         # Cell start[k] + k + i stands for the prefix of i bytes of piece k.
         cell = start[:-1] + np.arange(len(length))
         last, count = np.full(int(start[-1]) + len(length), -1, np.int64), np.zeros(int(start[-1]) + len(length), np.int32)
-        by_length = np.argsort(-length, kind="stable")
-        live = np.searchsorted(-length[by_length], -np.arange(int(length.max()) + 1), "right")
-        for i in range(1, int(length.max()) + 1):
+        for k in np.flatnonzero(length > LONG_PIECE).tolist():
+            count[cell[k] : cell[k] + length[k] + 1] = self._scan(piece_list[k])
+        together = np.where(length > LONG_PIECE, 0, length)
+        by_length = np.argsort(-together, kind="stable")
+        live = np.searchsorted(-together[by_length], -np.arange(int(together.max()) + 1), "right")
+        for i in range(1, int(together.max()) + 1):
             todo = by_length[: live[i]]  # pieces of i bytes or more
             h, power = np.zeros(len(todo), np.uint64), np.uint64(1)
             open_ = np.ones(len(todo), bool)
