@@ -48,6 +48,10 @@ def test_from_records_to_published_tables(spark, tmp_path):
     assert main([*billing_, *common, *tables, *checkpoints], spark) == 0
     assert rows(spark.read.parquet(f"{folder}/rejected"), "event_id", "reason") == [("untimed", "missing_event_ts")]
 
+    fresh = ["freshness", *bronze]
+    assert main(fresh, spark) == 0  # loaded just now
+    assert main([*fresh, "--as-of", "2099-01-01"], spark) == 1
+
     good, bad = tmp_path / "cells.csv", tmp_path / "bad.csv"
     good.write_text(CELLS.format(latitude=21.5))
     bad.write_text(CELLS.format(latitude=51.5))

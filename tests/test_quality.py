@@ -1,3 +1,4 @@
+import pytest
 from helpers import rows, ts
 
 from tidemark.operators.lookup import LookupPolicy
@@ -15,6 +16,7 @@ from tidemark.operators.quality import (
     quality_report,
     table_report,
 )
+from tidemark.plans.suites import freshness_report
 
 
 def table(spark):
@@ -75,6 +77,17 @@ def test_freshness(spark):
     assert Freshness().status(frame.where("false"), now).first().status == "error"
 
 
+def test_freshness_of_sources(spark):
+    now = ts("2024-01-01 12:00:00")
+    plans = spark.createDataFrame([(ts("2024-01-01 11:50:00"),)], "ingested_at timestamp_ntz")
+    limits = {"plans": Freshness(), "none": Freshness()}
+    report = freshness_report({"plans": plans, "none": plans.where("false"), "other": plans}, now, limits)
+    assert rows(report, "table_name", "status") == [("none", "error"), ("plans", "warn")]
+    assert rows(freshness_report({"bronze_telecom_events": plans}, now), "status") == [("warn",)]
+    with pytest.raises(ValueError, match="none of"):
+        freshness_report({"other": plans})
+
+
 def test_report_counts_all_row_checks_in_one_scan(spark):
     checks = [
         NotEmpty(),

@@ -1,12 +1,14 @@
-"""The jobs for ``spark-submit``: two streams and the refresh run.
+"""The jobs for ``spark-submit``: two streams, the refresh run, and what goes with them.
 
     telemetry  --servers broker:9092 --topic events --bronze PATH --quarantine PATH --late PATH --checkpoints PATH
     billing    --servers broker:9092 --plan-topic plans --subscriber-topic subs --tables PATH --checkpoints PATH
     fold       --tables PATH
     refresh    --cells cells.csv --bronze PATH --tables PATH --lakehouse PATH [--full] [--select gold billing]
+    freshness  --bronze PATH
 
 With ``--files`` a topic is the name of a folder of JSON-lines records below that path. ``--once``
-works off what is there and stops. ``fold`` merges what the billing job has appended. ``refresh`` ends with status 1 if a check blocked it.
+works off what is there and stops. ``fold`` merges what the billing job has appended. ``refresh`` ends with status 1 if a check blocked it,
+``freshness`` if bronze is empty or its newest row too old; a warning is printed before that.
 """
 
 from __future__ import annotations
@@ -18,8 +20,11 @@ from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.operators.quality import ERROR, PASS
 from tidemark.plans.refresh import Lakehouse, RefreshOptions
+from tidemark.plans.suites import freshness_report
 from tidemark.session import prepare
 from tidemark.sources.streams import file_records, kafka_records
 from tidemark.sources.tables import load_seed
@@ -69,6 +74,10 @@ def parser() -> argparse.ArgumentParser:
     refresh.add_argument("--as-of", type=datetime.fromisoformat)
     refresh.add_argument("--select", nargs="*", default=())
     refresh.add_argument("--subscriber-parts", type=int, default=64)
+
+    fresh = commands.add_parser("freshness")
+    fresh.add_argument("--bronze", required=True)
+    fresh.add_argument("--as-of", type=datetime.fromisoformat)
     return root
 
 
@@ -131,6 +140,13 @@ def run_refresh(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0 if result.published else 1
 
 
+def run_freshness(spark: SparkSession, args: argparse.Namespace) -> int:
+    found = freshness_report({"bronze_telecom_events": ingest.read_output(spark, args.bronze)}, args.as_of).where(F.col("status") != PASS).collect()
+    for row in found:
+        print(f"{row['status']}: {row['table_name']} was last loaded at {row['max_loaded_at']}", file=sys.stderr)
+    return int(any(row["status"] == ERROR for row in found))
+
+
 def _billing_tables(spark: SparkSession, args: argparse.Namespace):
     base = args.tables.rstrip("/")
     return (
@@ -149,7 +165,7 @@ def _wait(spark: SparkSession, queries: list, once: bool) -> int:
     return 0
 
 
-_RUNNERS = {"telemetry": run_telemetry, "billing": run_billing, "fold": run_fold, "refresh": run_refresh}
+_RUNNERS = {"telemetry": run_telemetry, "billing": run_billing, "fold": run_fold, "refresh": run_refresh, "freshness": run_freshness}
 
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> int:

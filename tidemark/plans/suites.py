@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.operators.quality import (
     WARN,
@@ -12,6 +15,7 @@ from tidemark.operators.quality import (
     AcceptedValues,
     Check,
     CoordinateBox,
+    Freshness,
     NotEmpty,
     NotNull,
     References,
@@ -124,3 +128,23 @@ SUITES: dict[str, Callable[[dict[str, DataFrame]], list[Check]]] = {
     "gold_customer_360": lambda tables: customer_checks(),
     "gold_plan_revenue_impact": lambda tables: revenue_checks(),
 }
+
+
+# Sources whose newest row must not be old; tables of billing may go without a change for long.
+FRESHNESS: dict[str, Freshness] = {"bronze_telecom_events": Freshness()}
+
+
+def freshness_report(
+    sources: dict[str, DataFrame], as_of: datetime | None = None, limits: Mapping[str, Freshness] = FRESHNESS
+) -> DataFrame:
+    """Columns ``table_name, max_loaded_at, checked_at, status``; one row per source that is given and has a bound."""
+    found = [
+        limit.status(sources[name], as_of).select(
+            F.lit(name).alias("table_name"), F.col("max_loaded_at").cast("timestamp_ntz").alias("max_loaded_at"), "checked_at", "status"
+        )
+        for name, limit in limits.items()
+        if name in sources
+    ]
+    if not found:
+        raise ValueError(f"none of {sorted(limits)} is among the sources")
+    return reduce(DataFrame.unionByName, found)
