@@ -35,6 +35,13 @@ def test_parse_accepts_wrapped_and_plain_records(spark):
     assert parsed.select(F.unix_millis("created_at"), F.unix_millis("updated_at")).first() == (1704067200123, 1704067200456)
 
 
+def test_the_wrapper_is_found_however_its_name_is_written(spark):
+    spelled = '{"\\u0070ayload": {"plan_id": "P", "plan_name": "b"}}'
+    named = {"plan_id": "P", "plan_name": 'a "payload" \\'}
+    parsed = parse_changes(records(spark, named, spelled, "{'payload': {'plan_id': 'P', 'plan_name': 'c'}}"), PLAN_PAYLOAD)
+    assert rows(parsed, "change_seq", "plan_name") == [(0, 'a "payload" \\'), (1, "b"), (2, "c")]
+
+
 def test_a_delete_without_row_image_is_ordered_by_the_broker_time(spark):
     parsed = parse_changes(
         records(spark, {"subscriber_id": "s", "__deleted": "true"}, {"subscriber_id": "s", "updated_at": 0, "__deleted": "true"}),

@@ -5,11 +5,13 @@ from datetime import timedelta
 import pytest
 from helpers import plan, scan_details, ts
 
+from tidemark.operators.changes import flatten_envelopes
 from tidemark.operators.upsert import upsert
 from tidemark.plans.gold import cell_heatmap, events_since, windowed_kpis
 from tidemark.plans.serving import top_loaded_cells
 from tidemark.plans.silver import silver_events
 from tidemark.plans.staging import stage_events
+from tidemark.schemas import SUBSCRIBER_PAYLOAD
 from tidemark.sources.tables import append_partitioned
 from tidemark_checks import inputs
 
@@ -66,3 +68,9 @@ def test_an_upsert_shuffles_each_side_once(spark):
     text = plan(upsert(target, spark.createDataFrame([(1, "b", 2)], schema), ["k"], ["t"]))
     # The changes are reduced and joined on the same key, under one shuffle.
     assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_an_envelope_is_parsed_once(spark):
+    flat = flatten_envelopes(inputs.subscriber_envelopes(spark, SF), SUBSCRIBER_PAYLOAD, "subscriber_id")
+    # The filter on the parsed row would reach the join below it with parsers of its own.
+    assert plan(flat).count("from_json") == 1

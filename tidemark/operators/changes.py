@@ -21,7 +21,9 @@ def _text(column: str) -> Column:
 def _unwrapped(column: str) -> Column:
     """The JSON below ``$.payload`` when the converter adds that wrapper, else the JSON itself."""
     value = _text(column)
-    return F.coalesce(F.get_json_object(value, "$.payload"), value)
+    # Looking for the wrapper parses the whole text; without its name, or an escape that may spell it, there is none.
+    wrapped = value.contains("payload") | value.contains("\\")
+    return F.when(wrapped, F.coalesce(F.get_json_object(value, "$.payload"), value)).otherwise(value)
 
 
 def _log_columns(records: DataFrame) -> list[Column]:
@@ -54,17 +56,17 @@ def flatten_envelopes(records: DataFrame, row_schema: T.StructType, key_column:
             T.StructField("op", T.StringType()),
         ]
     )
-    decoded = records.where(F.col("value").isNotNull()).withColumn(
-        "__envelope", F.from_json(_unwrapped("value"), envelope)
-    )
-    is_delete = F.col("__envelope.op") == "d"
-    before = F.col("__envelope.before")
+    # The generator keeps the filter on the row from being pushed down with further parsers, even below joins.
+    parts = F.inline(F.array(F.from_json(_unwrapped("value"), envelope))).alias("__before", "__after", "__op")
+    decoded = records.where(F.col("value").isNotNull()).select("*", parts)
+    is_delete = F.col("__op") == "d"
+    before = F.col("__before")
     if key_column is not None:
         only_key = [
             (_key_value(key_column) if f.name == key_column else F.lit(None)).cast(f.dataType).alias(f.name) for f in image
         ]
         before = F.coalesce(before, F.when(_key_value(key_column).isNotNull(), F.struct(*only_key)))
-    row = F.when(is_delete, before).otherwise(F.col("__envelope.after"))
+    row = F.when(is_delete, before).otherwise(F.col("__after"))
     mark = F.when(is_delete, F.lit("true")).otherwise(F.lit("false"))
     return (
         decoded.withColumn("__row", row)
@@ -73,7 +75,7 @@ def flatten_envelopes(records: DataFrame, row_schema: T.StructType, key_column:
             "value",
             F.to_json(F.struct(*[F.col(f"__row.{f.name}").alias(f.name) for f in image], mark.alias(DELETED_MARK))),
         )
-        .drop("__envelope", "__row")
+        .drop("__before", "__after", "__op", "__row")
     )
 
 

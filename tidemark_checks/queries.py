@@ -188,7 +188,7 @@ def cdc_snapshot_plus_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cdc_recreated_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscribers that were deleted and came back: the log decides, not the times of the rows."""
     flat = flatten_envelopes(inputs.subscriber_envelopes(spark, sf_dir), SUBSCRIBER_PAYLOAD, "subscriber_id")
-    changes = parse_changes(flat, SUBSCRIBER_PAYLOAD)
+    changes = _stored(parse_changes(flat, SUBSCRIBER_PAYLOAD), "changes")  # read twice
     state = live_rows(latest_changes(changes, ["subscriber_id"], LOG_ORDER))
     deleted = changes.where("is_deleted").select("subscriber_id")
     return _zoneless(state.join(deleted, "subscriber_id", "left_semi")).drop("kafka_timestamp", "ingested_at")
