@@ -1,9 +1,9 @@
 import random
 
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from tidemark.operators.digests import BLOCK_BITS, HASHES, day_filters, days_that_may_hold, differing, file_digests, row_digests
+from tidemark.operators.digests import _bit, _places, BLOCK_BITS, HASHES, day_filters, days_that_may_hold, differing, file_digests, row_digests
 
 
 def frame(spark, *data):
@@ -57,3 +57,12 @@ def test_filters_keep_their_size_per_id(spark):
     assert bits <= 20_000 * 2 * BLOCK_BITS / 1024
     set_bits = filters.agg(F.sum(F.bitmap_count("bitmap"))).first()[0]
     assert 0.5 * 20_000 * HASHES < set_bits <= 20_000 * HASHES
+
+
+def test_filters_are_the_bitmaps_of_the_engine_without_its_sort_of_bits(spark):
+    data = ids(spark, [(day, f"e{k}") for day, n in (("d0", 1), ("d1", 40), ("d2", 1000), ("d3", 3000)) for k in range(n)])
+    placed = _places(data, ["day"]).join(day_filters(data).select("day", "blocks").distinct(), "day")
+    bits = placed.select("day", F.pmod("at", "blocks").alias("block"), F.explode(F.array(*[_bit(k) for k in range(HASHES)])).alias("bit"))
+    expected = bits.groupBy("day", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    assert rows(day_filters(data), "day", "block", "bitmap") == rows(expected)
+    assert "SortAggregate" not in plan(day_filters(data))

@@ -61,18 +61,33 @@ def _bit(k: Column | int) -> Column:
     return F.pmod(F.col("bits").bitwiseAND(F.lit(0xFFFFFFFF)) + F.lit(k) * step, F.lit(BLOCK_BITS)).cast("int")
 
 
+# A bit in its word: the first byte is the highest one, which hex writes first; in a byte the lowest bit comes first.
+_MASK = "shiftleft(1L, 56 - 8 * (shiftright(bit, 3) & 7) + (bit & 7))"
+# The words of a block one after the other, with zeros for those that are missing.
+_JOINED = (
+    "unhex(rpad(array_join(transform(words, (w, i) -> concat("
+    "repeat('0', 16 * (w.word - if(i = 0, -1, words[i - 1].word) - 1)), w.text)), ''), "
+    f"{BLOCK_BITS // 4}, '0'))"
+)
+
+
 def day_filters(ids: DataFrame) -> DataFrame:
     """A Bloom filter of the ``event_id`` of each ``day``, as rows (``day``, ``blocks``, ``block``, ``bitmap``).
 
     The bits of an id lie in one block; the number of blocks is a power of two that follows the ids of the
-    day, at 32 bits an id. Built from the engine's own bitmap functions.
+    day, at 32 bits an id. A bitmap has the layout of the engine's own. It is put together from words of 64 bits, as
+    the engine's bitmap aggregate sorts a row per bit: ids are shuffled once, bits meet in a hash aggregate.
     """
     sizes = ids.groupBy("day").agg(F.count(F.lit(1)).alias("n"))
     power = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / IDS_PER_BLOCK)))
     placed = _places(ids, ["day"]).join(sizes.select("day", F.pow(F.lit(2.0), power).cast("long").alias("blocks")), "day")
     bits = F.explode(F.array(*[_bit(k) for k in range(HASHES)]))
-    marked = placed.select("day", "blocks", F.pmod("at", "blocks").alias("block"), bits.alias("bit"))
-    return marked.groupBy("day", "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
+    place = ["day", "blocks", "block"]
+    dealt = placed.select("day", "blocks", F.pmod("at", "blocks").alias("block"), "bits").repartition(*place)
+    marked = dealt.select(*place, bits.alias("bit")).select(*place, F.shiftright("bit", 6).alias("word"), F.expr(_MASK).alias("mask"))
+    words = marked.groupBy(*place, "word").agg(F.bit_or("mask").alias("mask"))
+    listed = F.array_sort(F.collect_list(F.struct("word", F.lpad(F.hex("mask"), 16, "0").alias("text"))))
+    return words.groupBy(*place).agg(listed.alias("words")).select(*place, F.expr(_JOINED).alias("bitmap"))
 
 
 def days_that_may_hold(ids: DataFrame, filters: DataFrame) -> list[str]:

@@ -231,30 +231,25 @@ def kpi_incremental_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def kpi_late_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Default options; the events of one kind of device are handed over after the first run, with the stamps
     that they always had."""
-    house, sources = _lakehouse(spark, sf_dir)
-    events = sources["bronze_telecom_events"]
     late = F.coalesce(F.col("device_type") == "mifi", F.lit(False))
-    root = shared_folder(spark, "late")
-    append_partitioned(events.where(~late), root)
-    house.refresh({**sources, "bronze_telecom_events": spark.read.parquet(root)}, RefreshOptions(as_of=AS_OF, **_ORDER))
-    append_partitioned(events.where(late), root)
-    second = {**sources, "bronze_telecom_events": spark.read.parquet(root)}
+    house, sources, bronze = _landed(spark, sf_dir, inputs.events(spark, sf_dir).where(~late))
+    house.refresh(sources, RefreshOptions(as_of=AS_OF, **_ORDER))
+    append_partitioned(inputs.events(spark, sf_dir).where(late), bronze)
+    second = {**sources, "bronze_telecom_events": spark.read.parquet(bronze)}
     house.refresh(second, RefreshOptions(as_of=AS_OF, **_ORDER))
     return house.tables(second)["gold_network_kpis"].drop("updated_at")
 
 
 def kpi_moved_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of events come on other days, first as the newer copy, then as the older one."""
-    house, sources = _lakehouse(spark, sf_dir)
-    events = sources["bronze_telecom_events"]
-    root = shared_folder(spark, "moved")
-    append_partitioned(events, root)
+    events = inputs.events(spark, sf_dir)
+    house, sources, bronze = _landed(spark, sf_dir, events)
     for hour, days, seconds in ((None, 0, 0), (9, 3, 3667), (10, -2, -3667)):
         if hour is not None:
             moved = {"event_ts": F.col("event_ts") + timedelta(days=days), "event_date": F.date_add("event_date", days)}
             moved["ingested_at"] = F.col("ingested_at") + timedelta(seconds=seconds)
-            append_partitioned(events.where(F.hour("event_ts") == hour).withColumns(moved), root)
-        now = {**sources, "bronze_telecom_events": spark.read.parquet(root)}
+            append_partitioned(events.where(F.hour("event_ts") == hour).withColumns(moved), bronze)
+        now = {**sources, "bronze_telecom_events": spark.read.parquet(bronze)}
         house.refresh(now, RefreshOptions(as_of=AS_OF, **_ORDER))
     return house.tables(now)["gold_network_kpis"].drop("updated_at")
 
@@ -270,8 +265,13 @@ def upsert_schema_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lakehouse(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, dict[str, DataFrame]]:
     """A lakehouse and its stored source tables."""
+    return _landed(spark, sf_dir, inputs.events(spark, sf_dir))[:2]
+
+
+def _landed(spark: SparkSession, sf_dir: str, events: DataFrame) -> tuple[Lakehouse, dict[str, DataFrame], str]:
+    """The same with only these events so far, and the folder to which more can be appended."""
     root = shared_folder(spark, "lakehouse")
-    append_partitioned(inputs.events(spark, sf_dir), f"{root}/bronze_telecom_events")
+    append_partitioned(events, f"{root}/bronze_telecom_events")
     others = {
         "bts_metadata": inputs.cells(spark, sf_dir),
         "bronze_billing_plans": inputs.plans(spark, sf_dir),
@@ -280,7 +280,8 @@ def _lakehouse(spark: SparkSession, sf_dir: str) -> tuple[Lakehouse, dict[str, D
     for name, frame in others.items():
         frame.write.parquet(f"{root}/{name}")
     names = [*others, "bronze_telecom_events"]
-    return Lakehouse(spark, f"{root}/published"), {name: spark.read.parquet(f"{root}/{name}") for name in names}
+    sources = {name: spark.read.parquet(f"{root}/{name}") for name in names}
+    return Lakehouse(spark, f"{root}/published"), sources, f"{root}/bronze_telecom_events"
 
 
 _ORDER = {"plan_order": _CHANGE_ORDER, "subscriber_order": _CHANGE_ORDER}
