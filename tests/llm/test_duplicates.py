@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import contamination, jaccard_join, suffix_dedup
+from tidemark.llm.frames import batch_bytes
 
 BLANK_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -61,6 +62,24 @@ def test_suffix_dedup_without_documents_and_with_repeated_ids(docs):
     assert sorted((r["n_bytes"], r["n_removed"]) for r in found) == [(10, 0), (10, 0), (500, 500)]
 
 
+def test_the_suffix_steps_take_bounded_batches(docs, monkeypatch):
+    spark, name = docs([]).sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, limits, stored = spark.conf.get(name), set(), suffix_dedup.stored
+
+    def watched(df, purpose):
+        limits.add(spark.conf.get(name))
+        return stored(df, purpose)
+
+    monkeypatch.setattr(suffix_dedup, "stored", watched)
+    assert suffix_dedup.repeated_spans(docs(["a" * 500, "b" * 10])).count() == 2
+    assert limits == {suffix_dedup.BATCH_BYTES} and spark.conf.get(name) == before
+    # The limit is one that the engine keeps.
+    sizes = docs(["x" * 1_000_000] * 12).coalesce(1).select("text").mapInArrow(lambda bs: (b.slice(0, 1) for b in bs), "text string")
+    with batch_bytes(spark, suffix_dedup.BATCH_BYTES):
+        assert sizes.count() >= 3
+    assert sizes.count() == 1
+
+
 # --- near duplicates ----------------------------------------------------------------------------
 
 
