@@ -91,6 +91,19 @@ def test_probabilities_of_the_next_byte_add_up_to_one(docs):
     assert len(levels_of) == 130 and all(s < 0 for s in levels_of.values())
 
 
+def test_buckets_grow_with_the_blocks(docs, monkeypatch):
+    assert context_tree.dealing(40 * context_tree.BLOCK_BYTES, 8) == (40, 40)
+    texts = [f"the cat {i} sat on mat {i % 5}" for i in range(60)]
+    few = {r["doc_id"]: r for r in context_tree.score(docs(texts), F.col("doc_id") % 3 != 0).collect()}
+    asked, ask = [], context_tree._ask
+    monkeypatch.setattr(context_tree, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(context_tree, "_ask", lambda dealt, buckets: asked.append(buckets) or ask(dealt, buckets))
+    many = context_tree.score(docs(texts), F.col("doc_id") % 3 != 0).collect()
+    assert asked[0] >= sum(map(len, texts)) / 100 and len(many) == 60
+    for r in many:
+        assert r["score"] == pytest.approx(few[r["doc_id"]]["score"], rel=1e-6) and r["n_known"] == few[r["doc_id"]]["n_known"]
+
+
 # --- quality ------------------------------------------------------------------------------------
 
 

@@ -11,7 +11,8 @@ Counting and scoring run as one exchange. Documents are dealt into blocks; a blo
 n-grams and words of its texts, with their training counts, to buckets of keys. A bucket holds
 whole subtrees, sums what all blocks sent, mixes, and answers each block in the order it asked. So
 nothing that grows with the corpus is broadcast or collected, and each n-gram is scored once per
-block. Shorter contexts than those that a bucket holds are at most 2**24 n-grams, of three bytes.
+block. There are at least as many buckets as blocks, so a bucket gets about as many keys as a block
+sends, however large the corpus is. Shorter contexts than those that a bucket holds are at most 2**24 n-grams, of three bytes.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from tidemark.llm.frames import stored
 DEPTH = 5
 TOP = 3  # buckets hold whole subtrees of contexts of this many bytes
 BLOCK_BYTES = 16 << 20
+PIECE_BYTES = 1 << 18  # texts handled at a time; the working arrays have some 50 bytes for each of their bytes
 END = 0xFF  # stands for the end of a text, and for what is before its start; not in UTF-8
 _SLOTS = 21
 _LOG_PI = math.log(math.pi)
@@ -121,9 +123,9 @@ def _bucket(kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _texts(column: pa.ChunkedArray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Neighbouring texts of about a megabyte: their range, lower-cased bytes and offsets."""
+    """Neighbouring texts of about ``PIECE_BYTES``: their range, lower-cased bytes and offsets."""
     data, offsets = arrays.utf8(column)
-    for a, b in arrays.pieces(offsets, 1 << 20):
+    for a, b in arrays.pieces(offsets, PIECE_BYTES):
         part = offsets[a : b + 1]
         yield a, b, arrays.LOWER[data[part[0] : part[-1]]], part - part[0]
 
@@ -297,6 +299,13 @@ def _answers(asked: DataFrame, top: bytes) -> DataFrame:
     )
 
 
+def dealing(size: int, partitions: int) -> tuple[int, int]:
+    """How many blocks and buckets there are for texts of ``size`` bytes: their number grows with the texts,
+    so that the memory of a task does not."""
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    return blocks, max(blocks, partitions)
+
+
 def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``learned`` (whether the model learned from it), ``n_tokens`` (words and
     one end), ``n_known`` (those seen in training), ``train_tokens``, ``base_score`` (log10 probability
@@ -309,8 +318,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // BLOCK_BYTES))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks, buckets = dealing(size, int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = texts.withColumn("block", F.pmod(F.xxhash64(id_col, "text"), F.lit(blocks)).cast("int"))
     asked = stored(_ask(dealt, buckets), "tree-asked")
     totals = np.zeros(2, np.int64)
