@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import contamination, jaccard_join, mixing, quality, secrets
-from tidemark.llm.frames import free_name, stored, table
+from tidemark.llm.frames import batch_bytes, free_name, stored, table
 from tidemark.session import prepare
 
 
@@ -52,6 +52,9 @@ STAGES = [
     ("mixing to target weights", mix),
 ]
 
+# Rows of whole texts that the JVM and a Python worker hand each other at a time.
+BATCH_BYTES = "4m"
+
 # No stage but the filter on its results can be said in SQL; the tests compare with brute force.
 ORACLE_SQL = None
 
@@ -59,6 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    with batch_bytes(spark, BATCH_BYTES):
+        for name, stage in STAGES[:-1]:
+            docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

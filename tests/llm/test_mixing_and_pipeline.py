@@ -2,11 +2,12 @@ import random
 from pathlib import Path
 
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry_points
 import corpus_pipeline
-from tidemark.llm import mixing, queries
+from tidemark.llm import arrays, mixing, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -90,3 +91,14 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         left = stage(spark, left, SF)
         assert left.count() == 0
+
+
+def test_pipeline_hands_on_small_batches(spark, monkeypatch):
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(name)
+    stage = lambda spark, docs, sf_dir: seen.append(spark.conf.get(name)) or docs
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("nothing", stage), ("last", lambda spark, docs, sf_dir: docs)])
+    assert corpus_pipeline.run(spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert seen == [corpus_pipeline.BATCH_BYTES] != [before] and spark.conf.get(name) == before
+    sizes = np.arange(0, 9_000_000, 3000)
+    assert max(sizes[b] - sizes[a] for a, b in arrays.pieces(sizes)) < 1_000_000
