@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from helpers import rows, ts
@@ -8,8 +9,10 @@ from tidemark.plans.gold import windowed_kpis
 from tidemark.plans.silver import silver_events
 from tidemark.plans.staging import stage_events
 from tidemark.schemas import BRONZE_EVENT_COLUMNS, CELL_REFERENCE
-from tidemark.sources.streams import batch_records, file_records, kafka_records, write_records
+from tidemark.session import CHANGELOG_SETTING
+from tidemark.sources.streams import batch_records, copy_records, file_records, kafka_records, write_records
 from tidemark.streaming import billing, epochs, telemetry
+from tidemark_checks import streams
 
 
 def event(event_id, at, **fields):
@@ -98,6 +101,50 @@ def test_state_partitions_are_chosen_per_job(spark, folder):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before != "3"
 
 
+def test_a_job_that_stops_uploads_files_of_its_state_and_no_changes(spark, folder):
+    def state_files(checkpoint):
+        return {p.suffix for p in Path(checkpoint).glob("state/**/*.*")} & {".zip", ".changelog"}
+
+    def run(name, snapshots, *values):
+        deliver(spark, f"{folder}/{name}/landing", *values)
+        records = file_records(spark, f"{folder}/{name}/landing")
+        job = telemetry.bronze_job(records, f"{folder}/{name}/checkpoint", f"{folder}/{name}/bronze", None)
+        telemetry.start_job(job, spark, 2, snapshots=snapshots).awaitTermination()
+        return rows(spark.read.parquet(f"{folder}/{name}/bronze"), "event_id")
+
+    before = spark.conf.get(CHANGELOG_SETTING)
+    assert run("a", True, event("1", "10:00:00")) == [("1",)]
+    assert state_files(f"{folder}/a/checkpoint") == {".zip"}
+    assert run("b", False, event("1", "10:00:00")) == [("1",)]
+    assert state_files(f"{folder}/b/checkpoint") == {".changelog"}
+    # Ids are known after either kind of start, also where the kind changes on a checkpoint.
+    for name, snapshots in (("a", False), ("b", True)):
+        assert run(name, snapshots, event("1", "10:00:00"), event("2", "10:00:01")) == [("1",), ("2",)]
+    assert spark.conf.get(CHANGELOG_SETTING) == before
+
+
+def test_a_delivery_that_comes_again_is_copied_as_it_is(spark, folder):
+    odd = event("1", "10:00:00", cell_id='line\nbreak "quoted" \u2028 end')
+    deliver(spark, f"{folder}/all/0", odd, event("2", "10:00:01"), "not json")
+    copy_records(spark, f"{folder}/all/0", f"{folder}/all/1")
+    first, again = batch_records(spark, f"{folder}/all/0"), batch_records(spark, f"{folder}/all/1")
+    assert rows(first) == rows(again) and first.count() == 3
+    assert batch_records(spark, f"{folder}/all/*").count() == 6
+
+
+def test_the_slices_of_a_query_are_made_once_for_all_deliveries(spark, folder, monkeypatch):
+    made = []
+    monkeypatch.setattr(streams, "write_records", lambda part, path: (made.append(path), write_records(part, path)))
+    slices = streams._slices(
+        spark.createDataFrame([("k", "v", at, 0) for at in ("2024-01-01", "2024-02-01")], "key string, value string, at string, offset long")
+        .select("key", "value", F.col("at").cast("timestamp").alias("timestamp"), "offset"),
+        ("2024-01-15",),
+    )
+    seen = []
+    streams._deliver(slices, folder, lambda: seen.append(batch_records(spark, f"{folder}/*").count()), 2)
+    assert (len(made), seen) == (2, [1, 2, 3, 4])
+
+
 def test_restart_without_data_adds_nothing(spark, folder):
     job = Telemetry(spark, folder)
     job.run(event("1", "10:00:00"))

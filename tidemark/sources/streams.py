@@ -49,3 +49,8 @@ def write_records(records: DataFrame, path: str) -> None:
     without partitions may leave that column out."""
     fields = [f for f in _TEXT_RECORD if f.name in records.columns or f.name != "partition"]
     records.select(*[F.col(f.name).cast(f.dataType) for f in fields]).write.mode("append").json(path)
+
+
+def copy_records(spark: SparkSession, source: str, path: str) -> None:
+    """Append the records of one such folder to another, line by line as they are."""
+    spark.read.text(source).write.mode("append").text(path)

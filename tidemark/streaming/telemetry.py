@@ -16,6 +16,7 @@ from tidemark.plans.gold import KPI_WINDOW, windowed_kpis
 from tidemark.plans.silver import enrich_events, valid_events
 from tidemark.plans.staging import stage_events
 from tidemark.schemas import BRONZE_EVENT_COLUMNS
+from tidemark.session import CHANGELOG_SETTING
 
 # Fixed values of the ingestion job.
 ALLOWED_LATENESS = timedelta(minutes=10)
@@ -35,22 +36,35 @@ def trigger_options(interval: str | None) -> dict:
     return {"availableNow": True} if interval is None else {"processingTime": interval}
 
 
-def start_job(job: DataStreamWriter, spark: SparkSession, state_partitions: int | None = None) -> StreamingQuery:
+def start_job(
+    job: DataStreamWriter, spark: SparkSession, state_partitions: int | None = None, snapshots: bool = False
+) -> StreamingQuery:
     """Start a job with a chosen number of state partitions.
 
     The number is fixed with the first start on a checkpoint, so it should come from the expected
     state size and core count, not from the setting that batch queries happen to use.
+
+    ``snapshots`` is for jobs that work off large batches and stop: each batch uploads the new files of the state
+    store, where else it writes every change once more, and each start does every change again. A checkpoint can
+    be gone on with either way.
     """
-    if state_partitions is None:
-        return job.start()
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
+    settings = {}
+    if state_partitions is not None:
+        settings["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if snapshots:
+        settings[CHANGELOG_SETTING] = "false"
+    before = {name: spark.conf.get(name, None) for name in settings}
     # A query takes a copy of the session's settings when it starts.
-    spark.conf.set(setting, str(state_partitions))
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         return job.start()
     finally:
-        spark.conf.set(setting, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def typed_events(records: DataFrame, ingested_at: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:

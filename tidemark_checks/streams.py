@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tidemark.plans.bronze import accepted_events
 from tidemark.schemas import SUBSCRIBER_PAYLOAD
 from tidemark.session import shared_folder
-from tidemark.sources.streams import file_records, write_records
+from tidemark.sources.streams import copy_records, file_records, write_records
 from tidemark.streaming import billing, ingest, telemetry
 from tidemark_checks import inputs
 from tidemark_checks.queries import Query, _zoneless
@@ -39,25 +39,34 @@ def _log_halves(records: DataFrame) -> tuple[list[DataFrame], int]:
 
 
 def _run(spark: SparkSession, job: DataStreamWriter) -> None:
-    telemetry.start_job(job, spark, spark.sparkContext.defaultParallelism).awaitTermination()
+    telemetry.start_job(job, spark, spark.sparkContext.defaultParallelism, snapshots=True).awaitTermination()
 
 
-def _deliver(slices: list[DataFrame], folder: str, work: Callable[[], None]) -> None:
-    """Append one slice after the other, and let the jobs catch up after each."""
-    for part in slices:
-        write_records(part, folder)
+def _deliver(slices: list[DataFrame], folder: str, work: Callable[[], None], times: int = 1) -> None:
+    """One slice after the other in folders below ``folder``, each as often as ``times`` says; the jobs catch up
+    after each delivery. A slice that comes again brings the same bytes, so they are copied and not made again."""
+    for i, part in enumerate(slices):
+        write_records(part, f"{folder}/{i}-0")
         work()
+        for again in range(1, times):
+            copy_records(part.sparkSession, f"{folder}/{i}-0", f"{folder}/{i}-{again}")
+            work()
 
 
-def _bronze_run(spark: SparkSession, slices: list[DataFrame], extra_runs: int = 0) -> tuple[str, str]:
+def _landed(spark: SparkSession, folder: str) -> DataFrame:
+    """The stream of all that :func:`_deliver` has put below ``folder``."""
+    return file_records(spark, f"{folder}/*")
+
+
+def _bronze_run(spark: SparkSession, slices: list[DataFrame], extra_runs: int = 0, times: int = 1) -> tuple[str, str]:
     """Deliver the slices to the telemetry job; the landing folder and the bronze folder."""
     root = shared_folder(spark, "telemetry")
     landing, bronze = f"{root}/landing", f"{root}/bronze"
 
     def work() -> None:
-        _run(spark, telemetry.bronze_job(file_records(spark, landing), f"{root}/checkpoint", bronze, None))
+        _run(spark, telemetry.bronze_job(_landed(spark, landing), f"{root}/checkpoint", bronze, None))
 
-    _deliver(slices, landing, work)
+    _deliver(slices, landing, work, times)
     for _ in range(extra_runs):
         work()
     return landing, bronze
@@ -80,20 +89,19 @@ def stream_restart_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every slice is delivered twice. Copies meet the state of their id, or the watermark."""
     records = inputs.event_records(spark, sf_dir)
-    slices = [part for part in _slices(records, _EVENT_CUTS[:1]) for _ in range(2)]
-    _, bronze = _bronze_run(spark, slices)
+    _, bronze = _bronze_run(spark, _slices(records, _EVENT_CUTS[:1]), times=2)
     return _zoneless(spark.read.parquet(bronze).select("event_id", "event_ts"))
 
 
-def _ingest_run(spark: SparkSession, slices: list[DataFrame], purpose: str) -> ingest.Outputs:
+def _ingest_run(spark: SparkSession, slices: list[DataFrame], purpose: str, times: int = 1) -> ingest.Outputs:
     """Deliver the slices to the job that splits each batch."""
     root = shared_folder(spark, purpose)
     outputs = ingest.Outputs(f"{root}/bronze", f"{root}/quarantine", f"{root}/late", f"{root}/state")
 
     def work() -> None:
-        _run(spark, ingest.ingest_job(file_records(spark, f"{root}/landing"), f"{root}/checkpoint", outputs, None))
+        _run(spark, ingest.ingest_job(_landed(spark, f"{root}/landing"), f"{root}/checkpoint", outputs, None))
 
-    _deliver(slices, f"{root}/landing", work)
+    _deliver(slices, f"{root}/landing", work, times)
     return outputs
 
 
@@ -110,8 +118,7 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze of the one-pass job, every slice delivered twice: copies in a batch and across batches."""
     records = inputs.event_records(spark, sf_dir)
-    slices = [part for part in _slices(records, _EVENT_CUTS[:1]) for _ in range(2)]
-    outputs = _ingest_run(spark, slices, "ingest")
+    outputs = _ingest_run(spark, _slices(records, _EVENT_CUTS[:1]), "ingest", times=2)
     return _zoneless(ingest.read_output(spark, outputs.bronze)).drop(*_ARRIVAL)
 
 
@@ -126,7 +133,7 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_folder(spark, "quarantine")
 
     def work() -> None:
-        records = file_records(spark, f"{root}/landing")
+        records = _landed(spark, f"{root}/landing")
         _run(spark, telemetry.quarantine_job(records, f"{root}/checkpoint", f"{root}/rejected", None))
 
     _deliver(_slices(inputs.event_records(spark, sf_dir), _EVENT_CUTS[:1]), f"{root}/landing", work)
@@ -140,7 +147,7 @@ def stream_network_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = inputs.cells(spark, sf_dir)
 
     def work() -> None:
-        events = accepted_events(telemetry.typed_events(file_records(spark, f"{root}/landing")))
+        events = accepted_events(telemetry.typed_events(_landed(spark, f"{root}/landing")))
         _run(spark, telemetry.kpi_job(telemetry.kpi_stream(events, cells), f"{root}/checkpoint", f"{root}/kpis", None))
 
     _deliver(_slices(inputs.event_records(spark, sf_dir), _EVENT_CUTS[:1]), f"{root}/landing", work)
@@ -156,7 +163,7 @@ def stream_cdc_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     def work() -> None:
         queries = billing.start_billing(
             file_records(spark, f"{root}/plan_log"),
-            file_records(spark, f"{root}/subscriber_log"),
+            _landed(spark, f"{root}/subscriber_log"),
             billing.append_sink(plans),
             billing.append_sink(subscribers),
             f"{root}/checkpoints",
@@ -180,7 +187,7 @@ def cdc_restarted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     (before, after), first = _log_halves(inputs.subscriber_envelopes(spark, sf_dir))
 
     def work() -> None:
-        records = file_records(spark, f"{root}/log")
+        records = _landed(spark, f"{root}/log")
         sink = billing.append_sink(subscribers)
         job = billing.change_job(records, SUBSCRIBER_PAYLOAD, sink, f"{root}/checkpoint", None, True, "subscriber_id")
         job.start().awaitTermination()
