@@ -3,7 +3,7 @@ import random
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from tidemark.operators.digests import _bit, _places, BLOCK_BITS, HASHES, day_filters, days_that_may_hold, differing, file_digests, row_digests
+from tidemark.operators.digests import _bit, _places, _probe, BLOCK_BITS, HASHES, day_filters, days_that_may_hold, differing, file_digests, row_digests
 
 
 def frame(spark, *data):
@@ -66,3 +66,13 @@ def test_filters_are_the_bitmaps_of_the_engine_without_its_sort_of_bits(spark):
     expected = bits.groupBy("day", "block").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
     assert rows(day_filters(data), "day", "block", "bitmap") == rows(expected)
     assert "SortAggregate" not in plan(day_filters(data))
+
+
+def test_filters_are_probed_by_compiled_conditions(spark, folder):
+    data = ids(spark, [(day, f"{day} e{k}") for day, n in (("d0", 5), ("d1", 1500)) for k in range(n)])
+    day_filters(data).write.parquet(f"{folder}/filters")
+    probe = _probe(data.select("event_id"), spark.read.parquet(f"{folder}/filters"), [1, 2])
+    assert "lambda" not in plan(probe)
+    found = dict(rows(probe.groupBy("day").count()))
+    # Each id is found on its own day; hardly another one is.
+    assert 5 <= found["d0"] <= 10 and 1500 <= found["d1"] <= 1505

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
@@ -71,6 +73,12 @@ _JOINED = (
 )
 
 
+def _is_set(bit: str) -> Column:
+    """Whether the bitmap of a row has the bit."""
+    byte = f"cast(conv(hex(substring(bitmap, shiftright({bit}, 3) + 1, 1)), 16, 10) as int)"
+    return F.expr(f"shiftright({byte}, {bit} & 7) & 1") == 1
+
+
 def day_filters(ids: DataFrame) -> DataFrame:
     """A Bloom filter of the ``event_id`` of each ``day``, as rows (``day``, ``blocks``, ``block``, ``bitmap``).
 
@@ -90,14 +98,16 @@ def day_filters(ids: DataFrame) -> DataFrame:
     return words.groupBy(*place).agg(listed.alias("words")).select(*place, F.expr(_JOINED).alias("bitmap"))
 
 
+def _probe(ids: DataFrame, filters: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """The day of each pair of an id and a filter, of one of ``sizes``, that has all its bits."""
+    asked = _places(ids, []).withColumn("blocks", F.explode(F.array(*[F.lit(n).cast("long") for n in sizes])))
+    names = [f"bit{k}" for k in range(HASHES)]
+    asked = asked.select("blocks", F.pmod("at", "blocks").alias("block"), *[_bit(k).alias(name) for k, name in enumerate(names)])
+    # Plain conditions, not a function over an array of bits: they are compiled, and the first bit that is 0 ends the test.
+    return filters.join(asked, ["blocks", "block"]).where(reduce(and_, [_is_set(name) for name in names])).select("day")
+
+
 def days_that_may_hold(ids: DataFrame, filters: DataFrame) -> list[str]:
     """Days whose filter does not rule out all of ``ids`` (``event_id``); some of them may hold none."""
     sizes = [r["blocks"] for r in filters.select("blocks").distinct().collect()]  # powers of two, so a few
-    if not sizes:
-        return []
-    asked = _places(ids, []).withColumn("blocks", F.explode(F.array(*[F.lit(n).cast("long") for n in sizes])))
-    asked = asked.select("blocks", F.pmod("at", "blocks").alias("block"), F.array(*[_bit(k) for k in range(HASHES)]).alias("bits"))
-    byte = "cast(conv(hex(substring(bitmap, bit div 8 + 1, 1)), 16, 10) as int)"
-    all_set = F.expr(f"forall(bits, bit -> shiftright({byte}, bit % 8) % 2 = 1)")
-    hits = filters.join(asked, ["blocks", "block"]).where(all_set)
-    return sorted(r["day"] for r in hits.select("day").distinct().collect())
+    return sorted(r["day"] for r in _probe(ids, filters, sizes).distinct().collect()) if sizes else []
