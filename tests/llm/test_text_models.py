@@ -104,6 +104,37 @@ def test_buckets_grow_with_the_blocks(docs, monkeypatch):
         assert r["score"] == pytest.approx(few[r["doc_id"]]["score"], rel=1e-6) and r["n_known"] == few[r["doc_id"]]["n_known"]
 
 
+def test_a_task_sorts_about_one_block_or_bucket(spark, docs, monkeypatch):
+    texts = [f"the cat {i} sat on mat {i % 5}" for i in range(60)]
+    monkeypatch.setattr(context_tree, "BLOCK_BYTES", 100)
+    buckets = context_tree.dealing(sum(map(len, texts)), 4)[1]
+    plans, stored = [], context_tree.stored
+    monkeypatch.setattr(context_tree, "stored", lambda df, purpose: plans.append(df) or stored(df, purpose))
+    plans.append(context_tree.score(docs(texts), F.col("doc_id") % 3 != 0))
+    assert len(plans) == 3 and buckets > 8
+    for plan in plans:  # else adaptive execution puts what is small here into one task
+        assert plan.rdd.getNumPartitions() == buckets
+
+
+def test_pieces_of_ngrams_give_the_same_scores(monkeypatch):
+    rng = np.random.default_rng(3)
+    grams = np.unique(rng.choice(np.array([97, 98, 32], np.uint64), (400, 6)) @ (np.uint64(1) << np.arange(40, -8, -8).astype(np.uint64)))
+    counts = rng.integers(0, 4, len(grams))
+
+    def scores():
+        levels = context_tree._levels(grams, counts)
+        for d in range(context_tree.TOP - 1, -1, -1):
+            levels[d] = levels[d + 1].shorter(d)
+        return context_tree._leaves(grams, counts), context_tree._log10_probability(grams, levels)
+
+    whole = scores()
+    monkeypatch.setattr(context_tree, "PIECE_GRAMS", 5)
+    small = scores()
+    assert all(np.array_equal(a, b) for a, b in zip(whole[0], small[0], strict=True)) and np.array_equal(whole[1], small[1])
+    none = np.zeros(0, np.uint64)
+    assert [len(x) for x in context_tree._leaves(none, none)] == [0, 0, 0]
+
+
 # --- quality ------------------------------------------------------------------------------------
 
 

@@ -12,7 +12,8 @@ n-grams and words of its texts, with their training counts, to buckets of keys.
 whole subtrees, sums what all blocks sent, mixes, and answers each block in the order it asked. So
 nothing that grows with the corpus is broadcast or collected, and each n-gram is scored once per
 block. There are at least as many buckets as blocks, so a bucket gets about as many keys as a block
-sends, however large the corpus is. Shorter contexts than those that a bucket holds are at most 2**24 n-grams, of three bytes.
+sends, however large the corpus is; and as many partitions, so a task sorts about one block or bucket.
+Shorter contexts than those that a bucket holds are at most 2**24 n-grams, of three bytes.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ DEPTH = 5
 TOP = 3  # buckets hold whole subtrees of contexts of this many bytes
 BLOCK_BYTES = 16 << 20
 PIECE_BYTES = 1 << 18  # texts handled at a time; the working arrays have some 50 bytes for each of their bytes
+PIECE_GRAMS = 1 << 16  # n-grams taken apart at a time; each has eight decision nodes
 END = 0xFF  # stands for the end of a text, and for what is before its start; not in UTF-8
 _SLOTS = 21
 _LOG_PI = math.log(math.pi)
@@ -86,7 +88,9 @@ class Counter:
             return
         need = self.used + len(new)
         if need > len(self.keys):
-            self.keys, self.counts = np.resize(self.keys, 2 * need), np.resize(self.counts, 2 * need)
+            room = np.zeros(need + need // 2 - self.used, np.uint64)
+            self.keys = np.concatenate([self.keys[: self.used], room])
+            self.counts = np.concatenate([self.counts[: self.used], room.view(np.int64)])
         self.keys[self.used : need] = new
         self.counts[self.used : need] = np.bincount(which, weight[~known], len(new)).astype(np.int64)
         slots = self._slots(new)
@@ -146,6 +150,12 @@ def _from_planes(value: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(value, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
 
 
+def _dealt(rows: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """The rows of a key in one of so many partitions. Adaptive execution does not put these together again: what a
+    task sorts is held in the JVM, beside its Python worker."""
+    return rows.repartition(partitions, *keys)
+
+
 def _ask(dealt: DataFrame, buckets: int) -> DataFrame:
     """Rows (``bucket``, ``kind``, ``block``, ``keys``, ``counts``): what blocks send to buckets. Kind 2 holds
     the training tokens and texts of a block."""
@@ -173,7 +183,7 @@ def _ask(dealt: DataFrame, buckets: int) -> DataFrame:
         types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
         return pa.table({n: pa.array(c, t) for n, c, t in zip(("bucket", "kind", "block", "keys", "counts"), columns, types, strict=True)})
 
-    return dealt.groupBy("block").applyInArrow(run, "bucket int, kind int, block int, keys binary, counts binary")
+    return _dealt(dealt, buckets, "block").groupBy("block").applyInArrow(run, "bucket int, kind int, block int, keys binary, counts binary")
 
 
 def _asked(rows: pa.Table) -> tuple[list[int], list[np.ndarray], np.ndarray, np.ndarray]:
@@ -192,7 +202,15 @@ def _path(symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _leaves(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Decision nodes at full depth (context bytes, then node) with their zeros and ones."""
+    """Decision nodes at full depth (context bytes, then node) with their zeros and ones. The n-grams are sorted,
+    so those of a context stand together."""
+    edges = np.flatnonzero(np.diff(grams >> np.uint64(8))) + 1
+    offsets = np.concatenate([[0], edges, [len(grams)]])
+    parts = [_leaves_of(grams[offsets[a] : offsets[b]], counts[offsets[a] : offsets[b]]) for a, b in arrays.pieces(offsets, PIECE_GRAMS)]
+    return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
+
+
+def _leaves_of(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     node, bit = _path(grams & np.uint64(255))
     key = ((grams & ~np.uint64(255))[:, None] | node.astype(np.uint64)).ravel()
     distinct, which = np.unique(key, return_inverse=True)
@@ -239,6 +257,13 @@ def _levels(grams: np.ndarray, counts: np.ndarray) -> dict[int, Level]:
 
 def _log10_probability(grams: np.ndarray, levels: dict[int, Level]) -> np.ndarray:
     """Mixed over all depths, from the longest context to none."""
+    out = np.zeros(len(grams))
+    for a in range(0, len(grams), PIECE_GRAMS):
+        out[a : a + PIECE_GRAMS] = _log10_probability_of(grams[a : a + PIECE_GRAMS], levels)
+    return out
+
+
+def _log10_probability_of(grams: np.ndarray, levels: dict[int, Level]) -> np.ndarray:
     node, bit = _path(grams & np.uint64(255))
     full = ((grams & ~np.uint64(255))[:, None] | node.astype(np.uint64)).ravel()
     one, seen = np.full(len(full), 0.5), np.zeros(len(full), bool)
@@ -256,7 +281,7 @@ def _log10_probability(grams: np.ndarray, levels: dict[int, Level]) -> np.ndarra
     return np.log10(np.where(bit == 1, one, 1 - one)).reshape(-1, 8).sum(axis=1)
 
 
-def _subtree_roots(asked: DataFrame) -> DataFrame:
+def _subtree_roots(asked: DataFrame, buckets: int) -> DataFrame:
     """Per node of ``TOP`` - 1 context bytes: zeros, ones, and the log probability of its longer contexts."""
 
     def run(rows: pa.Table) -> pa.Table:
@@ -264,13 +289,12 @@ def _subtree_roots(asked: DataFrame) -> DataFrame:
         key, n0, n1, log = _levels(keys, counts)[TOP].sums(TOP - 1)
         return pa.table({"node": pa.array(key.view(np.int64)), "n0": pa.array(n0, pa.float64()), "n1": pa.array(n1, pa.float64()), "log": pa.array(log, pa.float64())})
 
-    roots = asked.where(f"kind = {GRAM}").select("bucket", "block", "keys", "counts").groupBy("bucket").applyInArrow(
-        run, "node long, n0 double, n1 double, log double"
-    )
+    grams = _dealt(asked.where(f"kind = {GRAM}").select("bucket", "block", "keys", "counts"), buckets, "bucket")
+    roots = grams.groupBy("bucket").applyInArrow(run, "node long, n0 double, n1 double, log double")
     return roots.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("n0", "n1", "log")])
 
 
-def _answers(asked: DataFrame, top: bytes) -> DataFrame:
+def _answers(asked: DataFrame, top: bytes, buckets: int) -> DataFrame:
     """Rows (``block``, ``kind``, ``bucket``, ``values``): the log10 probabilities of the n-grams, or the
     training counts of the words, in the order in which the block asked; and the buckets' word counts."""
     shared = asked.sparkSession.sparkContext.broadcast(top)
@@ -294,7 +318,7 @@ def _answers(asked: DataFrame, top: bytes) -> DataFrame:
             "values": pa.array(values, pa.binary()), "known": pa.array([known] + [0] * (n - 1), pa.int64()),
         })
 
-    return asked.where(f"kind < {WORD + 1}").groupBy("kind", "bucket").applyInArrow(
+    return _dealt(asked.where(f"kind < {WORD + 1}"), buckets, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(
         run, "block int, kind int, bucket int, values binary, known long"
     )
 
@@ -324,9 +348,9 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     totals = np.zeros(2, np.int64)
     for row in asked.where("kind = 2").select("counts").collect():  # two numbers a block
         totals += np.frombuffer(row["counts"], np.int64)
-    roots = _subtree_roots(asked).orderBy("node").toArrow()  # at most 2**24 nodes of fixed width
+    roots = _subtree_roots(asked, buckets).orderBy("node").toArrow()  # at most 2**24 nodes of fixed width
     top = np.concatenate([roots["node"].to_numpy().astype(np.int64).view("<f8"), *(roots[c].to_numpy() for c in ("n0", "n1", "log"))])
-    answers = stored(_answers(asked, top.astype("<f8").tobytes()), "tree-answers")
+    answers = stored(_answers(asked, top.astype("<f8").tobytes(), buckets), "tree-answers")
     train_tokens, ends = int(totals[0]), int(totals[1])
     vocabulary = (answers.agg(F.sum("known")).first()[0] or 0) + (ends > 0)
     floor = math.log10(train_tokens + vocabulary + 1)
@@ -350,6 +374,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
                     answer[order[cuts[k] : cuts[k + 1]]] = np.frombuffer(got[kind, k].as_buffer(), "<f4" if kind == GRAM else "<f8")
             find.append(Finder(keys) if len(keys) else None)
             value.append(answer)
+        del counters, got, values
         tokens, known, base, total = np.ones(n, np.int64), np.full(n, int(ends > 0)), np.full(n, math.log10(ends + 1) - floor), np.zeros(n)
         for a, b, low, offsets in _texts(block["text"]):
             for kind, keys, own in _keys(low, offsets):
@@ -368,4 +393,5 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
         })
 
     schema = f"`{id_col}` {kind_of_id}, learned boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
+    texts_of, answers_of = (_dealt(side, buckets, "block").groupBy("block") for side in (dealt, answers))
+    return texts_of.cogroup(answers_of).applyInArrow(run, schema)
