@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,6 +81,53 @@ def test_the_suffix_steps_take_bounded_batches(docs, monkeypatch):
     assert sizes.count() == 1
 
 
+class Caught:
+    """Takes the place of a frame, to call what would run in its tasks."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, _):
+        self.run = run
+
+
+def test_short_texts_are_worked_on_together(monkeypatch):
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdef ") for _ in range(3000))
+    texts = [base[a : a + rng.randint(400, 700)] for a in (rng.randrange(2300) for _ in range(60))] + ["a" * 450, "b" * 900]
+    calls, sample = [], suffix_dedup.sample
+    monkeypatch.setattr(suffix_dedup, "sample", lambda *args: calls.append(1) or sample(*args))
+
+    def rows(step, batch):
+        frame = Caught()
+        step(frame)
+        calls.clear()
+        return pa.Table.from_batches(frame.run(iter([batch])))
+
+    def steps():
+        sampled = rows(lambda f: suffix_dedup._sampled(f, 400, "text"), pa.RecordBatch.from_pydict({"text": texts}))
+        places = {}
+        for row in sampled.to_pylist():
+            places.setdefault(row["key"], []).append(row["pos"])
+        data = [t.encode() for t in texts if suffix_dedup._text_key(np.frombuffer(t.encode(), np.uint8)) in places]
+        keys = [suffix_dedup._text_key(np.frombuffer(d, np.uint8)) for d in data]
+        long = pa.list_(pa.int64())
+        batch = pa.RecordBatch.from_pydict({
+            "key": keys, "text": data, "copied": [i % 9 == 0 for i in range(len(data))],
+            "sure": pa.array([[3] if i % 3 == 0 else [] for i in range(len(data))], long),
+            "sure_end": pa.array([[403] if i % 3 == 0 else [] for i in range(len(data))], long),
+            **{f"b{level}": pa.array([places[k] for k in keys], long) for level in range(3)},
+        })
+        asked = rows(lambda f: suffix_dedup._asked(f, 400), batch)
+        return len(calls), sampled.to_pylist(), [r for r in asked.to_pylist() if r["key"] is not None]
+
+    together = steps()
+    monkeypatch.setattr(suffix_dedup, "PIECE_BYTES", 1)
+    alone = steps()
+    assert together[0] == 1 and alone[0] >= 55 and len(together[2]) > 200
+    assert together[1:] == alone[1:]
+
+
 # --- near duplicates ----------------------------------------------------------------------------
 
 
