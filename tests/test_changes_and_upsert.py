@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import flatten_envelopes, parse_changes, snapshot_with_changes
+from tidemark.operators.changes import flatten_envelopes, parse_changes, parse_envelopes, snapshot_with_changes
 from tidemark.operators.upsert import latest_changes, live_rows, merge_statement, sync_schema, upsert
 from tidemark.plans.bronze import accepted_events, decode_events, type_events
 from tidemark.schemas import PLAN_PAYLOAD, SUBSCRIBER_PAYLOAD
@@ -50,6 +50,26 @@ def test_a_delete_without_row_image_is_ordered_by_the_broker_time(spark):
     assert {r.change_ts.isoformat() for r in parsed.collect()} == {"2024-01-01T00:00:00"}
 
 
+@pytest.mark.parametrize("key", ["plan_id", None])
+def test_envelopes_are_parsed_as_if_flattened_and_read_again(spark, key):
+    old = {"plan_id": "P", "plan_name": 'a "b" \\ \n é payload', "monthly_fee": 1e-7, "voice_minutes": -3, "created_at": 1704067200123}
+    values = [
+        {"before": None, "after": old, "op": "r"}, {"before": old, "after": {"plan_id": "", "monthly_fee": "NaN"}, "op": "u"},
+        {"payload": {"before": old, "after": None, "op": "d"}}, {"before": None, "after": None, "op": "d"}, None, "{broken",
+        {"before": None, "after": {"plan_id": "Q", "voice_minutes": "no number", "updated_at": 5}, "op": "c"}, {"op": "u"}, {},
+    ]
+    source = records(spark, *values).withColumns({"key": F.lit("K").cast("binary"), "partition": F.lit(2)})
+    source = source.withColumn("value", F.col("value").cast("binary"))
+    stamp = F.col("kafka_timestamp")
+    whole = parse_envelopes(source, PLAN_PAYLOAD, key, stamp, True)
+    steps = parse_changes(flatten_envelopes(source, PLAN_PAYLOAD, key), PLAN_PAYLOAD, stamp, True)
+    assert whole.dtypes == steps.dtypes
+    found = [sorted(map(str, x.collect())) for x in (whole, steps)]
+    assert found[0] == found[1] and len(found[0]) >= 4 + (key is not None)
+    # Only the envelope is read as JSON, and no row is written.
+    assert plan(whole).count("from_json") == 1 and "to_json" not in plan(whole)
+
+
 def test_envelopes_are_flattened(spark):
     old, new = {"plan_id": "P", "plan_name": "old"}, {"plan_id": "P", "plan_name": "new"}
     flat = flatten_envelopes(

@@ -26,10 +26,13 @@ def _unwrapped(column: str) -> Column:
     return F.when(wrapped, F.coalesce(F.get_json_object(value, "$.payload"), value)).otherwise(value)
 
 
-def _log_columns(records: DataFrame) -> list[Column]:
-    """Broker time and, where the source has it, the position in the change log."""
+def _log_columns(records: DataFrame, with_partition: bool) -> list[Column]:
+    """Broker time and, where the source has it, the position in the change log, and its partition if asked for."""
     position = F.col("offset") if "offset" in records.columns else F.lit(None)
-    return [F.col("timestamp").alias("kafka_timestamp"), position.cast("long").alias("change_seq")]
+    log = [F.col("timestamp").alias("kafka_timestamp"), position.cast("long").alias("change_seq")]
+    if with_partition:
+        log.append((F.col("partition") if "partition" in records.columns else F.lit(None)).cast("int").alias("change_partition"))
+    return log
 
 
 def _key_value(key_column: str) -> Column:
@@ -40,14 +43,8 @@ def _key_value(key_column: str) -> Column:
     )
 
 
-def flatten_envelopes(records: DataFrame, row_schema: T.StructType, key_column: str | None = None) -> DataFrame:
-    """Turn ``before / after / op`` envelopes into flat JSON rows.
-
-    Keeps the new row state only, drops tombstones (null values), and rewrites a delete to the
-    old row with the deleted mark set. With ``key_column``, a delete that brings no old row keeps the
-    key of its record, which is all that an upsert needs; without, it is dropped. The result has the columns of the input, with ``value``
-    replaced, so :func:`parse_changes` reads it like records that were flattened at the source.
-    """
+def _row_images(records: DataFrame, row_schema: T.StructType, key_column: str | None) -> tuple[DataFrame, list[Column]]:
+    """The records of envelopes that bring a row, and the columns of that row with the deleted mark at the end."""
     image = T.StructType([f for f in row_schema if f.name != DELETED_MARK])
     envelope = T.StructType(
         [
@@ -68,15 +65,28 @@ def flatten_envelopes(records: DataFrame, row_schema: T.StructType, key_column:
         before = F.coalesce(before, F.when(_key_value(key_column).isNotNull(), F.struct(*only_key)))
     row = F.when(is_delete, before).otherwise(F.col("__after"))
     mark = F.when(is_delete, F.lit("true")).otherwise(F.lit("false"))
-    return (
-        decoded.withColumn("__row", row)
-        .where(F.col("__row").isNotNull())
-        .withColumn(
-            "value",
-            F.to_json(F.struct(*[F.col(f"__row.{f.name}").alias(f.name) for f in image], mark.alias(DELETED_MARK))),
-        )
-        .drop("__before", "__after", "__op", "__row")
-    )
+    fields = [*[F.col(f"__row.{f.name}").alias(f.name) for f in image], mark.alias(DELETED_MARK)]
+    return decoded.withColumn("__row", row).where(F.col("__row").isNotNull()), fields
+
+
+def flatten_envelopes(records: DataFrame, row_schema: T.StructType, key_column: str | None = None) -> DataFrame:
+    """Turn ``before / after / op`` envelopes into flat JSON rows.
+
+    Keeps the new row state only, drops tombstones (null values), and rewrites a delete to the
+    old row with the deleted mark set. With ``key_column``, a delete that brings no old row keeps the
+    key of its record, which is all that an upsert needs; without, it is dropped. The result has the columns of the input, with ``value``
+    replaced, so :func:`parse_changes` reads it like records that were flattened at the source.
+    """
+    decoded, fields = _row_images(records, row_schema, key_column)
+    return decoded.withColumn("value", F.to_json(F.struct(*fields))).drop("__before", "__after", "__op", "__row")
+
+
+def parse_envelopes(
+    records: DataFrame, schema: T.StructType, key_column: str | None = None, ingested_at: Column | None = None, with_partition: bool = False
+) -> DataFrame:
+    """:func:`parse_changes` of what :func:`flatten_envelopes` gives, without writing and reading the rows as JSON."""
+    decoded, fields = _row_images(records, schema, key_column)
+    return _typed(decoded.select(*fields, *_log_columns(records, with_partition)), ingested_at)
 
 
 def parse_changes(
@@ -89,11 +99,12 @@ def parse_changes(
     image may hold only the key, it is the later of the two. ``with_partition`` also adds
     ``change_partition``, null where the source has none.
     """
-    log = _log_columns(records)
-    if with_partition:
-        log.append((F.col("partition") if "partition" in records.columns else F.lit(None)).cast("int").alias("change_partition"))
     # The generator keeps filters on the fields from being pushed down with a second parser.
-    parsed = records.select(F.inline(F.array(F.from_json(_unwrapped("value"), schema))), *log)
+    row = F.inline(F.array(F.from_json(_unwrapped("value"), schema)))
+    return _typed(records.select(row, *_log_columns(records, with_partition)), ingested_at)
+
+
+def _typed(parsed: DataFrame, ingested_at: Column | None) -> DataFrame:
     stamps = {c: F.timestamp_millis(c) for c in EPOCH_MILLIS_COLUMNS if c in parsed.columns}
     typed = parsed.withColumns(stamps).withColumns(
         {

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemark.operators.changes import LOG_ORDER, flatten_envelopes, parse_changes
+from tidemark.operators.changes import LOG_ORDER, parse_changes, parse_envelopes
 from tidemark.operators.upsert import merge_into
 from tidemark.schemas import PLAN_PAYLOAD, SUBSCRIBER_PAYLOAD
 from tidemark.sources.changelog import ChangeTable
@@ -77,7 +77,10 @@ def change_job(
     brings no old row is found by the key of its record. Epochs are kept in a folder next to ``checkpoint``.
     """
     key = key_column or schema[0].name
-    flat = flatten_envelopes(records, schema, key) if enveloped else records
+    if enveloped:
+        changes = parse_envelopes(records, schema, key, with_partition=True)
+    else:
+        changes = parse_changes(records, schema, with_partition=True)
     epochs = LogEpochs(f"{checkpoint.rstrip('/')}-epochs")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -88,8 +91,7 @@ def change_job(
             batch.unpersist()
 
     return (
-        parse_changes(flat, schema, with_partition=True)
-        .writeStream.foreachBatch(write)
+        changes.writeStream.foreachBatch(write)
         .outputMode("update")
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger_options(interval))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as dq
-from tidemark.operators.changes import LOG_ORDER, flatten_envelopes, parse_changes, snapshot_with_changes
+from tidemark.operators.changes import LOG_ORDER, flatten_envelopes, parse_changes, parse_envelopes, snapshot_with_changes
 from tidemark.operators.lookup import LookupPolicy, lookup_join
 from tidemark.operators.upsert import latest_changes, live_rows, upsert
 from tidemark.plans import bronze, gold, serving, silver, staging
@@ -187,8 +187,8 @@ def cdc_snapshot_plus_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cdc_recreated_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subscribers that were deleted and came back: the log decides, not the times of the rows."""
-    flat = flatten_envelopes(inputs.subscriber_envelopes(spark, sf_dir), SUBSCRIBER_PAYLOAD, "subscriber_id")
-    changes = _stored(parse_changes(flat, SUBSCRIBER_PAYLOAD), "changes")  # read twice
+    parsed = parse_envelopes(inputs.subscriber_envelopes(spark, sf_dir), SUBSCRIBER_PAYLOAD, "subscriber_id")
+    changes = _stored(parsed, "changes")  # read twice
     state = live_rows(latest_changes(changes, ["subscriber_id"], LOG_ORDER))
     deleted = changes.where("is_deleted").select("subscriber_id")
     return _zoneless(state.join(deleted, "subscriber_id", "left_semi")).drop("kafka_timestamp", "ingested_at")
